@@ -81,9 +81,10 @@ def compact(
     work = result.where("needs_work").select(
         *DAY_PARTS, F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int").alias("__files")
     )
-    dirty = table.join(F.broadcast(work), list(DAY_PARTS))
+    # File columns exist on the scan only, hence before the join. One small row per day.
+    dirty = with_file_order(table).join(F.broadcast(work), list(DAY_PARTS))
     old_runs = dirty.select(*DAY_PARTS, RUN).distinct().collect()
-    merged = keep_first(with_file_order(dirty), [*DAY_PARTS, id_col], FILE_ORDER).drop(*FILE_ORDER)
+    merged = keep_first(dirty, [*DAY_PARTS, id_col], FILE_ORDER).drop(*FILE_ORDER)
     slot = F.pmod(F.xxhash64(id_col), F.col("__files"))
     placed = merged.withColumn("__slot", slot).repartition(*DAY_PARTS, "__slot").drop("__slot", "__files")
     run = COMPACTED + uuid.uuid4().hex

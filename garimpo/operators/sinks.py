@@ -24,6 +24,8 @@ def write_bronze(
     """Write by local business day of ``at`` (a UTC time column or literal); return the path."""
     path = table_path(base, source)
     placed = df.withColumns({**partition_parts(at), RUN: F.lit(run)})
+    # Few files per day, yet a day holding most rows is split over tasks by AQE.
+    placed = placed.hint("rebalance", *DAY_PARTS)
     writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer = writer.partitionBy(*DAY_PARTS, RUN).option("maxRecordsPerFile", max_records_per_file)
     if fmt == "parquet":

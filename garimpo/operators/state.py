@@ -62,7 +62,8 @@ class StateTable:
             F.lit(source).alias("source"), F.lit(detail_type).alias("detail_type"),
             "date", F.lit(run).alias("run"),
         )
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = rows.hint("rebalance", "date").write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*STATE_PARTS).parquet(self.ids_path)
 
     def log(self, entries: DataFrame) -> None:

@@ -131,7 +131,7 @@ JOIN labels USING (doc_id) LEFT JOIN k ON k.code = length(lang) + quality GROUP
 def document_codes(t: Tables):
     doc = F.struct(
         (F.length("lang") + F.col("quality")).alias("tipoDocumentoId"), (F.col("toxic") == 0).alias("statusAtivo"))
-    nested = t.documents.join(t.labels, "doc_id").groupBy("source", "lang").agg(F.collect_list(doc).alias("arquivos"))
+    nested = t.documents.join(t.labels, "doc_id").select("doc_id", F.array(doc).alias("arquivos"))
     decoded = domains.parse_document_codes(nested).select(F.explode("arquivos").alias("a"))
     return decoded.groupBy(
         F.col("a.parsed_domains.tipo_documento").alias("tipo"), F.col("a.parsed_domains.arquivo_ativo").alias("ativo"),
