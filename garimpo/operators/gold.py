@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from garimpo.functions.domains import literal_table
-from garimpo.operators.running import percent_ranks, quantiles
+from garimpo.operators.running import join_groups, percent_ranks, quantiles
 
 # ---------------------------------------------------------------------------
 # States by region, government spheres.
@@ -36,9 +36,8 @@ def price_reference(df: DataFrame, keys: Sequence[str], value: str, at: str, mar
         F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"), F.count(value).alias("n"),
         F.min(at).alias("first_date"), F.max(at).alias("last_date"),
     )
-    places = df.select(*keys, marketplace).distinct().groupBy(*keys).agg(
-        F.sort_array(F.collect_set(marketplace)).alias("marketplaces"))
-    return base.join(quantiles(df, keys, value, REFERENCE_QUANTILES), list(keys), "left").join(places, list(keys), "left")
+    places = df.groupBy(*keys).agg(F.sort_array(F.collect_set(marketplace)).alias("marketplaces"))
+    return join_groups(join_groups(base, quantiles(df, keys, value, REFERENCE_QUANTILES), keys), places, keys)
 
 
 def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str, columns: Sequence[str]) -> DataFrame:
@@ -54,10 +53,10 @@ def price_features(
     over earlier records.
     """
     own = df.groupBy(category).agg(F.avg(value).alias("__mean"), F.stddev_samp(value).alias("__sd"))
-    own = own.join(quantiles(df, [category], value, {"__median": 0.5}), category, "left")
+    own = join_groups(own, quantiles(df, [category], value, {"__median": 0.5}), [category])
     ranked = percent_ranks(df, [category], value, "percentile_preco")
-    joined = ranked.join(own, category, "left").join(
-        _prefixed(market, [category], "__market_", ["mean", "p95"]), category, "left")
+    joined = join_groups(ranked, own, [category])
+    joined = join_groups(joined, _prefixed(market, [category], "__market_", ["mean", "p95"]), [category])
     v = F.col(value)
     return joined.select(
         *df.columns, "percentile_preco",
@@ -180,7 +179,7 @@ def profile(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
         F.countDistinct(value).alias("distinct_values"), F.min(value).alias("min"), F.max(value).alias("max"),
         F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"),
     )
-    return base.join(quantiles(df, keys, value, {"q1": 0.25, "q2": 0.5, "q3": 0.75}), list(keys), "left")
+    return join_groups(base, quantiles(df, keys, value, {"q1": 0.25, "q2": 0.5, "q3": 0.75}), keys)
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -219,7 +218,7 @@ def per_inhabitant(df: DataFrame, place: str, value: Column, population: DataFra
 def overprice(df: DataFrame, category: str, value: str, factor: float, name: str) -> DataFrame:
     """Whether the value exceeds ``factor`` times the category median."""
     medians = quantiles(df, [category], value, {"__median": 0.5})
-    joined = df.join(medians, category, "left")
+    joined = join_groups(df, medians, [category])
     flag = F.coalesce(F.col(value) > F.col("__median") * factor, F.lit(False))
     return joined.select(*df.columns, flag.alias(name))
 

@@ -35,22 +35,27 @@ def totals_before(
     order: Sequence[str | Column],
     measures: dict[str, tuple[str, Column]],
     bucket: Column,
+    overall: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add, per row, totals over the rows of its key that sort strictly before it.
 
     ``measures`` maps an output column to ``(how, column)`` with how one of sum, count,
-    max, min. ``order`` should be total; ``bucket`` must not decrease along it. Rows with
-    a null key are kept and get their totals within their bucket only.
+    max, min. ``order`` should be total; ``bucket`` must not decrease along it. ``overall`` maps
+    a further output to a measure whose total over the whole key is wanted. Rows with a null
+    key are kept and get their totals within their bucket only.
     """
     rows = df.withColumn(BUCKET, bucket)
     parts = rows.groupBy(*keys, BUCKET).agg(
         *(_START[how](col).alias(name) for name, (how, col) in measures.items())
     )
-    earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    overall = overall or {}
     offsets = parts.select(
         *(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)),
         F.col(BUCKET).alias("__kb"),
         *(_COMBINE[how](name).over(earlier).alias(f"__off_{name}") for name, (how, _) in measures.items()),
+        *(_COMBINE[measures[m][0]](m).over(whole).alias(name) for name, m in overall.items()),
     )
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = rows.select(
@@ -62,6 +67,7 @@ def totals_before(
     return joined.select(
         *df.columns,
         *(_merge(how, F.col(f"__off_{n}"), F.col(f"__in_{n}")).alias(n) for n, (how, _) in measures.items()),
+        *overall,
     )
 
 
@@ -88,15 +94,16 @@ def position(df: DataFrame, order: str, name: str, width: int = 1 << 20) -> Data
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str, bucket: Column | None = None) -> DataFrame:
     """Distinct values per key with ``n`` (rows), ``n_before`` (rows below) and ``n_total``.
 
-    Equal values are counted before anything is ordered, so ties cost nothing.
+    Equal values are counted before anything is ordered, so ties cost nothing. The key comes as
+    one struct ``__key``: it is never null, so groups with null parts are ranked like others and
+    both uses of the counts share one shuffle.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    ranked = totals_before(
-        counts, keys, [value], {"n_before": ("sum", F.col("n"))},
-        magnitude_bucket(F.col(value)) if bucket is None else bucket,
+    present = df.where(F.col(value).isNotNull()).select(F.struct(*keys).alias("__key"), F.col(value).alias("__v"))
+    counts = present.groupBy("__key", "__v").agg(F.count("*").alias("n"))
+    return totals_before(
+        counts, ["__key"], ["__v"], {"n_before": ("sum", F.col("n"))},
+        magnitude_bucket(F.col("__v")) if bucket is None else bucket, {"n_total": "n_before"},
     )
-    totals = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count("*").alias("n_total"))
-    return ranked.join(totals, list(keys))
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
@@ -105,27 +112,27 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
 
     def pick(place: Column) -> Column:
         hit = (F.col("n_before") <= place) & (place < F.col("n_before") + F.col("n"))
-        return F.max(F.when(hit, F.col(value).cast("double")))
+        return F.max(F.when(hit, F.col("__v").cast("double")))
 
-    parts, outputs = [], []
+    parts, outputs = [F.max("n_total").alias("__n")], []
     for name, p in probs.items():
         place = F.lit(p) * (F.col("n_total") - 1)
-        parts += [
-            pick(F.floor(place)).alias(f"__lo_{name}"),
-            pick(F.ceil(place)).alias(f"__hi_{name}"),
-            F.max(place - F.floor(place)).alias(f"__w_{name}"),
-        ]
-        low, high, weight = (F.col(f"__{x}_{name}") for x in ("lo", "hi", "w"))
-        outputs.append((low + (high - low) * weight).alias(name))
-    return ranked.groupBy(*keys).agg(*parts).select(*keys, *outputs)
+        parts += [pick(F.floor(place)).alias(f"__lo_{name}"), pick(F.ceil(place)).alias(f"__hi_{name}")]
+        low, high, at = F.col(f"__lo_{name}"), F.col(f"__hi_{name}"), F.lit(p) * (F.col("__n") - 1)
+        outputs.append((low + (high - low) * (at - F.floor(at))).alias(name))
+    return ranked.groupBy("__key").agg(*parts).select("__key.*", *outputs)
 
 
 def percent_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Add the percent rank of each row's value within its key; null values get null."""
-    ranked = value_ranks(df, keys, value).select(
-        *(F.col(k).alias(f"__r{i}") for i, k in enumerate(keys)),
-        F.col(value).alias("__rv"),
-        F.when(F.col("n_total") > 1, F.col("n_before") / (F.col("n_total") - 1)).otherwise(0.0).alias(name),
-    )
-    same = [F.col(k) == F.col(f"__r{i}") for i, k in enumerate(keys)] + [F.col(value) == F.col("__rv")]
+    rank = F.when(F.col("n_total") > 1, F.col("n_before") / (F.col("n_total") - 1)).otherwise(0.0)
+    ranked = value_ranks(df, keys, value).select(F.col("__key").alias("__rk"), F.col("__v").alias("__rv"), rank.alias(name))
+    same = (F.struct(*keys) == F.col("__rk")) & (F.col(value) == F.col("__rv"))
     return df.join(ranked, same, "left").select(*df.columns, name)
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of two grouped results; null group keys meet each other."""
+    renamed = right.select(*(F.col(c).alias(f"__g_{c}") if c in keys else F.col(c) for c in right.columns))
+    same = [F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in keys]
+    return left.join(renamed, same, "left").drop(*(f"__g_{k}" for k in keys))

@@ -13,7 +13,8 @@ MAX_PROBES = 1000
 
 def similar_to(base: DataFrame, ident: str, vector: str, probe: Column, k: int = 10) -> DataFrame:
     """The k records nearest to one vector, ties by id. One scan; each task sends k rows."""
-    scored = base.select(ident, cosine_similarity(F.col(vector), probe).alias("similarity"))
+    held = base.select(ident, vector, probe.alias("__probe"))
+    scored = held.select(ident, cosine_similarity(F.col(vector), F.col("__probe")).alias("similarity"))
     return scored.where(F.col("similarity").isNotNull()).orderBy(F.desc("similarity"), ident).limit(k)
 
 

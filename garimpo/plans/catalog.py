@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from garimpo.plans import coded, incremental, lake, records, reporting  # noqa: F401
+from garimpo.plans import coded, gold, incremental, lake, records, reporting, silver  # noqa: F401
 from garimpo.plans.registry import REGISTRY  # noqa: F401

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Plans are built from many Column calls; recording a call site for each doubles that time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
