@@ -12,6 +12,15 @@ def has_text(col: Column) -> Column:
     return F.coalesce(col.cast("string") != "", F.lit(False))
 
 
+def present(df: DataFrame, col: Column) -> Column:
+    """A filter for rows where the value is there and not empty text.
+
+    Plain comparisons on the column's own type, so the Parquet scan can apply them.
+    """
+    kind = df.select(col.alias("c")).schema[0].dataType
+    return col.isNotNull() & (col != "") if isinstance(kind, T.StringType) else col.isNotNull()
+
+
 def sanitize(col: Column, dtype: T.DataType) -> Column:
     """NaN becomes null and time values become ISO text, at any nesting depth."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):

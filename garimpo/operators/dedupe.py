@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.functions.cleaning import has_text
+from garimpo.functions.cleaning import has_text, present
 
 FILE_ORDER = ("__file", "__row")
 
@@ -37,7 +37,7 @@ def dedupe_batch(
 
     ``seen`` is the memory of earlier calls: a frame whose first column is the id.
     """
-    first = keep_first(df.where(has_text(F.col(id_col))), [id_col], order)
+    first = keep_first(df.where(present(df, F.col(id_col))), [id_col], order)
     return first if seen is None else without_ids(first, F.col(id_col), seen)
 
 
@@ -60,7 +60,7 @@ def without_ids(df: DataFrame, key: Column, seen: DataFrame) -> DataFrame:
 
 def new_records(df: DataFrame, key: Column, processed: DataFrame) -> DataFrame:
     """Rows with an id that the processed set does not hold; duplicates inside the batch pass."""
-    return without_ids(df.where(has_text(key)), key, processed)
+    return without_ids(df.where(present(df, key)), key, processed)
 
 
 def flag_new(df: DataFrame, key: Column, processed: DataFrame, name: str) -> DataFrame:

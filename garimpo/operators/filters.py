@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from garimpo.functions.cleaning import has_text, sanitize_frame
+from garimpo.functions.cleaning import present, sanitize_frame
 from garimpo.functions.timeparts import iso_timestamp
 
 # Column set of an enriched frame that has no rows.
@@ -25,7 +25,7 @@ DETAILS_SCHEMA = (
 
 
 def with_id(df: DataFrame, id_col: str) -> DataFrame:
-    return df.where(has_text(F.col(id_col)))
+    return df.where(present(df, F.col(id_col)))
 
 
 def record_key(id_col: Column) -> Column:

@@ -45,31 +45,26 @@ def coverage(
     grouping sets expand those counts. Dates that did not parse form a group with null parts
     (``grain`` tells it apart from the total).
     """
-    ident = F.lit(None).cast("string") if record_id is None else record_id.cast("string")
-    per_id = (
-        df.select(F.to_date(at).alias("day_date"), ident.alias("id"))
-        .groupBy("day_date", "id").agg(F.count("*").alias("n"))
-        .select(
-            F.year("day_date").alias("year"),
-            F.date_format("day_date", "yyyy-MM").alias("year_month"),
-            F.date_format("day_date", "yyyy-MM-dd").alias("day"),
-            "id", "n",
-        )
-    )
-    year, month, day = F.col("year"), F.col("year_month"), F.col("day")
-    sets = [[], [year], [year, month]] + ([[year, month, day]] if detailed else [])
-    columns = [year, month] + ([day] if detailed else [])
+    ident = F.lit(None).cast("string") if record_id is None else record_id
+    per_id = df.select(F.to_date(at).alias("day"), ident.alias("id")).groupBy("day", "id").agg(F.count("*").alias("n"))
+    # Plain dates travel through the grouping; they become texts on the few result rows.
+    per_id = per_id.select(F.year("day").alias("year"), F.trunc("day", "month").alias("year_month"), "day", "id", "n")
+    names = ["year", "year_month"] + (["day"] if detailed else [])
+    columns = [F.col(c) for c in names]
+    sets = [columns[:i] for i in range(len(columns) + 1)]
     records = F.sum("n")
     unique = records if record_id is None else F.countDistinct("id")
     # grouping_id has one bit per column, set when the column is rolled up.
-    names = {3: "total", 1: "year", 0: "month"} if not detailed else {7: "total", 3: "year", 1: "month", 0: "day"}
-    level = F.grouping_id()
-    grain = F.lit(None)
-    for bits, name in names.items():
-        grain = F.when(level == bits, name).otherwise(grain)
-    return per_id.groupingSets(sets, *columns).agg(
+    grain = F.lit("total")
+    for i, name in enumerate(("year", "month", "day")[: len(names)]):
+        grain = F.when(F.grouping_id() == 2 ** (len(names) - 1 - i) - 1, name).otherwise(grain)
+    grouped = per_id.groupingSets(sets, *columns).agg(
         grain.alias("grain"), records.alias("records"), unique.alias("unique_ids")
     )
+    texts = {"year_month": F.date_format("year_month", "yyyy-MM")}
+    if detailed:
+        texts["day"] = F.date_format("day", "yyyy-MM-dd")
+    return grouped.withColumns(texts)
 
 
 def file_count(df: DataFrame) -> DataFrame:

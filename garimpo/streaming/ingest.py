@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from garimpo.functions.cleaning import has_text
+from garimpo.functions.cleaning import has_text, present
 from garimpo.functions.timeparts import to_local
 from garimpo.operators.dedupe import flag_new, keep_first
 from garimpo.operators.filters import add_metadata
@@ -55,9 +55,9 @@ def ingest_batch(job: Ingest, batch: DataFrame, run: str) -> None:
     )
     rows = batch.withColumn("__day", day)
     if job.dedupe:
-        ided = keep_first(rows.where(has_text(F.col(job.id_col))), ["__day", job.id_col], list(job.order))
+        ided = keep_first(rows.where(present(rows, F.col(job.id_col))), ["__day", job.id_col], list(job.order))
     else:
-        ided = rows.where(has_text(F.col(job.id_col)))
+        ided = rows.where(present(rows, F.col(job.id_col)))
     checked = with_errors(ided, job.id_col, job.date_col or "__none")
     flagged = flag_new(checked, key, known, "__new").persist(StorageLevel.MEMORY_AND_DISK)
     try:
