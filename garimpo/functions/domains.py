@@ -582,5 +582,5 @@ def count_by_modalidade(df: DataFrame, code: str) -> DataFrame:
     """Rows per category, with zero for categories that brought nothing."""
     listed = domain_table(df.sparkSession, "modalidade").select("code", "name", "descricao")
     counts = df.groupBy(F.col(code).try_cast("double").alias("__code")).agg(F.count("*").alias("n"))
-    joined = F.broadcast(listed).join(counts, F.col("code").cast("double") == F.col("__code"), "left")
+    joined = listed.join(counts, F.col("code").cast("double") == F.col("__code"), "left")
     return joined.select("code", "name", "descricao", F.coalesce("n", F.lit(0)).alias("records"))

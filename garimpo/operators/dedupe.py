@@ -63,11 +63,19 @@ def new_records(df: DataFrame, key: Column, processed: DataFrame) -> DataFrame:
     return without_ids(df.where(present(df, key)), key, processed)
 
 
-def flag_new(df: DataFrame, key: Column, processed: DataFrame, name: str) -> DataFrame:
-    """Like ``new_records`` but keeps every row and adds the answer as a boolean."""
-    ids = processed.select(F.col(processed.columns[0]).alias("__seen")).distinct()
-    joined = df.join(ids, key == F.col("__seen"), "left")
-    return joined.withColumn(name, has_text(key) & F.col("__seen").isNull()).drop("__seen")
+def flag_new(df: DataFrame, key: Column | Sequence[Column], processed: DataFrame, name: str) -> DataFrame:
+    """Like ``new_records`` but keeps every row and adds the answer as a boolean.
+
+    A key of several columns meets the first columns of ``processed`` in the same order.
+    """
+    keys = [key] if isinstance(key, Column) else list(key)
+    held = [f"__seen{i}" for i in range(len(keys))]
+    ids = processed.select(*(F.col(c).alias(h) for c, h in zip(processed.columns, held))).distinct()
+    joined = df.join(ids, [k == F.col(h) for k, h in zip(keys, held)], "left")
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & has_text(k)
+    return joined.withColumn(name, complete & F.col(held[0]).isNull()).drop(*held)
 
 
 def filter_stats(flagged: DataFrame, is_new: str, key: Column, by: Sequence[str] = ()) -> DataFrame:

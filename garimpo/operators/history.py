@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from garimpo.operators.running import totals_before
 
 
-def day_number(at: Column) -> Column:
-    return F.unix_date(F.to_date(at))
+def day_bucket(at: Column, within: Column | None = None) -> Column:
+    """One bucket per day, or several when ``within`` grows along the order inside a day."""
+    number = F.unix_date(F.to_date(at))
+    return number if within is None else F.struct(number.alias("day"), within.alias("part"))
 
 
 def company_history(
@@ -47,7 +49,7 @@ def company_history(
             "__last": ("max", F.when(is_record, F.col("__at"))),
             "active_contracts": ("sum", F.col("__delta")),
         },
-        day_number(F.col("__at")),
+        day_bucket(F.col("__at")),
     ).where(is_record)
     has_key = F.col(company).isNotNull()
     out = known.withColumns({
@@ -75,7 +77,7 @@ def buyer_history(
             "__value": ("sum", value),
             "__flags": ("sum", suspicious.cast("int")),
         },
-        day_number(F.col(at)),
+        day_bucket(F.col(at)),
     )
     has_key = F.col(buyer).isNotNull()
     n = F.when(has_key, F.col("buyer_previous_count")).otherwise(0)
@@ -87,14 +89,19 @@ def buyer_history(
 
 
 def target_encoding(
-    df: DataFrame, category: str, order: Sequence[str], at: str, label: Column, name: str
+    df: DataFrame, category: str, order: Sequence[str], at: str, label: Column, name: str,
+    within: Column | None = None,
 ) -> DataFrame:
-    """Mean label of earlier records of the category, else of all earlier records, else null."""
+    """Mean label of earlier records of the category, else of all earlier records, else null.
+
+    The second mean runs over all records, so a day may hold very many of them: ``within`` (not
+    decreasing along the order inside a day, like a range of the id) cuts a day further.
+    """
     measures = {"__n": ("count", label), "__sum": ("sum", label.cast("long"))}
-    own = totals_before(df, [category], order, measures, day_number(F.col(at)))
+    own = totals_before(df, [category], order, measures, day_bucket(F.col(at), within))
     own = own.withColumn("__own", F.try_divide(F.col("__sum"), F.col("__n"))).drop("__n", "__sum")
     every = totals_before(
-        own.withColumn("__all", F.lit(0)), ["__all"], order, measures, day_number(F.col(at)))
+        own.withColumn("__all", F.lit(0)), ["__all"], order, measures, day_bucket(F.col(at), within))
     return every.select(*df.columns, F.coalesce("__own", F.try_divide(F.col("__sum"), F.col("__n"))).alias(name))
 
 
@@ -115,7 +122,7 @@ def active_at(
     steps = steps.groupBy(company, "__day", "__kind").agg(F.sum("__delta").cast("int").alias("__delta"))
     both = records.unionByName(steps, allowMissingColumns=True)
     counted = totals_before(
-        both, [company], ["__day", "__kind"], {"__open": ("sum", F.col("__delta"))}, day_number(F.col("__day"))
+        both, [company], ["__day", "__kind"], {"__open": ("sum", F.col("__delta"))}, day_bucket(F.col("__day"))
     ).where("__kind = 1")
     in_force = F.col(company).isNotNull() & (F.coalesce("__open", F.lit(0)) > 0)
     return counted.select(*df.columns, in_force.alias(name))
@@ -129,6 +136,6 @@ def overlaps_earlier(
     The latest end among earlier records decides, so overlapping pairs are never formed.
     """
     known = totals_before(
-        df, keys, [start, ident], {"__until": ("max", F.to_date(end))}, day_number(F.col(start)))
+        df, keys, [start, ident], {"__until": ("max", F.to_date(end))}, day_bucket(F.col(start)))
     still = F.coalesce(F.col("__until") >= F.to_date(start), F.lit(False))
     return known.select(*df.columns, still.alias(name))

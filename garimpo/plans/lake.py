@@ -166,8 +166,7 @@ def gold_features(t: Tables):
 def write_metadata(t: Tables):
     rows = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").cast("string").alias("ano"))
     path = sinks.write_silver(rows, fresh_path(t.spark, "silver"), "orders", ["ano"])
-    back = lake.read_table(t.spark, path).withColumn("ano", F.col("ano").cast("string"))
-    return sinks.write_metadata(back, "silver", ["ano"])
+    return sinks.write_metadata(lake.read_table(t.spark, path), "silver", ["ano"])
 
 
 @query("K4", """SELECT o_orderstatus, count(*) AS records, sum(n) AS itens FROM orders
@@ -231,7 +230,7 @@ def registry_snapshot(t: Tables):
     path = _csv(_companies(t), fresh_path(t.spark, "dump"), 10)
     rows = registry_files.read_registry(t.spark, path, "empresas")
     table = sinks.write_registry(rows, fresh_path(t.spark, "registry"), "empresas", "2025-10")
-    return t.spark.read.parquet(table).withColumn("version", F.col("version").cast("string"))
+    return lake.read_table(t.spark, table)
 
 
 @query("S11 S12 S13 A12", """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from garimpo.operators import gold, history, silver
+from garimpo.operators.running import range_bucket
 from garimpo.plans.registry import Tables, query
 from garimpo.plans.shapes import money
 
@@ -162,7 +163,9 @@ h AS (SELECT o_orderkey, avg((score > 0.8)::INT) OVER (PARTITION BY c_nationkey,
 SELECT o_orderkey, coalesce(own, every) AS encoded FROM h""")
 def target_encoding(t: Tables):
     base = contracts(t).withColumn("group", F.concat_ws("|", F.col("c_nationkey").cast("string"), "cat"))
-    known = history.target_encoding(base, "group", ["d", "o_orderkey"], "d", (F.col("score") > 0.8).cast("int"), "encoded")
+    label = (F.col("score") > 0.8).cast("int")
+    parts = range_bucket(F.col("o_orderkey"), 1 << 20)
+    known = history.target_encoding(base, "group", ["d", "o_orderkey"], "d", label, "encoded", parts)
     return known.select("o_orderkey", "encoded")
 
 

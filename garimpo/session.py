@@ -29,6 +29,16 @@ def build_session(app: str = "garimpo", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+def cluster_settings(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizes for the largest shuffle of a job; AQE merges what turns out smaller."""
+    partitions = min(max(200, -(-shuffle_bytes // partition_bytes)), 200_000)
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for tables that cut lineage.
 

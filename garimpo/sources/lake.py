@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,16 +15,36 @@ from garimpo.operators.dedupe import dedupe_files
 DAY_PARTS = ("year", "month", "day")
 
 
+TYPE_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
+
+@contextmanager
+def text_partitions(spark: SparkSession) -> Iterator[None]:
+    """Open tables with partition values as text, whatever the session says.
+
+    Inference would turn month "05" into 5 and version "2025-10" into a date. Partition values are
+    resolved when a table is opened, so the setting is needed only for that moment.
+    """
+    before = spark.conf.get(TYPE_INFERENCE)
+    spark.conf.set(TYPE_INFERENCE, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(TYPE_INFERENCE, before)
+
+
 def table_path(base: str, source: str) -> str:
     return f"{base.rstrip('/')}/{source}"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All days of a table; files may differ in columns and are matched by name."""
-    reader = spark.read.option("mergeSchema", "true")
-    if schema is not None:
-        reader = spark.read.schema(schema)
-    return reader.parquet(path)
+    """All days of a table; files may differ in columns and are matched by name.
+
+    Without a schema every footer is read to merge them; give one where there are many files.
+    """
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
+    with text_partitions(spark):
+        return reader.parquet(path)
 
 
 def day_is(day: date) -> Column:

@@ -53,15 +53,18 @@ def column_names(entity: str, width: int) -> list[str]:
     return list(known) if len(known) == width else [f"col_{i}" for i in range(width)]
 
 
-def read_registry(spark: SparkSession, path: str | list[str], entity: str) -> DataFrame:
+def read_registry(
+    spark: SparkSession, path: str | list[str], entity: str, multi_line: bool = True
+) -> DataFrame:
     """A headerless semicolon dump in ISO-8859-1; every column is text.
 
-    Quotes double inside quotes (a backslash is plain text) and may hold line breaks, hence
-    ``multiLine``: parallelism is one task per part file.
+    Quotes double inside quotes (a backslash is plain text) and may hold line breaks. Reading
+    those needs one task per part file; dumps known to have none split further with
+    ``multi_line=False``.
     """
     raw = spark.read.csv(
         path, sep=";", encoding="ISO-8859-1", header=False, inferSchema=False,
-        quote='"', escape='"', multiLine=True,
+        quote='"', escape='"', multiLine=multi_line,
     )
     names = column_names(entity, len(raw.columns))
     return raw.select(*(

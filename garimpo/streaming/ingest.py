@@ -49,17 +49,17 @@ def ingest_batch(job: Ingest, batch: DataFrame, run: str) -> None:
     ignores the run's own ids, so repeating a failed run gives the same tables.
     """
     day = F.date_format(to_local(F.col(job.at)), "yyyy-MM-dd")
-    key = F.concat_ws("|", F.col("__day"), F.col(job.id_col).cast("string"))
-    known = job.state.ids(job.source, job.detail_type, before_run=run).select(
-        F.concat_ws("|", "date", "id").alias("k")
-    )
     rows = batch.withColumn("__day", day)
+    ided = rows.where(present(rows, F.col(job.id_col)))
     if job.dedupe:
-        ided = keep_first(rows.where(present(rows, F.col(job.id_col))), ["__day", job.id_col], list(job.order))
-    else:
-        ided = rows.where(present(rows, F.col(job.id_col)))
+        ided = keep_first(ided, ["__day", job.id_col], list(job.order))
     checked = with_errors(ided, job.id_col, job.date_col or "__none")
-    flagged = flag_new(checked, key, known, "__new").persist(StorageLevel.MEMORY_AND_DISK)
+    # Only the days of this batch are opened in the state; a batch has few of them.
+    days = [row["__day"] for row in rows.select("__day").distinct().collect()]
+    known = job.state.ids(job.source, job.detail_type, before_run=run).where(F.col("date").isin(days))
+    keys = [F.col("__day"), F.col(job.id_col).cast("string")]
+    flagged = flag_new(checked, keys, known.select("date", "id"), "__new")
+    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fresh = flagged.where("__new").drop("__new", "__day", "errors")
         if job.transform is not None:

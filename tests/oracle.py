@@ -64,7 +64,13 @@ def main() -> int:
     from garimpo.session import build_session
 
     folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    if os.environ.get("PLAIN"):
+        from pyspark.sql import SparkSession
+
+        plain = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        spark = plain.config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", os.environ["PLAIN"]).getOrCreate()
+    else:
+        spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = duck(folder), entry.oracle_sql(), 0
     names = sys.argv[1:]

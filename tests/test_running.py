@@ -98,7 +98,8 @@ def test_overlaps_and_encoding(spark, rows):
     for r in history.overlaps_earlier(df, ["k"], "d", "e", "id", "hit").where("k is not null").collect():
         assert r.hit == any(x.k == r.k and (x.d, x.id) < (r.d, r.id) and x.e >= r.d for x in data)
     label = F.col("flag").cast("int")
-    for r in history.target_encoding(df.where("k is not null"), "k", ["d", "id"], "d", label, "enc").collect():
+    parts = running.range_bucket(F.col("id"), 100)
+    for r in history.target_encoding(df.where("k is not null"), "k", ["d", "id"], "d", label, "enc", parts).collect():
         past = [x for x in data if x.k is not None and (x.d, x.id) < (r.d, r.id)]
         own = [x for x in past if x.k == r.k] or past
         assert r.enc == (pytest.approx(sum(x.flag for x in own) / len(own)) if own else None)
