@@ -53,13 +53,21 @@ class StateTable:
     def runs(self) -> DataFrame:
         return _read_or_empty(self.spark, self.log_path, RUN_LOG_SCHEMA)
 
-    def add(self, new_ids: DataFrame, source: str, run: str, detail_type: str = RECORDS) -> None:
-        """Union the ids of ``new_ids`` (columns ``id, date``) into the state."""
-        known = self.ids(source, detail_type, before_run=run).select("id", "date")
-        fresh = actually_new(new_ids.select("id", F.col("date").cast("string").alias("date")), known)
+    def add(self, new_ids: DataFrame, source: str, run: str, detail_type: str = RECORDS,
+            known_new: bool = False) -> None:
+        """Union the ids of ``new_ids`` (columns ``id, date``) into the state.
+
+        ``known_new`` says that the state filter has already passed, so it is not read again.
+        """
+        wanted = new_ids.select(F.col("id").cast("string").alias("id"), F.col("date").cast("string").alias("date"))
+        if known_new:
+            fresh = wanted.distinct()
+        else:
+            days = [row["date"] for row in wanted.select("date").distinct().collect()]  # calendar days
+            known = self.ids(source, detail_type, before_run=run).where(F.col("date").isin(days))
+            fresh = actually_new(wanted, known.select("id", "date"))
         rows = fresh.select(
-            F.col("id").cast("string").alias("id"), F.current_timestamp().alias("first_seen"),
-            F.lit(source).alias("source"), F.lit(detail_type).alias("detail_type"),
+            "id", F.current_timestamp().alias("first_seen"), F.lit(source).alias("source"), F.lit(detail_type).alias("detail_type"),
             "date", F.lit(run).alias("run"),
         )
         writer = rows.hint("rebalance", "date").write.mode("overwrite")

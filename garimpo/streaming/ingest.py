@@ -69,7 +69,7 @@ def ingest_batch(job: Ingest, batch: DataFrame, run: str) -> None:
         new_ids = flagged.where("__new").select(
             F.col(job.id_col).cast("string").alias("id"), F.col("__day").alias("date")
         )
-        job.state.add(new_ids, job.source, run, job.detail_type)
+        job.state.add(new_ids, job.source, run, job.detail_type, known_new=True)
         job.state.log(_run_log(job, rows, flagged, run))
     finally:
         flagged.unpersist()
