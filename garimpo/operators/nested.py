@@ -31,11 +31,13 @@ def company_of(df: DataFrame) -> Column:
 def child_lists(children: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """One sorted array of structs per parent key; the order columns lead the struct.
 
-    A list is one row of the result, so its size is bound by what one record may hold.
+    A list is one row of the result, so its size is bound by what one record may hold. Collecting
+    before the shuffle would not shrink anything, hence the rows move first; a join on the same
+    keys finds them in place.
     """
     rest = [c for c in children.columns if c not in keys and c not in order]
     entry = F.struct(*order, *rest)
-    return children.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias(name))
+    return children.dropna(subset=list(keys)).repartition(*keys).groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias(name))
 
 
 def enrich(

@@ -40,7 +40,8 @@ def write_bronze(
 def write_silver(df: DataFrame, base: str, table: str, partition_cols: Sequence[str] = ()) -> str:
     """Replace the written partitions of a silver table, or the whole table without partitions."""
     path = table_path(base, table)
-    writer = df.write.mode("overwrite").option("compression", "snappy")
+    clustered = df.hint("rebalance", *partition_cols) if partition_cols else df
+    writer = clustered.write.mode("overwrite").option("compression", "snappy")
     if partition_cols:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
     writer.parquet(path)

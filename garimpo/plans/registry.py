@@ -20,14 +20,16 @@ REGISTRY: dict[str, Query] = {}
 
 
 class Tables:
-    """Parquet tables of one folder, read on attribute access."""
+    """Parquet tables of one folder, opened on first access."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def query(ids: str, sql: str | None = None):

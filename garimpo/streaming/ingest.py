@@ -54,8 +54,9 @@ def ingest_batch(job: Ingest, batch: DataFrame, run: str) -> None:
     if job.dedupe:
         ided = keep_first(ided, ["__day", job.id_col], list(job.order))
     checked = with_errors(ided, job.id_col, job.date_col or "__none")
-    # Only the days of this batch are opened in the state; a batch has few of them.
-    days = [row["__day"] for row in rows.select("__day").distinct().collect()]
+    # One row per day of the batch: the input side of the run log, and the days to open in the state.
+    counted = _input_by_day(job, rows)
+    days = [row["date"] for row in counted.select("date").collect()]
     known = job.state.ids(job.source, job.detail_type, before_run=run).where(F.col("date").isin(days))
     keys = [F.col("__day"), F.col(job.id_col).cast("string")]
     flagged = flag_new(checked, keys, known.select("date", "id"), "__new")
@@ -70,22 +71,27 @@ def ingest_batch(job: Ingest, batch: DataFrame, run: str) -> None:
             F.col(job.id_col).cast("string").alias("id"), F.col("__day").alias("date")
         )
         job.state.add(new_ids, job.source, run, job.detail_type, known_new=True)
-        job.state.log(_run_log(job, rows, flagged, run))
+        job.state.log(_run_log(job, counted, flagged, run))
     finally:
         flagged.unpersist()
 
 
-def _run_log(job: Ingest, rows: DataFrame, flagged: DataFrame, run: str) -> DataFrame:
-    """One log row per day of the batch."""
-    seen = rows.groupBy(F.col("__day").alias("date")).agg(
+def _input_by_day(job: Ingest, rows: DataFrame) -> DataFrame:
+    """Rows and rows without id per day, held as a local table: the batch is not read again for it."""
+    counted = rows.groupBy(F.col("__day").alias("date")).agg(
         F.count("*").alias("input_rows"),
         F.sum((~has_text(F.col(job.id_col))).cast("long")).alias("missing_id_rows"),
     )
+    return job.spark.createDataFrame(counted.collect(), counted.schema)
+
+
+def _run_log(job: Ingest, counted: DataFrame, flagged: DataFrame, run: str) -> DataFrame:
+    """One log row per day of the batch."""
     kept = flagged.groupBy(F.col("__day").alias("date")).agg(
         F.sum(F.col("__new").cast("long")).alias("new_rows"),
         F.sum((F.col("__new") & (F.size("errors") > 0)).cast("long")).alias("invalid_rows"),
     )
-    return seen.join(kept, "date", "left").fillna(0, ["new_rows", "invalid_rows"]).select(
+    return counted.join(kept, "date", "left").fillna(0, ["new_rows", "invalid_rows"]).select(
         F.lit(job.source).alias("source"), F.lit(job.detail_type).alias("detail_type"), "date",
         F.lit(run).alias("run"), F.current_timestamp().alias("run_ts"), "input_rows", "new_rows",
         (F.col("input_rows") - F.col("new_rows")).alias("duplicate_rows"),
