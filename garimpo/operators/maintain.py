@@ -74,9 +74,9 @@ def compact(
     table = _days(read_table(spark, path), start, end)
     stats = compaction_stats(table, id_col)
     # One row per day partition: partition metadata, not table data.
-    found = stats.collect()
-    result = spark.createDataFrame(found, stats.schema)
-    if dry_run or not any(row["needs_work"] for row in found):
+    found = stats.toArrow()
+    result = spark.createDataFrame(found)
+    if dry_run or True not in found.column("needs_work").to_pylist():
         return result
     work = result.where("needs_work").select(
         *DAY_PARTS, F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int").alias("__files")
@@ -115,7 +115,7 @@ def clean_day(spark: SparkSession, folders: Sequence[str], dry_run: bool = False
         F.count("*").alias("files"), (F.sum("length") / (1024 * 1024)).alias("size_mb")
     )
     # One row per folder of the day; fixed before the files go away.
-    result = spark.createDataFrame(per_folder.collect(), schema)
+    result = spark.createDataFrame(per_folder.toArrow())
     if not dry_run:
         _delete(spark, present)
     return result

@@ -82,7 +82,7 @@ def _input_by_day(job: Ingest, rows: DataFrame) -> DataFrame:
         F.count("*").alias("input_rows"),
         F.sum((~has_text(F.col(job.id_col))).cast("long")).alias("missing_id_rows"),
     )
-    return job.spark.createDataFrame(counted.collect(), counted.schema)
+    return job.spark.createDataFrame(counted.toArrow())
 
 
 def _run_log(job: Ingest, counted: DataFrame, flagged: DataFrame, run: str) -> DataFrame:
