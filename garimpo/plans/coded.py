@@ -203,10 +203,11 @@ def entities_in_notices(t: Tables):
 
 
 @query("B5", """
-SELECT doc_id, len(regexp_extract_all(text, '[0-9]{2}\\.?[0-9]{3}\\.?[0-9]{3}/?[0-9]{4}-?[0-9]{2}')) AS n_cnpjs,
+SELECT * REPLACE (n_cnpjs::INT AS n_cnpjs, n_valores::INT AS n_valores, n_datas::INT AS n_datas, n_digits::INT AS n_digits)
+FROM (SELECT doc_id, len(regexp_extract_all(text, '[0-9]{2}\\.?[0-9]{3}\\.?[0-9]{3}/?[0-9]{4}-?[0-9]{2}')) AS n_cnpjs,
   len(regexp_extract_all(text, 'R\\$ ?[0-9]{1,3}(\\.[0-9]{3})*(,[0-9]{2})?')) AS n_valores,
   len(regexp_extract_all(text, '\\b[0-9]{2}/[0-9]{2}/[0-9]{4}\\b|\\b[0-9]{4}-[0-9]{2}-[0-9]{2}\\b')) AS n_datas,
-  length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits FROM documents""")
+  length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits FROM documents)""")
 def entities_in_documents(t: Tables):
     found = text.extract_entities(F.col("text"))
     return t.documents.select(

@@ -99,7 +99,7 @@ def class_balance(t: Tables):
 WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings),
 q AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1),
 s AS (SELECT q.vec_id AS probe, e.vec_id, list_cosine_similarity(q.v, e.v) AS sim FROM q JOIN e ON q.vec_id <> e.vec_id)
-SELECT probe, vec_id, round(sim, 9) AS similarity, row_number() OVER (PARTITION BY probe ORDER BY sim DESC, vec_id) AS rank
+SELECT probe, vec_id, round(sim, 9) AS similarity, row_number() OVER (PARTITION BY probe ORDER BY sim DESC, vec_id)::INT AS rank
 FROM s QUALIFY row_number() OVER (PARTITION BY probe ORDER BY sim DESC, vec_id) <= 10""")
 def similar_records(t: Tables):
     # One probe per label: its first vector. Every vector is scored.
@@ -150,7 +150,7 @@ def term_weights(t: Tables):
 
 
 @query("B30", f"""WITH {WORDS_SQL}, r AS (SELECT doc_id, term, tf, row_number() OVER (PARTITION BY doc_id
-  ORDER BY round(weight, 9) DESC, term) AS rank FROM x)
+  ORDER BY round(weight, 9) DESC, term)::INT AS rank FROM x)
 SELECT * FROM r WHERE rank <= 3""")
 def top_terms(t: Tables):
     # Equal weights may differ in the last bit between engines, so ties are settled on rounded ones.
@@ -189,7 +189,7 @@ def top_buyers(t: Tables):
 
 
 @query("B21", f"""WITH {REC_SQL}, r AS (SELECT d, o_orderkey, row_number() OVER (PARTITION BY d
-  ORDER BY score DESC, o_orderkey) AS rank FROM rec WHERE score > 0.8)
+  ORDER BY score DESC, o_orderkey)::INT AS rank FROM rec WHERE score > 0.8)
 SELECT * FROM r WHERE rank <= 20""")
 def explain_queue(t: Tables):
     return gold.explain_queue(contracts(t), "d", "score", "o_orderkey").select("d", "o_orderkey", "rank")

@@ -83,7 +83,7 @@ def daily_reconcile(t: Tables):
 
 
 @query("T3 N1", """
-SELECT strftime(o_orderdate, '%Y-01-01') AS date, count(*) AS records, sum(coalesce(n, 0)) AS itens
+SELECT strftime(o_orderdate, '%Y-01-01') AS date, count(*) AS records, sum(coalesce(n, 0))::BIGINT AS itens
 FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
 GROUP BY 1""")
 def chunked_enrichment(t: Tables):

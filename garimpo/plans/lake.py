@@ -169,7 +169,7 @@ def write_metadata(t: Tables):
     return sinks.write_metadata(lake.read_table(t.spark, path), "silver", ["ano"])
 
 
-@query("K4", """SELECT o_orderstatus, count(*) AS records, sum(n) AS itens FROM orders
+@query("K4", """SELECT o_orderstatus, count(*) AS records, sum(n)::BIGINT AS itens FROM orders
 JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey GROUP BY 1""")
 def details_chunks(t: Tables):
     lists = t.lineitem.groupBy("l_orderkey").agg(
@@ -238,8 +238,10 @@ WITH n(entity, total_files, successes, total_rows) AS (
   SELECT 'empresas', 10, 10, count(*) FROM customer UNION ALL SELECT 'cnaes', 1, 1, count(*) FROM nation
   UNION ALL SELECT * FROM (VALUES ('estabelecimentos', 10, 0, 0), ('socios', 10, 0, 0), ('simples', 1, 0, 0),
     ('municipios', 1, 0, 0), ('naturezas', 1, 0, 0), ('qualificacoes', 1, 0, 0), ('paises', 1, 0, 0), ('motivos', 1, 0, 0)))
-SELECT *, total_files - successes AS failures FROM n
-UNION ALL SELECT 'TOTAL', sum(total_files), sum(successes), sum(total_rows), sum(total_files - successes) FROM n""")
+SELECT entity, total_files::BIGINT AS total_files, successes::BIGINT AS successes, total_rows::BIGINT AS total_rows,
+  (total_files - successes)::BIGINT AS failures FROM n
+UNION ALL SELECT 'TOTAL', sum(total_files)::BIGINT, sum(successes)::BIGINT, sum(total_rows)::BIGINT,
+  sum(total_files - successes)::BIGINT FROM n""")
 def registry_ingest_totals(t: Tables):
     nations = t.nation.select(F.col("n_nationkey").cast("string"), "n_name")
     dumps = {"empresas": _csv(_companies(t), fresh_path(t.spark, "dump"), 10),
@@ -278,7 +280,7 @@ def compaction_preview(t: Tables):
 
 
 @query("M1", f"""
-SELECT {LOCAL_SQL}::DATE AS date, count(*) AS records, 1 AS files, count(DISTINCT event_id) AS ids,
+SELECT {LOCAL_SQL}::DATE AS date, count(*) AS records, 1::BIGINT AS files, count(DISTINCT event_id) AS ids,
   sum(value::DECIMAL(15,2))::DOUBLE AS total FROM events GROUP BY 1""")
 def compacted_days(t: Tables):
     path = _two_runs(t)

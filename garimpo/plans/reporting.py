@@ -13,7 +13,7 @@ from garimpo.plans.shapes import KEYS, attachments, items, money_sum, records, r
 COVERAGE_SQL = """
 SELECT CASE grouping(y, m) WHEN 3 THEN 'total' WHEN 1 THEN 'year' ELSE 'month' END AS grain,
   y AS year, m AS year_month, count(*) AS records, count(DISTINCT id) AS unique_ids
-FROM (SELECT year(d) AS y, strftime(d, '%Y-%m') AS m, id FROM src) GROUP BY GROUPING SETS ((), (y), (y, m))
+FROM (SELECT year(d)::INT AS y, strftime(d, '%Y-%m') AS m, id FROM src) GROUP BY GROUPING SETS ((), (y), (y, m))
 """
 
 
@@ -28,7 +28,7 @@ def coverage_of_new_records(t: Tables):
 @query("A1", """
 SELECT CASE grouping(y, m, d) WHEN 7 THEN 'total' WHEN 3 THEN 'year' WHEN 1 THEN 'month' ELSE 'day' END AS grain,
   y AS year, m AS year_month, d AS day, count(*) AS records, count(DISTINCT l_orderkey) AS unique_ids
-FROM (SELECT year(l_shipdate) AS y, strftime(l_shipdate, '%Y-%m') AS m, strftime(l_shipdate, '%Y-%m-%d') AS d,
+FROM (SELECT year(l_shipdate)::INT AS y, strftime(l_shipdate, '%Y-%m') AS m, strftime(l_shipdate, '%Y-%m-%d') AS d,
   l_orderkey FROM lineitem) GROUP BY GROUPING SETS ((), (y), (y, m), (y, m, d))""")
 def coverage_by_day(t: Tables):
     return reports.coverage(t.lineitem, F.col("l_shipdate"), F.col("l_orderkey"), detailed=True)
@@ -40,7 +40,7 @@ WITH src AS (SELECT try_cast(CASE WHEN o_orderpriority = '5-LOW' THEN 'unknown'
   CASE WHEN o_orderstatus = 'P' THEN 'None' ELSE o_custkey::VARCHAR END || '-' || year(o_orderdate) AS id FROM orders),
 g AS (SELECT CASE grouping(y, m) WHEN 3 THEN 'total' WHEN 1 THEN 'year' ELSE 'month' END AS grain,
   y AS year, m AS year_month, count(*) AS records, count(DISTINCT id) AS unique_ids
-FROM (SELECT year(d) AS y, strftime(d, '%Y-%m') AS m, id FROM src) GROUP BY GROUPING SETS ((), (y), (y, m)))
+FROM (SELECT year(d)::INT AS y, strftime(d, '%Y-%m') AS m, id FROM src) GROUP BY GROUPING SETS ((), (y), (y, m)))
 SELECT *, CASE WHEN records > unique_ids THEN records / unique_ids END AS avg_records FROM g""")
 def coverage_with_fallback_id(t: Tables):
     company = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast("string"))
@@ -68,7 +68,7 @@ r AS (SELECT o_orderkey, o_orderdate, o_orderpriority = '5-LOW' OR o_orderkey =
   o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' AS unreadable FROM orders),
 i AS (SELECT l_orderkey, count(*) AS n, sum(l_extendedprice::DECIMAL(15,2))::DOUBLE AS total FROM lineitem GROUP BY 1),
 e AS (SELECT o_orderkey, o_orderdate, no_key, unreadable,
-  CASE WHEN no_key OR unreadable THEN 0 ELSE coalesce(i.n, 0) END AS itens,
+  CASE WHEN no_key OR unreadable THEN 0 ELSE coalesce(i.n, 0) END::INT AS itens,
   CASE WHEN no_key OR unreadable THEN 0 ELSE coalesce(total, 0) END AS valor,
   CASE WHEN no_key OR unreadable OR doc_id IS NULL THEN 0 ELSE 1 END AS arquivos,
   CASE WHEN no_key THEN 'Missing cnpj/ano/sequencial' WHEN unreadable THEN 'unreadable page' END AS fetch_error
@@ -90,8 +90,8 @@ def enriched_records(t: Tables):
 
 
 @query("N4", f"""WITH {ENRICHED_SQL}
-SELECT year(o_orderdate) AS ano, count(*) AS processed, sum(itens) AS total_itens, sum(arquivos) AS total_arquivos,
-  sum(CASE WHEN no_key THEN 0 ELSE 2 END) AS api_calls, count(fetch_error) AS errors FROM e GROUP BY 1""")
+SELECT year(o_orderdate)::INT AS ano, count(*) AS processed, sum(itens)::BIGINT AS total_itens,
+  sum(arquivos)::BIGINT AS total_arquivos, sum(CASE WHEN no_key THEN 0 ELSE 2 END)::BIGINT AS api_calls, count(fetch_error) AS errors FROM e GROUP BY 1""")
 def enrichment_totals(t: Tables):
     return nested.enrichment_totals(_enriched(t), ["anoCompra"]).withColumnRenamed("anoCompra", "ano")
 
@@ -110,7 +110,7 @@ def flattened_items(t: Tables):
 
 
 @query("A5", f"""WITH {ENRICHED_SQL}
-SELECT count(*) AS total_contratacoes, sum(itens) AS total_itens, sum(arquivos) AS total_arquivos,
+SELECT count(*) AS total_contratacoes, sum(itens)::BIGINT AS total_itens, sum(arquivos)::BIGINT AS total_arquivos,
   round(sum(itens) / count(*), 2) AS avg_itens_per_contratacao,
   round(sum(arquivos) / count(*), 2) AS avg_arquivos_per_contratacao FROM e""")
 def details_summary(t: Tables):
@@ -155,8 +155,8 @@ def status_shares(t: Tables):
 
 
 @query("A9", f"""WITH {ENRICHED_SQL}
-SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, count(*) AS contratacoes, sum(itens) AS itens,
-  sum(arquivos) AS arquivos FROM e GROUP BY 1""")
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, count(*) AS contratacoes, sum(itens)::BIGINT AS itens,
+  sum(arquivos)::BIGINT AS arquivos FROM e GROUP BY 1""")
 def daily_breakdown(t: Tables):
     return reports.daily_breakdown(
         _enriched(t), F.col("dataPublicacaoPncp"), nested.list_size("itens"), nested.list_size("arquivos"))
@@ -174,8 +174,8 @@ def transformation_summary(t: Tables):
 WITH d AS (SELECT o_orderdate::DATE AS day, count(*) AS fetched,
   count(*) FILTER (o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')) AS new_records
   FROM orders GROUP BY 1),
-r AS (SELECT day, sum(fetched) AS fetched, sum(new_records) AS new_records,
-  sum(CASE WHEN new_records > 0 THEN 1 ELSE 0 END) AS files FROM d GROUP BY ROLLUP (day))
+r AS (SELECT day, sum(fetched)::BIGINT AS fetched, sum(new_records)::BIGINT AS new_records,
+  sum(CASE WHEN new_records > 0 THEN 1 ELSE 0 END)::BIGINT AS files FROM d GROUP BY ROLLUP (day))
 SELECT *, fetched - new_records AS duplicates, (fetched - new_records) / fetched * 100 AS efficiency_rate FROM r""")
 def backfill_totals(t: Tables):
     dated = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day"))
