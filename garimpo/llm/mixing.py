@@ -164,61 +164,100 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def mix(sized: DataFrame, quotas: dict, repeats: int = REPEATS, seed: int = SEED) -> tuple[DataFrame, dict]:
-    """Documents with the number of times each is taken, and the words routed from pattern to source.
-
-    ``sized`` has doc_id, sources (array of strings, null entries allowed) and size. Documents are added
-    up by membership pattern (their distinct sources); ``route`` gives each pattern its words. Whole
-    copies go to all documents of the pattern; the rest goes to documents in the order of a seeded hash,
-    in equal parts over size classes (powers of two), so the selection is representative and the gap is
-    below the smallest document that was left. Documents with the same id have the same hash and are
-    taken together. Every step is a function of ids, sizes and the seed, so reruns agree.
+class Mixture:
+    """Copies per document as a rule over pattern, size class and seeded hash; small, so it is broadcast."""
+
+    def __init__(self, seed: int):
+        self.seed = seed
+        self.patterns: list[tuple[str, int, int]] = []
+        self.points: dict = {}
+        self.extra: dict = {}
+        self.flow: dict = {}
+
+    def coded(self, df: DataFrame, id_col: str, sources_col: str, size_col: str) -> DataFrame:
+        """Adds __pattern, __base, __cls and __hash."""
+        patterns = df.sparkSession.createDataFrame(self.patterns, "__key string, __pattern int, __base int")
+        return (
+            df.withColumn("__key", _pattern_key(sources_col)).join(F.broadcast(patterns), "__key").drop("__key")
+            .withColumn("__cls", _size_class(F.col(size_col)))
+            .withColumn("__hash", F.xxhash64(F.lit(self.seed), F.col(id_col).cast("long"))))
+
+    def chosen(self, coded: DataFrame) -> DataFrame:
+        """Adds ``copies`` and whether the rule takes the row's last part."""
+        # As signed numbers, hashes at or above 2**63 are negative: compare with the sign bit flipped.
+        rule = coded.sparkSession.createDataFrame(
+            [(p, c, _signed(max(v, 0) ^ (1 << 63)), v >= 0, _signed(self.extra.get((p, c), 0)), (p, c) in self.extra)
+             for (p, c), v in self.points.items()],
+            "__pattern int, __cls int, __upto long, __some boolean, __more long, __has boolean")
+        take = (F.col("__some") & (_ordered(F.col("__hash")) <= F.col("__upto"))) | (
+            F.col("__has") & (F.col("__hash") == F.col("__more")))
+        return (
+            coded.join(F.broadcast(rule), ["__pattern", "__cls"]).withColumn("__take", take)
+            .withColumn("copies", F.col("__base") + F.col("__take").cast("int")))
+
+    def apply(self, df: DataFrame, id_col: str, sources_col: str, size_col: str) -> DataFrame:
+        """``df`` with ``copies``; no shuffle."""
+        return self.chosen(self.coded(df, id_col, sources_col, size_col)).select(*df.columns, "copies")
+
+
+def _ordered(value: Column) -> Column:
+    """Signed numbers in the order of the unsigned hash."""
+    return value.bitwiseXOR(F.lit(_signed(1 << 63)))
+
+
+def _pattern_key(sources_col: str) -> Column:
+    return F.to_json(F.struct(F.array_sort(F.array_distinct(F.transform(
+        sources_col, lambda s: F.coalesce(F.concat(F.lit("="), s), F.lit(""))))).alias("s")))
+
+
+def fit_mixture(sized: DataFrame, quotas: dict, repeats: int = REPEATS, seed: int = SEED) -> Mixture:
+    """How often each document of ``sized`` (doc_id, sources, size) is taken to meet the quotas.
+
+    ``sources`` is an array of strings; null entries are a source. Documents are added up by membership
+    pattern (their distinct sources); ``route`` gives each pattern its words. Whole copies go to all
+    documents of the pattern; the rest goes to documents in the order of a seeded hash, in equal parts
+    over size classes (powers of two), so the selection is representative and the gap is small. Documents
+    with the same id have the same hash and are taken together. Every step is a function of ids, sizes
+    and the seed, so reruns agree. The driver holds one row per pattern, class and hash bucket.
     """
-    spark = sized.sparkSession
-    key = F.to_json(F.struct(F.array_sort(F.array_distinct(
-        F.transform("sources", lambda s: F.coalesce(F.concat(F.lit("="), s), F.lit(""))))).alias("s")))
-    found = sized.select(key.alias("key"), "size", "sources").groupBy("key").agg(
+    out = Mixture(seed)
+    found = sized.select(_pattern_key("sources").alias("key"), "size", "sources").groupBy("key").agg(
         F.sum("size").alias("n"), F.any_value(F.array_distinct("sources")).alias("sources")).collect()
     found = sorted(found, key=lambda r: r.key)
-    members = {tuple(r.sources): r.n for r in found}
-    flow = route(members, quotas, repeats)
-    numbers, budgets, base = [], {}, {}
+    out.flow = route({tuple(r.sources): r.n for r in found}, quotas, repeats)
+    budgets = {}
     for i, r in enumerate(found):
-        words = sum(v for (p, _), v in flow.items() if p == tuple(r.sources))
-        base[i] = min(repeats, words // r.n) if r.n else 0
-        budgets[i] = words - base[i] * r.n
-        numbers.append((r.key, i, base[i]))
-    patterns = spark.createDataFrame(numbers, "key string, pattern int, base int")
-    rows = written(
-        sized.withColumn("key", key).join(F.broadcast(patterns), "key")
-        .select("doc_id", "sources", "pattern", "base", "size", _size_class(F.col("size")).alias("cls"),
-                F.xxhash64(F.lit(seed), "doc_id").alias("hash")),
-        "mix-rows")
-    at, gap = _thresholds(rows, budgets)
-
-    def chosen(points: dict, extra: dict) -> DataFrame:
-        # As signed numbers, hashes at or above 2**63 are negative: compare with the sign bit flipped.
-        table = spark.createDataFrame(
-            [(p, c, _signed((max(v, 0)) ^ (1 << 63)), v >= 0, _signed(extra.get((p, c), -1) % (1 << 64)), (p, c) in extra)
-             for (p, c), v in points.items()],
-            "pattern int, cls int, upto long, some boolean, more long, has_more boolean")
-        flipped = F.col("hash").bitwiseXOR(F.lit(_signed(1 << 63)))
-        take = (F.col("some") & (flipped <= F.col("upto"))) | (F.col("has_more") & (F.col("hash") == F.col("more")))
-        return rows.join(F.broadcast(table), ["pattern", "cls"]).select(
-            "doc_id", "sources", "pattern", "cls", "size", "hash", take.alias("take"),
-            (F.col("base") + F.when(take, 1).otherwise(0)).alias("copies"))
-
+        words = sum(v for (p, _), v in out.flow.items() if p == tuple(r.sources))
+        base = min(repeats, words // r.n) if r.n else 0
+        budgets[i] = words - base * r.n
+        out.patterns.append((r.key, i, base))
+    coded = out.coded(sized, "doc_id", "sources", "size")
+    rows = coded.select(
+        F.col("__pattern").alias("pattern"), F.col("__cls").alias("cls"), F.col("__hash").alias("hash"), "size")
+    out.points, gap = _thresholds(rows, budgets)
     # One more document of a class may close the gap: look at the next hash of each class once.
-    extra: dict = {}
-    rest = chosen(at, {}).filter(~F.col("take") & (F.col("size") > 0))
-    order = F.col("hash").bitwiseXOR(F.lit(_signed(1 << 63)))
-    same = rest.groupBy("pattern", "cls", "hash").agg(F.sum("size").alias("size"))
-    nexts = same.groupBy("pattern", "cls").agg(F.min_by(F.struct("hash", "size"), order).alias("next")).collect()
-    for r in sorted(nexts, key=lambda r: (r.pattern, -r.cls)):
-        if r.next["size"] <= gap[r.pattern]:
-            gap[r.pattern] -= r.next["size"]
-            extra[r.pattern, r.cls] = r.next["hash"]
-    return chosen(at, extra).select("doc_id", "sources", "size", "copies"), flow
+    rest = out.chosen(coded).filter(~F.col("__take") & (F.col("size") > 0))
+    same = rest.groupBy("__pattern", "__cls", "__hash").agg(F.sum("size").alias("size"))
+    nexts = same.groupBy("__pattern", "__cls").agg(
+        F.min_by(F.struct("__hash", "size"), _ordered(F.col("__hash"))).alias("next")).collect()
+    for r in sorted(nexts, key=lambda r: (r["__pattern"], -r["__cls"])):
+        if r.next["size"] <= gap[r["__pattern"]]:
+            gap[r["__pattern"]] -= r.next["size"]
+            out.extra[r["__pattern"], r["__cls"]] = r.next["__hash"]
+    return out
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return written(docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.array(F.col(source_col).cast("string")).alias("sources"),
+        word_count(F.col(text_col).cast("string")).alias("size")), "mix-sizes")
+
+
+def _source_mixture(sized: DataFrame, weights: tuple, share: float, repeats: int, seed: int):
+    by_source = sized.groupBy(F.col("sources")[0].alias("source")).agg(F.sum("size").alias("n"))
+    sizes = {r.source: r.n for r in by_source.collect()}
+    want = targets(sizes, weights, share, repeats)
+    return sizes, want, fit_mixture(sized, {s: round(v) for s, v in want.items()}, repeats, seed)
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -226,22 +265,30 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: doc_id, size, source_size, target, taken, copies.
 
     A null text has size 0; a null source is a source of its own and ordered last. Rows that repeat an id
-    are each counted and taken together. Texts without words are never taken more often than full ones
-    and add nothing. An empty table gives no rows. Other columns are ignored, whatever their names.
+    are each counted and taken together. Texts without words add nothing, whether taken or not. An empty
+    table gives no rows. Other columns are ignored, whatever their names.
 
     The driver holds one row per source. Sources are corpora, not documents; their number is bounded by
     the mixture's definition.
     """
-    spark = docs.sparkSession
-    sized = written(docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.array(F.col(source_col).cast("string")).alias("sources"),
-        word_count(F.col(text_col).cast("string")).alias("size")), "mix-sizes")
-    sizes = {r.source: r.n for r in sized.groupBy(F.col("sources")[0].alias("source")).agg(F.sum("size").alias("n")).collect()}
-    want = targets(sizes, weights, share, repeats)
-    taken, _ = mix(sized, {s: round(v) for s, v in want.items()}, repeats, seed)
-    facts = spark.createDataFrame(
+    sized = _sized(docs, id_col, text_col, source_col)
+    sizes, want, mixture = _source_mixture(sized, weights, share, repeats, seed)
+    facts = docs.sparkSession.createDataFrame(
         [(s, sizes[s], want[s]) for s in want], "source string, source_size long, target double")
-    return taken.withColumn("source", F.col("sources")[0]).alias("t").join(
-        F.broadcast(facts).alias("f"), F.col("t.source").eqNullSafe(F.col("f.source"))
-    ).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"),
-             "copies")
+    taken = mixture.apply(sized, "doc_id", "sources", "size").withColumn("from", F.col("sources")[0])
+    return taken.join(F.broadcast(facts), F.col("from").eqNullSafe(F.col("source"))).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies")
+
+
+def repeat_to_weights(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                      weights: tuple = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = SEED) -> DataFrame:
+    """``docs`` with every row as often as the mixture takes it (never, once, ...); columns unchanged."""
+    names = docs.columns
+    _, _, mixture = _source_mixture(_sized(docs, id_col, text_col, source_col), weights, share, repeats, seed)
+    rows = docs.withColumns({
+        "__sources": F.array(F.col(source_col).cast("string")), "__size": word_count(F.col(text_col).cast("string"))})
+    # The input may have a column of that name.
+    rows = rows.select([F.col(n).alias(f"__in_{i}") for i, n in enumerate(names)] + ["__sources", "__size"])
+    taken = mixture.apply(rows, f"__in_{names.index(id_col)}", "__sources", "__size").filter("copies > 0")
+    taken = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return taken.select([F.col(f"__in_{i}").alias(n) for i, n in enumerate(names)])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from garimpo.llm import decontaminate, exact_dedup, mixing
+import public_tokenizers
+
+from garimpo.llm import decontaminate, exact_dedup, mixing, near_dups, quality, token_files
 
 DIGEST = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
@@ -24,5 +26,18 @@ def op2_decontaminate(spark, folder):
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark")).select(*DIGEST)
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op9_exact_dedup, op10_mix_sources)}
+def op1_near_dedup(spark, folder):
+    return near_dups.near_duplicates(_table(spark, folder, "documents"))
+
+
+def op3_token_files(spark, folder):
+    return token_files.token_table(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_quality(spark, folder):
+    return quality.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_near_dedup, op2_decontaminate, op3_token_files, op6_quality, op9_exact_dedup, op10_mix_sources)}
 ORACLE_SQL = {"op2_decontaminate": decontaminate.SQL, "op9_exact_dedup": exact_dedup.SQL}
