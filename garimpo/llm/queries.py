@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from garimpo.llm import decontaminate, exact_dedup, mixing, near_dups, quality, token_files
+from garimpo.llm import (
+    decontaminate, exact_dedup, fixity, fuzzy_lines, mixing, near_dups, passages, quality, token_counts, token_files)
 
 DIGEST = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
@@ -34,10 +35,27 @@ def op3_token_files(spark, folder):
     return token_files.token_table(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_passages(spark, folder):
+    return passages.repeated_passages(_table(spark, folder, "documents"))
+
+
+def op5_token_counts(spark, folder):
+    return token_counts.token_counts(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_warc_fixity(spark, folder):
+    return fixity.audited_pages(_table(spark, folder, "pages"))
+
+
+def op8_fuzzy_lines(spark, folder):
+    return fuzzy_lines.dropped_lines(_table(spark, folder, "documents"))
+
+
 def op6_quality(spark, folder):
     return quality.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_near_dedup, op2_decontaminate, op3_token_files, op6_quality, op9_exact_dedup, op10_mix_sources)}
+    op1_near_dedup, op2_decontaminate, op3_token_files, op4_passages, op5_token_counts, op6_quality,
+    op7_warc_fixity, op8_fuzzy_lines, op9_exact_dedup, op10_mix_sources)}
 ORACLE_SQL = {"op2_decontaminate": decontaminate.SQL, "op9_exact_dedup": exact_dedup.SQL}
