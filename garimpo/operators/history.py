@@ -27,13 +27,15 @@ def company_history(
     """Earlier records of the company, their value and win rate, its age and running contracts.
 
     Ends of contracts enter the running total as -1 on the day after, so open contracts need no
-    self-join.
+    self-join. A contract that ends before it starts is never running; one without a start has no
+    day and therefore no end either.
     """
+    runs = F.col(end).isNull() | (F.to_date(end) >= F.to_date(start))
     records = df.withColumns({
         "__kind": F.lit(1), "__at": F.to_date(start), "__value": value, "__won": won.cast("int"),
-        "__delta": F.lit(1), "__id": F.col(ident),
+        "__delta": F.coalesce(runs, F.lit(False)).cast("int"), "__id": F.col(ident),
     })
-    ends = df.where(F.col(end).isNotNull() & F.col(company).isNotNull()).select(
+    ends = df.where(F.col(end).isNotNull() & runs & F.col(company).isNotNull()).select(
         company, F.lit(0).alias("__kind"), F.date_add(F.to_date(end), 1).alias("__at"),
         F.lit(-1).alias("__delta"), F.lit(None).cast(df.schema[ident].dataType).alias("__id"),
     )
@@ -112,7 +114,10 @@ def active_at(
 
     A sanction adds one on its first day and takes it back on the day after its last; the running
     total at a record is the number of sanctions in force. No record meets a sanction pairwise.
+    Sanctions without a first day, or with an end before it, are never in force.
     """
+    sanctions = sanctions.where(
+        F.col(start).isNotNull() & (F.col(end).isNull() | (F.to_date(end) >= F.to_date(start))))
     records = df.withColumns({"__day": F.to_date(at), "__kind": F.lit(1), "__delta": F.lit(0)})
     begins = sanctions.select(
         F.col(company), F.to_date(start).alias("__day"), F.lit(0).alias("__kind"), F.lit(1).alias("__delta"))

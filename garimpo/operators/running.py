@@ -1,10 +1,11 @@
 """Running totals, ranks and exact quantiles that survive a hot key.
 
 A window over one key sorts the whole key in one task. Here the key is cut into buckets
-that follow the order: bucket totals come from a map-side combined aggregate, a small
-window runs over bucket totals only, and the row-level window never sees more than one
-bucket. Any bucket expression that does not decrease along the order gives exact results;
-a finer one only spreads the work better.
+that follow the order, and neighbouring buckets into blocks: bucket and block totals come
+from map-side combined aggregates, one window runs over the blocks of a key, one over the
+buckets of a block, and the row-level window never sees more than one bucket. Any bucket
+expression that does not decrease along the order gives exact results; a finer one only
+spreads the work better.
 """
 
 from __future__ import annotations
@@ -13,8 +14,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET = "__bucket"
+BLOCK = "__block"
+# Buckets that make a block, where buckets are numbers.
+PER_BLOCK = 1024
 
 # How partial results of the same kind combine.
 _COMBINE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
@@ -29,6 +34,13 @@ def _merge(how: str, a: Column, b: Column) -> Column:
     return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
 
 
+def _block(kind: T.DataType) -> Column:
+    """A coarser bucket: neighbouring numbers together, or the leading field of a struct."""
+    if isinstance(kind, T.StructType):
+        return F.col(BUCKET)[kind.fields[0].name]
+    return F.floor(F.col(BUCKET) / PER_BLOCK) if isinstance(kind, T.NumericType) else F.col(BUCKET)
+
+
 def totals_before(
     df: DataFrame,
     keys: Sequence[str],
@@ -47,15 +59,29 @@ def totals_before(
     rows = df.withColumn(BUCKET, bucket)
     parts = rows.groupBy(*keys, BUCKET).agg(
         *(_START[how](col).alias(name) for name, (how, col) in measures.items())
-    )
-    whole = Window.partitionBy(*keys)
-    earlier = whole.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    ).withColumn(BLOCK, _block(rows.schema[BUCKET].dataType))
     overall = overall or {}
-    offsets = parts.select(
+    # Two levels: blocks of a key, then buckets of a block. No window sees all buckets of a hot key.
+    blocks = parts.groupBy(*keys, BLOCK).agg(*(_COMBINE[how](name).alias(name) for name, (how, _) in measures.items()))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocks.select(
+        *(F.col(k).alias(f"__b{i}") for i, k in enumerate(keys)),
+        F.col(BLOCK).alias("__bb"),
+        *(_COMBINE[how](name).over(before).alias(f"__far_{name}") for name, (how, _) in measures.items()),
+        *(_COMBINE[measures[m][0]](m).over(whole).alias(name) for name, m in overall.items()),
+    )
+    earlier = Window.partitionBy(*keys, BLOCK).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    near = parts.select(
+        *keys, BUCKET, BLOCK,
+        *(_COMBINE[how](name).over(earlier).alias(f"__near_{name}") for name, (how, _) in measures.items()),
+    )
+    here = [F.col(k).eqNullSafe(F.col(f"__b{i}")) for i, k in enumerate(keys)] + [F.col(BLOCK).eqNullSafe(F.col("__bb"))]
+    offsets = near.join(placed, here).select(
         *(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)),
         F.col(BUCKET).alias("__kb"),
-        *(_COMBINE[how](name).over(earlier).alias(f"__off_{name}") for name, (how, _) in measures.items()),
-        *(_COMBINE[measures[m][0]](m).over(whole).alias(name) for name, m in overall.items()),
+        *(_merge(how, F.col(f"__far_{n}"), F.col(f"__near_{n}")).alias(f"__off_{n}") for n, (how, _) in measures.items()),
+        *overall,
     )
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = rows.select(
@@ -71,10 +97,16 @@ def totals_before(
     )
 
 
-def magnitude_bucket(value: Column, per_octave: int = 16) -> Column:
-    """Monotone bucket of a number: logarithmic steps on both sides of zero."""
+def magnitude_bucket(value: Column, per_octave: int = 128) -> Column:
+    """Monotone bucket of a number: logarithmic steps on both sides of zero, NaN on top.
+
+    Steps are relative, so shares below one spread as prices do: 128 buckets between 0.5 and 1.
+    """
     v = value.cast("double")
-    return F.floor(F.signum(v) * F.log2(F.abs(v) + 1.0) * per_octave)
+    # Doubles lie between 2 ** -1074 and 2 ** 1024, so a shifted logarithm is positive for every one.
+    step = F.floor(F.least(F.log2(F.abs(v)), F.lit(1025.0)) * per_octave) + 1100 * per_octave
+    signed = F.when(v == 0, F.lit(0)).when(v > 0, step).otherwise(-step)
+    return F.when(F.isnan(v), F.lit(1 << 62)).otherwise(signed).cast("long")
 
 
 def range_bucket(value: Column, width: int) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from garimpo.functions.vectors import cosine_similarity
 
-# A batch of probes travels to every task; more than this must be split into several calls.
-MAX_PROBES = 1000
+# Probe vectors that are compared with a record at once.
+PROBE_BLOCK = 256
 
 
 def similar_to(base: DataFrame, ident: str, vector: str, probe: Column, k: int = 10) -> DataFrame:
@@ -24,16 +24,21 @@ def similar_to_id(base: DataFrame, ident: str, vector: str, wanted, k: int = 10)
     return similar_to(base.where(F.col(ident) != F.lit(wanted)), ident, vector, probe, k)
 
 
-def similar_batch(base: DataFrame, ident: str, vector: str, probes: DataFrame, k: int = 10) -> DataFrame:
+def similar_batch(
+    base: DataFrame, ident: str, vector: str, probes: DataFrame, k: int = 10, block: int = PROBE_BLOCK
+) -> DataFrame:
     """The k nearest records of each probe (same columns as the base), the probe itself left out.
 
-    The probes form one bounded literal list; every record is scored against it where it lies, and
-    a group limit keeps k rows per probe and task before anything is shuffled.
+    Any number of probes: they are dealt into blocks by their id's hash, each block one row that
+    holds about ``block`` vectors, and every record meets every block once. A group limit keeps k
+    rows per probe and task before anything is shuffled. The work is records times probes.
     """
-    if probes.limit(MAX_PROBES + 1).count() > MAX_PROBES:
-        raise ValueError(f"more than {MAX_PROBES} probes in one batch")
-    listed = probes.agg(F.sort_array(F.collect_list(F.struct(F.col(ident).alias("id"), F.col(vector).alias("v"))))).scalar()
-    scored = base.withColumn("__probes", listed).select(
+    blocks = max(1, -(-probes.count() // block))
+    held = probes.select(F.pmod(F.xxhash64(ident), F.lit(blocks)).alias("__block"), F.struct(
+        F.col(ident).alias("id"), F.col(vector).alias("v")).alias("p"))
+    held = held.groupBy("__block").agg(F.collect_list("p").alias("__probes"))
+    met = base.select(ident, vector, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("__block"))
+    scored = met.join(held, "__block").select(
         ident, F.explode(F.transform(
             "__probes", lambda p: F.struct(p["id"].alias("probe"), cosine_similarity(F.col(vector), p["v"]).alias("similarity"))
         )).alias("s"))

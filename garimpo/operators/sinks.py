@@ -21,7 +21,10 @@ def write_bronze(
     df: DataFrame, base: str, source: str, at: Column, run: str, fmt: str = "parquet",
     max_records_per_file: int = 0,
 ) -> str:
-    """Write by local business day of ``at`` (a UTC time column or literal); return the path."""
+    """Write by local business day of ``at`` (a UTC time column or literal); return the path.
+
+    Rows without a time go to the default partition, whose year, month and day read as null.
+    """
     path = table_path(base, source)
     placed = df.withColumns({**partition_parts(at), RUN: F.lit(run)})
     # Few files per day, yet a day holding most rows is split over tasks by AQE.

@@ -1,26 +1,35 @@
 """Processed-id state and the run log, as partitioned Parquet tables.
 
 State partitions are (source, detail_type, date, run). A run replaces its own partition when it
-is repeated and never touches another run's, so no read-modify-write takes place.
+is repeated and never touches another run's, so no read-modify-write takes place. ``merge_runs``
+turns the runs of a day into one partition; ``first_run`` keeps where an id came from.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from garimpo.functions.cleaning import has_text
+from garimpo.session import remove_path
 
-STATE_SCHEMA = "id string, first_seen timestamp, source string, detail_type string, date string, run string"
+STATE_SCHEMA = (
+    "id string, first_seen timestamp, first_run string, source string, detail_type string, date string, run string"
+)
 STATE_PARTS = ("source", "detail_type", "date", "run")
 RUN_LOG_SCHEMA = (
-    "detail_type string, date string, run_ts timestamp, input_rows long, new_rows long, duplicate_rows long, "
-    "missing_id_rows long, invalid_rows long, reported_new long, source string, run string"
+    "date string, run_ts timestamp, input_rows long, new_rows long, duplicate_rows long, missing_id_rows long, "
+    "invalid_rows long, undated_rows long, reported_new long, source string, detail_type string, run string"
 )
-RUN_LOG_PARTS = ("source", "run")
+RUN_LOG_PARTS = ("source", "detail_type", "run")
 REQUIRED_LOG_FIELDS = ("source", "date", "run", "input_rows", "new_rows")
 RECORDS, ITEMS, DOCUMENTS = "records", "itens", "arquivos"
+# The state's day of records that have no time.
+UNDATED = "undated"
+MERGED = "merged-"
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -41,13 +50,13 @@ class StateTable:
 
     def ids(self, source: str, detail_type: str = RECORDS, date: str | None = None,
             before_run: str | None = None) -> DataFrame:
-        """Processed ids with their day. ``before_run`` hides that run's own partition."""
+        """Processed ids with their day. ``before_run`` hides what that run itself added."""
         state = _read_or_empty(self.spark, self.ids_path, STATE_SCHEMA)
         state = state.where((F.col("source") == source) & (F.col("detail_type") == detail_type))
         if date is not None:
             state = state.where(F.col("date") == date)
         if before_run is not None:
-            state = state.where(F.col("run") != before_run)
+            state = state.where((F.col("run") != before_run) & ~F.col("first_run").eqNullSafe(before_run))
         return state
 
     def runs(self) -> DataFrame:
@@ -63,24 +72,47 @@ class StateTable:
         if known_new:
             fresh = wanted.distinct()
         else:
-            days = [row["date"] for row in wanted.select("date").distinct().collect()]  # calendar days
-            known = self.ids(source, detail_type, before_run=run).where(F.col("date").isin(days))
+            known = self.ids(source, detail_type, before_run=run)
+            # Only the days of the batch: the join prunes the state's partitions.
+            known = known.join(wanted.select("date").distinct(), "date", "left_semi")
             fresh = actually_new(wanted, known.select("id", "date"))
         rows = fresh.select(
-            "id", F.current_timestamp().alias("first_seen"), F.lit(source).alias("source"), F.lit(detail_type).alias("detail_type"),
-            "date", F.lit(run).alias("run"),
+            "id", F.current_timestamp().alias("first_seen"), F.lit(run).alias("first_run"), F.lit(source).alias("source"),
+            F.lit(detail_type).alias("detail_type"), "date", F.lit(run).alias("run"),
         )
         writer = rows.hint("rebalance", "date").write.mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*STATE_PARTS).parquet(self.ids_path)
 
+    def merge_runs(self, source: str, detail_type: str = RECORDS) -> int:
+        """Turn the runs of every day into one partition, each id once with its first run; runs merged.
+
+        The merged partitions are written before the old ones go; a crash in between leaves ids
+        twice, which no reader minds. Run it while no ingestion of the same source is under way.
+        """
+        held = self.ids(source, detail_type)
+        # Partition values only: one row per day and run of the source.
+        runs = held.select("date", "run").distinct()
+        several = runs.groupBy("date").agg(F.count("*").alias("n")).where("n > 1").select("date")
+        old = runs.join(several, "date", "left_semi").collect()
+        if not old:
+            return 0
+        merged = held.join(several, "date", "left_semi").groupBy("source", "detail_type", "date", "id").agg(
+            F.min(F.struct("first_seen", "first_run")).alias("first"))
+        rows = merged.select("id", "first.first_seen", "first.first_run", "source", "detail_type", "date",
+                             F.lit(MERGED + uuid.uuid4().hex).alias("run"))
+        rows.hint("rebalance", "date").write.mode("append").partitionBy(*STATE_PARTS).parquet(self.ids_path)
+        top = f"{self.ids_path}/source={source}/detail_type={detail_type}"
+        return sum(remove_path(self.spark, f"{top}/date={r['date']}/run={r['run']}") for r in old)
+
     def log(self, entries: DataFrame) -> None:
         """Write run-log rows; the required fields must be there."""
         missing = [f for f in REQUIRED_LOG_FIELDS if f not in entries.columns]
         if missing:
             raise ValueError(f"run log entry lacks {missing}")
+        absent = {"detail_type": F.lit(RECORDS)}
         full = entries.select(*(
-            (F.col(name) if name in entries.columns else F.lit(None)).cast(kind).alias(name)
+            (F.col(name) if name in entries.columns else absent.get(name, F.lit(None))).cast(kind).alias(name)
             for name, kind in (field.split(" ") for field in RUN_LOG_SCHEMA.split(", "))
         ))
         writer = full.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from garimpo.functions.cleaning import has_text
 from garimpo.functions.timeparts import iso_timestamp
@@ -19,10 +20,12 @@ def record_errors(df: DataFrame, id_col: str = ID, date_col: str = PUBLISHED) ->
     checks = [F.when(~has_text(F.col(id_col)), F.lit(f"Missing required field '{id_col}'"))]
     if date_col in df.columns:
         at = F.col(date_col)
-        checks.append(
-            F.when(has_text(at) & iso_timestamp(at.cast("string")).isNull(),
-                   F.lit(f"Invalid date format in '{date_col}'"))
-        )
+        # A number is no ISO text, whatever its digits look like; 0 counts as absent.
+        if isinstance(df.schema[date_col].dataType, T.NumericType):
+            wrong = F.coalesce(at != 0, F.lit(False))
+        else:
+            wrong = has_text(at) & iso_timestamp(at.cast("string")).isNull()
+        checks.append(F.when(wrong, F.lit(f"Invalid date format in '{date_col}'")))
     return F.filter(F.array(*checks), lambda e: e.isNotNull())
 
 
@@ -41,8 +44,9 @@ def validation_report(checked: DataFrame) -> DataFrame:
 
 def first_messages(checked: DataFrame, position: str, n: int = 10) -> DataFrame:
     """The first n messages in record order; a row may bring two."""
-    exploded = checked.select(F.col(position).alias("idx"), F.posexplode("errors").alias("part", "error"))
-    top = exploded.orderBy("idx", "part").limit(n)
+    # At most n rows have messages that count, so only those are taken apart.
+    wrong = checked.where(F.size("errors") > 0).select(F.col(position).alias("idx"), "errors").orderBy("idx").limit(n)
+    top = wrong.select("idx", F.posexplode("errors").alias("part", "error")).orderBy("idx", "part").limit(n)
     return top.select(
         "idx", "part", F.concat(F.lit("Record "), F.col("idx").cast("string"), F.lit(": "), F.col("error")).alias("message")
     )

@@ -116,7 +116,8 @@ def item_codes(t: Tables):
         F.col("l_quantity").alias("itemCategoriaId"), F.col("l_linenumber").alias("situacaoCompraItem"),
         F.col("l_linenumber").alias("criterioJulgamentoId"), kind.alias("materialOuServico"),
     )
-    nested = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(item).alias("itens"))
+    # A line is a record with one item: nothing is gathered to be taken apart again.
+    nested = t.lineitem.select(F.array(item).alias("itens"))
     decoded = domains.parse_item_codes(nested).select(F.explode("itens").alias("i")).select("i.parsed_domains.*")
     return decoded.groupBy(
         "categoria", "situacao", F.col("situacao_has_winner").alias("has_winner"),
@@ -127,11 +128,11 @@ def item_codes(t: Tables):
 @query("C19", f"""
 WITH k(code, name) AS (VALUES {_names('tipo_documento')})
 SELECT k.name AS tipo, toxic = 0 AS ativo, count(*) AS n FROM documents
-JOIN labels USING (doc_id) LEFT JOIN k ON k.code = length(lang) + quality GROUP BY ALL""")
+LEFT JOIN labels USING (doc_id) LEFT JOIN k ON k.code = length(lang) + coalesce(quality, 0) GROUP BY ALL""")
 def document_codes(t: Tables):
     doc = F.struct(
-        (F.length("lang") + F.col("quality")).alias("tipoDocumentoId"), (F.col("toxic") == 0).alias("statusAtivo"))
-    nested = t.documents.join(t.labels, "doc_id").select("doc_id", F.array(doc).alias("arquivos"))
+        (F.length("lang") + F.coalesce("quality", F.lit(0))).alias("tipoDocumentoId"), (F.col("toxic") == 0).alias("statusAtivo"))
+    nested = t.documents.join(t.labels, "doc_id", "left").select("doc_id", F.array(doc).alias("arquivos"))
     decoded = domains.parse_document_codes(nested).select(F.explode("arquivos").alias("a"))
     return decoded.groupBy(
         F.col("a.parsed_domains.tipo_documento").alias("tipo"), F.col("a.parsed_domains.arquivo_ativo").alias("ativo"),

@@ -46,17 +46,20 @@ def processed_ids(t: Tables):
     return _three_runs(t).ids("orders").select("id", "date", "run")
 
 
-def _landed_events(t: Tables, files: int = 4) -> str:
-    """Events spread over several files without regard to time."""
+def _landed_events(t: Tables, rows: str = "true") -> str:
+    """Events in a folder per type: several files, cut by the scan and without regard to time."""
     path = fresh_path(t.spark, "landing")
-    t.events.repartition(files, "event_type", "user_id").write.parquet(path)
+    t.events.where(rows).write.partitionBy("event_type").parquet(path)
     return path
 
 
+def _event_job(t: Tables) -> Ingest:
+    return Ingest(t.spark, fresh_path(t.spark, "lake"), "events", "user_id", "ts", ("event_id",))
+
+
 def _stream_events(t: Tables, files_per_batch: int) -> Ingest:
-    landing = _landed_events(t)
-    job = Ingest(t.spark, fresh_path(t.spark, "lake"), "events", "user_id", "ts", ("event_id",))
-    stream = landing_stream(t.spark, landing, t.events.schema, files_per_batch=files_per_batch)
+    job = _event_job(t)
+    stream = landing_stream(t.spark, _landed_events(t), t.events.schema, files_per_batch=files_per_batch)
     run_stream(job, stream, fresh_path(t.spark, "checkpoint"))
     return job
 
@@ -70,6 +73,57 @@ def streamed_new_records(t: Tables):
     return read_table(t.spark, f"{job.base}/events").select(partition_date().alias("date"), "user_id")
 
 
+@query("T1 I4 I5", f"""
+SELECT {LOCAL_DAY_SQL} AS date, user_id, 1::BIGINT AS rows, 1::BIGINT AS states FROM events GROUP BY 1, 2""")
+def two_checkpoints(t: Tables):
+    """Two streams with checkpoints of their own feed one lake: neither replaces what the other wrote."""
+    job = _event_job(t)
+    for rows in ("event_type <> 'purchase'", "event_type <> 'click'"):
+        stream = landing_stream(t.spark, _landed_events(t, rows), t.events.schema, files_per_batch=2)
+        run_stream(job, stream, fresh_path(t.spark, "checkpoint"))
+    day = partition_date().alias("date")
+    data = read_table(t.spark, f"{job.base}/events").groupBy(day, "user_id").agg(F.count("*").alias("rows"))
+    job.state.merge_runs("events")
+    held = job.state.ids("events").groupBy(
+        F.col("date").cast("date").alias("date"), F.col("id").cast("long").alias("user_id")).agg(F.count("*").alias("states"))
+    return data.join(held, ["date", "user_id"], "full")
+
+
+@query("T3 I2 D4", f"""
+WITH d AS (SELECT {LOCAL_DAY_SQL} AS date, event_type, user_id FROM events)
+SELECT strftime(date, '%Y-%m-%d') AS date, 'itens' AS detail_type, count(DISTINCT user_id) AS ids,
+  count(*) AS input_rows FROM d GROUP BY 1
+UNION ALL SELECT strftime(date, '%Y-%m-%d'), 'arquivos', count(DISTINCT user_id), count(*) FROM d
+WHERE event_type <> 'click' GROUP BY 1""")
+def two_detail_types(t: Tables):
+    """Items and documents of one source under one run name: tables, states and logs stay apart."""
+    base, lake = fresh_path(t.spark, "lake"), None
+    for kind, rows in (("itens", t.events), ("arquivos", t.events.where("event_type <> 'click'"))):
+        job = Ingest(t.spark, base, "details", "user_id", "ts", ("event_id",), detail_type=kind)
+        ingest_batch(job, rows, "daily")
+        table = read_table(t.spark, f"{base}/{job.table}").groupBy(partition_date().cast("string").alias("date")).agg(
+            F.count("*").alias("ids")).withColumn("detail_type", F.lit(kind))
+        lake = table if lake is None else lake.unionByName(table)
+    return lake.join(job.state.runs().select("date", "detail_type", "input_rows"), ["date", "detail_type"], "full")
+
+
+@query("T2 I2 I3", f"""
+WITH e AS (SELECT *, event_id % 7 = 0 AS gone FROM events)
+SELECT CASE WHEN gone THEN 'undated' ELSE strftime({LOCAL_DAY_SQL}, '%Y-%m-%d') END AS date,
+  count(*) AS input_rows, count(DISTINCT user_id) AS new_rows, count(*) FILTER (gone) AS undated_rows,
+  count(DISTINCT user_id) AS stored FROM e GROUP BY 1""")
+def undated_records(t: Tables):
+    """Records without a time are stored, remembered and logged on their own; a second run finds nothing new."""
+    job = _event_job(t)
+    some = t.events.withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+    ingest_batch(job, some, "one")
+    ingest_batch(job, some, "two")
+    stored = read_table(t.spark, f"{job.base}/events").groupBy(
+        F.coalesce(partition_date().cast("string"), F.lit("undated")).alias("date")).agg(F.count("*").alias("stored"))
+    runs = job.state.runs().where("run = 'one'").select("date", "input_rows", "new_rows", "undated_rows")
+    return runs.join(stored, "date", "full")
+
+
 @query("T5 T1 I4", f"""
 WITH d AS (SELECT {LOCAL_DAY_SQL} AS date, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1)
 SELECT strftime(date, '%Y-%m-%d') AS date, 'hourly' AS kind, n AS input_rows, users AS new_rows FROM d
@@ -90,11 +144,13 @@ def chunked_enrichment(t: Tables):
     landing = fresh_path(t.spark, "landing")
     # Noon, so that the local day is the same calendar day.
     at = F.date_trunc("year", "o_orderdate") + F.expr("INTERVAL 12 HOURS")
-    t.orders.withColumn("at", at.cast("timestamp_ntz")).repartition(4).write.parquet(landing)
+    t.orders.withColumn("at", at.cast("timestamp_ntz")).write.partitionBy("o_orderstatus").parquet(landing)
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
 
     def enrich(batch):
-        lists = nested.child_lists(lines, ["l_orderkey"], ["l_linenumber", "l_extendedprice"], "itens")
+        # Only the children of this batch are grouped.
+        wanted = lines.join(batch.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+        lists = nested.child_lists(wanted, ["l_orderkey"], ["l_linenumber", "l_extendedprice"], "itens")
         return batch.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
 
     job = Ingest(
@@ -102,6 +158,6 @@ def chunked_enrichment(t: Tables):
         detail_type="itens", transform=enrich)
     stream = landing_stream(t.spark, landing, t.spark.read.parquet(landing).schema, files_per_batch=2)
     run_stream(job, stream, fresh_path(t.spark, "checkpoint"))
-    table = read_table(t.spark, f"{job.base}/details")
+    table = read_table(t.spark, f"{job.base}/{job.table}")
     return table.groupBy(partition_date().cast("string").alias("date")).agg(
         F.count("*").alias("records"), F.sum(nested.list_size("itens")).alias("itens"))

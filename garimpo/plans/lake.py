@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 
 from garimpo.operators import maintain, sinks
 from garimpo.operators.dedupe import dedupe_files
+from garimpo.operators.nested import list_size
+from garimpo.operators.reports import coverage, file_count
+from garimpo.operators.state import StateTable
 from garimpo.plans.registry import Tables, query
 from garimpo.plans.shapes import money_sum
 from garimpo.session import fresh_path
@@ -40,7 +43,7 @@ reached AS (SELECT ev.* FROM ev JOIN st USING (day)
 """
 
 
-def _landed_pages(t: Tables, one_file_each: bool) -> str:
+def _landed_pages(t: Tables) -> str:
     """Events of a day as pages of 50, the odd page empty or without its count of remaining pages."""
     ev = t.events.withColumn("day", F.to_date("ts"))
     first = ev.groupBy("day").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"))
@@ -58,13 +61,13 @@ def _landed_pages(t: Tables, one_file_each: bool) -> str:
         .alias("paginasRestantes"),
     )
     path = fresh_path(t.spark, "pages")
-    docs.write.option("maxRecordsPerFile", 1 if one_file_each else 0).json(path)
+    docs.write.json(path)
     return path
 
 
 @query("S1 S2", f"WITH {PAGES_SQL} SELECT day, pagina, event_id, user_id, event_type, value FROM reached")
 def assembled_pages(t: Tables):
-    landed = pages.read_pages(t.spark, _landed_pages(t, False), EVENT, PULL_KEYS, multi_line=False)
+    landed = pages.read_pages(t.spark, _landed_pages(t), EVENT, PULL_KEYS, multi_line=False)
     kept = pages.reachable_pages(landed, ["day"], "pagina", pages.is_last_page())
     return pages.page_rows(kept, ["day", "pagina"]).drop("pos")
 
@@ -72,7 +75,7 @@ def assembled_pages(t: Tables):
 @query("S5 S2 S1", f"""WITH {PAGES_SQL} SELECT day, count(*) AS records FROM reached
 WHERE day BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' AND pagina <= 2 GROUP BY day""")
 def limited_pull(t: Tables):
-    landed = pages.read_pages(t.spark, _landed_pages(t, True), EVENT, PULL_KEYS)
+    landed = pages.read_pages(t.spark, _landed_pages(t), EVENT, PULL_KEYS, multi_line=False)
     window = pages.pull_window("custom", date(2024, 1, 31), date(2024, 1, 5), date(2024, 1, 12), max_pages=2)
     kept = pages.pull(landed, ["day"], "pagina", "day", window)
     return pages.page_rows(kept, ["day"]).groupBy("day").agg(F.count("*").alias("records"))
@@ -80,7 +83,7 @@ def limited_pull(t: Tables):
 
 @query("S9", f"""WITH {PAGES_SQL} SELECT event_id, value FROM ev WHERE NOT (pagina = 3 AND day(day) % 5 = 0)""")
 def wrapped_record_files(t: Tables):
-    return lake.read_records_json(t.spark, _landed_pages(t, True)).select("event_id", "value")
+    return lake.read_records_json(t.spark, _landed_pages(t), multi_line=False).select("event_id", "value")
 
 
 @query("S3", """
@@ -96,7 +99,14 @@ def child_pages_until_short(t: Tables):
     placed = t.lineitem.withColumn("pagina", F.floor((F.row_number().over(by_line) - 1) / 2) + 1)
     entry = F.when((F.col("l_returnflag") != "A") | (F.col("pagina") > 1), F.struct("l_linenumber", "l_partkey"))
     docs = placed.groupBy("l_orderkey", "pagina").agg(F.collect_list(entry).alias("data"))
-    kept = pages.reachable_pages(docs, ["l_orderkey"], "pagina", pages.is_short_page(full=2))
+    landing = fresh_path(t.spark, "child-pages")
+    # A document per line, bare lists and wrapped ones; the keys are part of it.
+    wrapped = F.when(F.col("l_orderkey") % 2 == 0, F.to_json(F.struct("data"))).otherwise(F.to_json("data"))
+    docs.select("l_orderkey", "pagina", wrapped.alias("body")).write.json(landing)
+    entry = T.StructType([T.StructField("l_linenumber", T.IntegerType()), T.StructField("l_partkey", T.LongType())])
+    keys = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("pagina", T.LongType())])
+    landed = pages.read_child_pages(t.spark, landing, entry, keys, whole_file=False)
+    kept = pages.reachable_pages(landed, ["l_orderkey"], "pagina", pages.is_short_page(full=2))
     rows = pages.page_rows(kept, ["l_orderkey", "pagina"])
     return rows.groupBy("l_orderkey").agg(F.count("*").alias("items"), F.max("pagina").alias("pages"))
 
@@ -108,10 +118,13 @@ two AS (SELECT *, 'a' AS run FROM events WHERE event_type <> 'purchase'
   UNION ALL SELECT *, 'b' FROM events WHERE event_type <> 'click')"""
 
 
-def _two_runs(t: Tables) -> str:
-    """Events written by two runs that overlap."""
+def _two_runs(t: Tables, undated: bool = False) -> str:
+    """Events written by two runs that overlap; with ``undated`` every event comes without a time as well."""
     base = fresh_path(t.spark, "bronze")
     events = t.events
+    if undated:
+        gone = events.withColumns({"event_id": -1 - F.col("event_id"), "ts": F.lit(None).cast("timestamp_ntz")})
+        events = events.unionByName(gone)
     sinks.write_bronze(events.where("event_type <> 'purchase'"), base, "events", F.col("ts"), "a")
     return sinks.write_bronze(events.where("event_type <> 'click'"), base, "events", F.col("ts"), "b")
 
@@ -121,7 +134,7 @@ SELECT event_id, min(run) AS run, strftime({LOCAL_SQL}, '%Y') AS year, strftime(
   strftime({LOCAL_SQL}, '%d') AS day FROM two
 WHERE {LOCAL_SQL}::DATE BETWEEN DATE '2023-12-31' AND DATE '2024-01-20' GROUP BY event_id, ts""")
 def bronze_range(t: Tables):
-    path = _two_runs(t)
+    path = _two_runs(t, undated=True)
     found = lake.read_days(t.spark, path, date(2023, 12, 31), date(2024, 1, 20))
     return dedupe_files(found, "event_id").select("event_id", "run", "year", "month", "day")
 
@@ -129,7 +142,8 @@ def bronze_range(t: Tables):
 @query("S6 S10", f"""WITH {TWO_RUNS_SQL}
 SELECT event_id, user_id, value, min(run) AS run FROM two WHERE {LOCAL_SQL}::DATE = DATE '2024-01-15' GROUP BY ALL""")
 def bronze_day(t: Tables):
-    one = lake.read_day(t.spark, _two_runs(t), date(2024, 1, 15), "event_id")
+    schema = "event_id long, user_id long, value double, year string, month string, day string, run string"
+    one = lake.read_day(t.spark, _two_runs(t, undated=True), date(2024, 1, 15), "event_id", schema)
     return one.select("event_id", "user_id", "value", "run")
 
 
@@ -169,17 +183,17 @@ def write_metadata(t: Tables):
     return sinks.write_metadata(lake.read_table(t.spark, path), "silver", ["ano"])
 
 
-@query("K4", """SELECT o_orderstatus, count(*) AS records, sum(n)::BIGINT AS itens FROM orders
-JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey GROUP BY 1""")
+@query("K4", """SELECT o_orderstatus, count(*) AS records, sum(coalesce(n, 0))::BIGINT AS itens FROM orders
+LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey GROUP BY 1""")
 def details_chunks(t: Tables):
     lists = t.lineitem.groupBy("l_orderkey").agg(
         F.collect_list(F.struct("l_linenumber", "l_extendedprice")).alias("itens"))
-    nested = t.orders.join(lists, F.col("o_orderkey") == F.col("l_orderkey"))
+    nested = t.orders.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     at = F.date_trunc("year", "o_orderdate")
     path = sinks.write_bronze(
-        nested, fresh_path(t.spark, "bronze"), "details", at, "chunk", max_records_per_file=1000)
+        nested, fresh_path(t.spark, "bronze"), "details", at, "chunk", max_records_per_file=1_000_000)
     return lake.read_table(t.spark, path).groupBy("o_orderstatus").agg(
-        F.count("*").alias("records"), F.sum(F.size("itens")).alias("itens"))
+        F.count("*").alias("records"), F.sum(list_size("itens")).alias("itens"))
 
 
 @query("K8 B22", """SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_totalprice > 250000""")
@@ -210,6 +224,10 @@ def file_inventory(t: Tables):
 
 # ---- registry -------------------------------------------------------------------------------
 
+# The registry publishes companies in ten files and each code list in one, whatever their size.
+COMPANY_FILES = 10
+
+
 def _csv(df: DataFrame, path: str, parts: int) -> str:
     writer = df.repartition(parts).write.option("sep", ";").option("encoding", "ISO-8859-1")
     writer.option("quote", '"').option("escape", '"').option("quoteAll", True).option("emptyValue", "").csv(path)
@@ -227,7 +245,7 @@ def _companies(t: Tables) -> DataFrame:
 SELECT c_custkey::VARCHAR AS col_0, c_name AS col_1, CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY')
   THEN 'Construções; "' || c_mktsegment || '" \\' END AS col_2, '2025-10' AS version FROM customer""")
 def registry_snapshot(t: Tables):
-    path = _csv(_companies(t), fresh_path(t.spark, "dump"), 10)
+    path = _csv(_companies(t), fresh_path(t.spark, "dump"), COMPANY_FILES)
     rows = registry_files.read_registry(t.spark, path, "empresas")
     table = sinks.write_registry(rows, fresh_path(t.spark, "registry"), "empresas", "2025-10")
     return lake.read_table(t.spark, table)
@@ -244,7 +262,7 @@ UNION ALL SELECT 'TOTAL', sum(total_files)::BIGINT, sum(successes)::BIGINT, sum(
   sum(total_files - successes)::BIGINT FROM n""")
 def registry_ingest_totals(t: Tables):
     nations = t.nation.select(F.col("n_nationkey").cast("string"), "n_name")
-    dumps = {"empresas": _csv(_companies(t), fresh_path(t.spark, "dump"), 10),
+    dumps = {"empresas": _csv(_companies(t), fresh_path(t.spark, "dump"), COMPANY_FILES),
              "cnaes": _csv(nations, fresh_path(t.spark, "dump"), 1)}
     per_file = None
     for entity, path in dumps.items():
@@ -291,10 +309,56 @@ def compacted_days(t: Tables):
         F.countDistinct("event_id").alias("ids"), money_sum("value").alias("total"))
 
 
+@query("M1 M2", f"""WITH {TWO_RUNS_SQL}
+SELECT {LOCAL_SQL}::DATE AS date, count(DISTINCT event_id) AS total_before, count(DISTINCT event_id) AS total_after,
+  false AS needs_work FROM two GROUP BY 1 UNION ALL SELECT NULL, count(*), count(*), false FROM events""")
+def second_compaction(t: Tables):
+    """After a compaction nothing is left to do, rows without a day included."""
+    path = _two_runs(t, undated=True)
+    maintain.compact(t.spark, path, "event_id")
+    stats = maintain.compact(t.spark, path, "event_id")
+    return stats.select(lake.partition_date().alias("date"), "total_before", "total_after", "needs_work")
+
+
+@query("M1 D2", f"""SELECT {LOCAL_SQL}::DATE AS date, event_type, count(DISTINCT user_id) AS records FROM events GROUP BY ALL""")
+def compacted_without_id(t: Tables):
+    """A table without an id column: identical rows collapse, within a run and across runs."""
+    base, rows = fresh_path(t.spark, "bronze"), t.events.select("user_id", "event_type", "ts")
+    day = F.date_trunc("day", F.convert_timezone(F.lit("UTC"), F.lit("America/Sao_Paulo"), "ts"))
+    rows = rows.withColumn("ts", F.convert_timezone(F.lit("America/Sao_Paulo"), F.lit("UTC"), day.cast("timestamp_ntz")))
+    for run, wanted in (("a", "event_type <> 'purchase'"), ("b", "event_type <> 'click'")):
+        path = sinks.write_bronze(rows.where(wanted), base, "events", F.col("ts"), run)
+    maintain.compact(t.spark, path, "event_id")
+    return lake.read_table(t.spark, path).groupBy(lake.partition_date().alias("date"), "event_type").agg(
+        F.count("*").alias("records"))
+
+
+@query("A1 M1", f"""WITH d AS (SELECT {LOCAL_SQL}::DATE AS d, event_id FROM events)
+SELECT CASE grouping(y, m) WHEN 3 THEN 'total' WHEN 1 THEN 'year' ELSE 'month' END AS grain, y AS year, m AS year_month,
+  count(*) AS records, count(DISTINCT event_id) AS unique_ids, (SELECT count(DISTINCT d) FROM d) AS total_files
+FROM (SELECT year(d)::INT AS y, strftime(d, '%Y-%m') AS m, event_id FROM d) GROUP BY GROUPING SETS ((), (y), (y, m))""")
+def coverage_of_lake(t: Tables):
+    """The coverage report of a compacted table, where every day is one file."""
+    path = _two_runs(t)
+    maintain.compact(t.spark, path, "event_id")
+    table = lake.read_table(t.spark, path)
+    report = coverage(table, lake.partition_date(), F.col("event_id"))
+    return report.withColumn("total_files", file_count(table).scalar())
+
+
 @query("M3", f"""WITH {TWO_RUNS_SQL}
-SELECT {LOCAL_SQL}::DATE AS date, count(*) AS records FROM two WHERE {LOCAL_SQL}::DATE <> DATE '2024-01-15' GROUP BY 1""")
+SELECT 'data' AS kind, {LOCAL_SQL}::DATE AS date, count(*) AS records FROM two
+WHERE {LOCAL_SQL}::DATE <> DATE '2024-01-15' GROUP BY 2
+UNION ALL SELECT 'state', {LOCAL_SQL}::DATE, count(DISTINCT event_id) FROM events
+WHERE {LOCAL_SQL}::DATE <> DATE '2024-01-15' GROUP BY 2""")
 def cleaned_day(t: Tables):
     path = _two_runs(t)
-    maintain.clean_day(t.spark, [f"{path}/year=2024/month=01/day=15", f"{path}/year=2024/month=01/day=99"])
-    return lake.read_table(t.spark, path).groupBy(lake.partition_date().alias("date")).agg(
-        F.count("*").alias("records"))
+    base = path.rsplit("/", 1)[0]
+    state = StateTable(t.spark, f"{base}/state")
+    day = F.convert_timezone(F.lit("UTC"), F.lit("America/Sao_Paulo"), "ts").cast("date").cast("string")
+    state.add(t.events.select(F.col("event_id").cast("string").alias("id"), day.alias("date")), "events", "a")
+    folders = maintain.day_folders(base, date(2024, 1, 15), ["events", "absent"], ["events"], ["records", "itens"])
+    maintain.clean_day(t.spark, folders)
+    data = lake.read_table(t.spark, path).groupBy(lake.partition_date().alias("date")).agg(F.count("*").alias("records"))
+    ids = state.ids("events").groupBy(F.col("date").cast("date").alias("date")).agg(F.count("*").alias("records"))
+    return data.select(F.lit("data").alias("kind"), "*").unionByName(ids.select(F.lit("state").alias("kind"), "*"))

@@ -105,7 +105,7 @@ def items(t: Tables) -> DataFrame:
         F.when(F.col("l_returnflag") != "A", F.col("l_returnflag")).alias("itemCategoriaNome"),
         F.col("l_linestatus").alias("situacaoCompraItemNome"),
     )
-    return lines.join(_keys_of_orders(t), "sequencialCompra")
+    return lines.join(_keys_of_orders(t), "sequencialCompra", "left")
 
 
 def attachments(t: Tables) -> DataFrame:
@@ -116,4 +116,4 @@ def attachments(t: Tables) -> DataFrame:
         F.when(F.col("lang") == "en", "Edital").when(F.col("lang") == "fr", "").alias("tipoDocumentoNome"),
         F.when(F.col("lang") != "de", F.col("lang")).alias("tipoDocumentoDescricao"),
     )
-    return docs.join(_keys_of_orders(t), "sequencialCompra")
+    return docs.join(_keys_of_orders(t), "sequencialCompra", "left")

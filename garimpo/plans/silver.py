@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from garimpo.operators import gold, history, silver
-from garimpo.operators.running import range_bucket
+from garimpo.operators.running import quantiles, range_bucket
 from garimpo.plans.registry import Tables, query
 from garimpo.plans.shapes import money
 
@@ -16,7 +16,7 @@ rec AS (SELECT o_orderkey, o_custkey, c_nationkey, o_orderdate::DATE AS d, o_tot
   o_totalprice AS price, o_orderstatus AS status, o_orderstatus = 'F' AS won, o_orderpriority AS cat,
   CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN NULL
     ELSE o_orderdate::DATE + 30 * o_orderpriority[1:1]::INT END AS fim,
-  o_totalprice / 500000 AS score FROM orders JOIN customer ON c_custkey = o_custkey)
+  o_totalprice / 500000 AS score FROM orders LEFT JOIN customer ON c_custkey = o_custkey)
 """
 
 
@@ -32,7 +32,7 @@ def contracts(t: Tables):
         (F.col("o_totalprice") / 500000).alias("score"),
     )
     nations = t.customer.select("c_custkey", "c_nationkey")
-    return orders.join(nations, F.col("c_custkey") == F.col("o_custkey")).drop("c_custkey")
+    return orders.join(nations, F.col("c_custkey") == F.col("o_custkey"), "left").drop("c_custkey")
 
 
 @query("B1", """
@@ -158,6 +158,45 @@ def buyer_history(t: Tables):
     return known.select("o_orderkey", "buyer_previous_count", "buyer_mean_value", "buyer_suspicion_rate")
 
 
+@query("B4 T-5", f"""WITH {REC_SQL},
+s AS (SELECT o_custkey, l_shipdate::DATE AS a, l_shipdate::DATE + (l_linenumber * 20 - 60) AS b
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+SELECT o_orderkey, EXISTS (SELECT 1 FROM s WHERE s.o_custkey = rec.o_custkey AND a <= b AND d BETWEEN a AND b) AS sancionada
+FROM rec""")
+def inverted_sanctions(t: Tables):
+    """Sanctions of which some end before they begin; those take nothing from the valid ones."""
+    lines = t.lineitem.select("l_orderkey", F.to_date("l_shipdate").alias("a"), "l_linenumber")
+    lines = lines.withColumn("b", F.date_add("a", F.col("l_linenumber") * 20 - 60))
+    owned = lines.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "a", "b")
+    return history.active_at(contracts(t), "o_custkey", "d", owned, "a", "b", "sancionada").select("o_orderkey", "sancionada")
+
+
+@query("B12 B27", f"""WITH {REC_SQL},
+r AS (SELECT *, d + (o_orderpriority[1:1]::INT * 30 - 60) AS e FROM rec JOIN orders USING (o_orderkey))
+SELECT x.o_orderkey, (SELECT count(*) FROM r y WHERE y.o_custkey = x.o_custkey AND y.d <= y.e
+  AND (y.d < x.d OR (y.d = x.d AND y.o_orderkey < x.o_orderkey)) AND y.e >= x.d) AS active_contracts FROM rec x""")
+def inverted_contracts(t: Tables):
+    """Contracts of which some end before they begin: those never run."""
+    priority = t.orders.select("o_orderkey", (F.substring("o_orderpriority", 1, 1).cast("int") * 30 - 60).alias("days"))
+    base = contracts(t).join(priority, "o_orderkey", "left")
+    base = base.withColumn("e", F.date_add("d", F.col("days")))
+    known = history.company_history(base, "o_custkey", "d", "o_orderkey", F.col("v"), F.col("won"), "e")
+    return known.select("o_orderkey", "active_contracts")
+
+
+@query("B9 B25", """
+WITH e AS (SELECT event_type, CASE WHEN event_id % 10 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 3 = 0 THEN value / 1000
+  ELSE -value END AS v FROM events)
+SELECT event_type, round(quantile_cont(v, 0.25), 9) AS p25, round(quantile_cont(v, 0.5), 9) AS p50,
+  round(quantile_cont(v, 0.85), 9) AS p85 FROM e GROUP BY 1""")
+def quantiles_with_nan(t: Tables):
+    """Not-a-number sorts above every number, as it does in a sort."""
+    odd = F.when(F.col("event_id") % 10 == 0, F.lit(float("nan"))).when(
+        F.col("event_id") % 3 == 0, F.col("value") / 1000).otherwise(-F.col("value"))
+    found = quantiles(t.events.withColumn("v", odd), ["event_type"], "v", {"p25": 0.25, "p50": 0.5, "p85": 0.85})
+    return found.select("event_type", *(F.round(c, 9).alias(c) for c in ("p25", "p50", "p85")))
+
+
 @query("B28", f"""WITH {REC_SQL},
 h AS (SELECT o_orderkey, avg((score > 0.8)::INT) OVER (PARTITION BY c_nationkey, cat ORDER BY d, o_orderkey
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS own,

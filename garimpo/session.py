@@ -31,7 +31,7 @@ def build_session(app: str = "garimpo", master: str | None = None, **extra: str)
 
 def cluster_settings(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Partition sizes for the largest shuffle of a job; AQE merges what turns out smaller."""
-    partitions = min(max(200, -(-shuffle_bytes // partition_bytes)), 200_000)
+    partitions = max(200, -(-shuffle_bytes // partition_bytes))
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
@@ -56,3 +56,14 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nobody has written to yet, below the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder through the Hadoop file system; False when it was not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target))

@@ -38,11 +38,21 @@ def read_pages(
     return pages.select(*typed, *[c for c in pages.columns if c not in keys.names])
 
 
-def read_child_pages(spark: SparkSession, path: str, entry: T.StructType, keys: T.StructType) -> DataFrame:
-    """Item or document pages: a bare list or ``{"data": [...]}`` per file, keys from folders."""
-    raw = spark.read.option("wholetext", True).schema(
-        T.StructType([T.StructField("value", T.StringType()), *keys.fields])
-    ).text(path)
+def read_child_pages(
+    spark: SparkSession, path: str, entry: T.StructType, keys: T.StructType, whole_file: bool = True
+) -> DataFrame:
+    """Item or document pages, each a bare list or ``{"data": [...]}``.
+
+    Either one page per file with the keys in folder names, or, without ``whole_file``, one JSON
+    object per line with the keys and the page's text as ``body``: many small pages share a file.
+    """
+    if whole_file:
+        raw = spark.read.option("wholetext", True).schema(
+            T.StructType([T.StructField("value", T.StringType()), *keys.fields])
+        ).text(path)
+    else:
+        raw = spark.read.schema(T.StructType([*keys.fields, T.StructField("body", T.StringType())])).json(path)
+        raw = raw.withColumnRenamed("body", "value")
     bare = F.from_json("value", T.ArrayType(entry))
     wrapped = F.from_json("value", T.StructType([T.StructField("data", T.ArrayType(entry))]))["data"]
     body = F.when(F.ltrim("value").startswith("["), bare).otherwise(wrapped)

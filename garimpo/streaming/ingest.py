@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from garimpo.functions.cleaning import has_text, present
 from garimpo.functions.timeparts import to_local
 from garimpo.operators.dedupe import flag_new, keep_first
 from garimpo.operators.filters import add_metadata
 from garimpo.operators.sinks import write_bronze
-from garimpo.operators.state import RECORDS, StateTable
+from garimpo.operators.state import RECORDS, UNDATED, StateTable
 from garimpo.operators.validate import with_errors
+from garimpo.session import fresh_path, remove_path
 
 
 @dataclass(frozen=True)
@@ -37,6 +38,11 @@ class Ingest:
     date_col: str | None = None
     transform: Callable[[DataFrame], DataFrame] | None = None
 
+    @property
+    def table(self) -> str:
+        """Records are in the source's own table, every other detail type has one next to it."""
+        return self.source if self.detail_type == RECORDS else f"{self.source}-{self.detail_type}"
+
     @property
     def state(self) -> StateTable:
         return StateTable(self.spark, f"{self.base}/state")
@@ -46,66 +52,72 @@ def ingest_batch(job: Ingest, batch: DataFrame, run: str) -> None:
     """Filter, validate, stamp, write data, then write state and the run log.
 
     All three writes replace what an earlier attempt of the same run left, and the state filter
-    ignores the run's own ids, so repeating a failed run gives the same tables.
+    ignores the run's own ids, so repeating a failed run gives the same tables. Records without a
+    time are kept: they go to the table's default partition, and the state remembers their ids
+    under a day of its own.
     """
-    day = F.date_format(to_local(F.col(job.at)), "yyyy-MM-dd")
+    day = F.coalesce(F.date_format(to_local(F.col(job.at)), "yyyy-MM-dd"), F.lit(UNDATED))
     rows = batch.withColumn("__day", day)
     ided = rows.where(present(rows, F.col(job.id_col)))
     if job.dedupe:
         ided = keep_first(ided, ["__day", job.id_col], list(job.order))
     checked = with_errors(ided, job.id_col, job.date_col or "__none")
-    # One row per day of the batch: the input side of the run log, and the days to open in the state.
-    counted = _input_by_day(job, rows)
-    days = [row["date"] for row in counted.select("date").collect()]
-    known = job.state.ids(job.source, job.detail_type, before_run=run).where(F.col("date").isin(days))
+    known = job.state.ids(job.source, job.detail_type, before_run=run)
+    # Only the days of the batch: the join prunes the state's partitions.
+    known = known.join(rows.select(F.col("__day").alias("date")).distinct(), "date", "left_semi")
     keys = [F.col("__day"), F.col(job.id_col).cast("string")]
     flagged = flag_new(checked, keys, known.select("date", "id"), "__new")
-    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+    # What the writes share is written once to the shared folder, where a lost executor cannot take it.
+    staged = fresh_path(job.spark, "ingest")
+    flagged.withColumn("__invalid", F.size("errors") > 0).drop("errors").write.parquet(staged)
+    flagged = job.spark.read.parquet(staged)
     try:
-        fresh = flagged.where("__new").drop("__new", "__day", "errors")
+        fresh = flagged.where("__new").drop("__new", "__day", "__invalid")
         if job.transform is not None:
             fresh = job.transform(fresh)
         stamped = add_metadata(fresh, {"source": job.source, "run": run})
-        write_bronze(stamped, job.base, job.source, F.col(job.at), run)
+        write_bronze(stamped, job.base, job.table, F.col(job.at), run)
         new_ids = flagged.where("__new").select(
             F.col(job.id_col).cast("string").alias("id"), F.col("__day").alias("date")
         )
         job.state.add(new_ids, job.source, run, job.detail_type, known_new=True)
-        job.state.log(_run_log(job, counted, flagged, run))
+        job.state.log(_run_log(job, rows, flagged, run))
     finally:
-        flagged.unpersist()
+        remove_path(job.spark, staged)
 
 
-def _input_by_day(job: Ingest, rows: DataFrame) -> DataFrame:
-    """Rows and rows without id per day, held as a local table: the batch is not read again for it."""
+def _run_log(job: Ingest, rows: DataFrame, flagged: DataFrame, run: str) -> DataFrame:
+    """One log row per day of the batch."""
     counted = rows.groupBy(F.col("__day").alias("date")).agg(
         F.count("*").alias("input_rows"),
         F.sum((~has_text(F.col(job.id_col))).cast("long")).alias("missing_id_rows"),
+        F.sum((F.col("__day") == UNDATED).cast("long")).alias("undated_rows"),
     )
-    return job.spark.createDataFrame(counted.toArrow())
-
-
-def _run_log(job: Ingest, counted: DataFrame, flagged: DataFrame, run: str) -> DataFrame:
-    """One log row per day of the batch."""
     kept = flagged.groupBy(F.col("__day").alias("date")).agg(
         F.sum(F.col("__new").cast("long")).alias("new_rows"),
-        F.sum((F.col("__new") & (F.size("errors") > 0)).cast("long")).alias("invalid_rows"),
+        F.sum((F.col("__new") & F.col("__invalid")).cast("long")).alias("invalid_rows"),
     )
     return counted.join(kept, "date", "left").fillna(0, ["new_rows", "invalid_rows"]).select(
         F.lit(job.source).alias("source"), F.lit(job.detail_type).alias("detail_type"), "date",
         F.lit(run).alias("run"), F.current_timestamp().alias("run_ts"), "input_rows", "new_rows",
         (F.col("input_rows") - F.col("new_rows")).alias("duplicate_rows"),
-        "missing_id_rows", "invalid_rows",
+        "missing_id_rows", "invalid_rows", "undated_rows",
     )
 
 
 def run_stream(job: Ingest, stream: DataFrame, checkpoint: str) -> None:
     """Process everything that has arrived, in batches, and stop.
 
-    The checkpoint remembers which files are done; the state remembers which ids are.
+    The checkpoint remembers which files are done; the state remembers which ids are. Runs are
+    named after the query's id, which Spark keeps in the checkpoint: a repeated batch has its old
+    name, and two checkpoints on one lake never share one.
     """
+    known = threading.Event()
+    query: list = []
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(job, batch, f"{job.source}-{batch_id:09d}")
+        known.wait()
+        ingest_batch(job, batch, f"{job.table}-{query[0].id}-{batch_id:09d}")
 
     started = (
         stream.writeStream.foreachBatch(each)
@@ -113,6 +125,8 @@ def run_stream(job: Ingest, stream: DataFrame, checkpoint: str) -> None:
         .trigger(availableNow=True)
         .start()
     )
+    query.append(started)
+    known.set()
     started.awaitTermination()
 
 

@@ -70,6 +70,41 @@ def test_magnitude_bucket_is_monotone(spark):
     assert buckets == sorted(buckets)
 
 
+def test_magnitude_bucket_spreads_shares_and_puts_nan_on_top(spark):
+    df = spark.range(1000).select((F.col("id") / 1000).alias("v")).unionAll(
+        spark.sql("SELECT double('NaN') UNION ALL SELECT double('Infinity') UNION ALL SELECT 5e-324"))
+    rows = df.select("v", running.magnitude_bucket(F.col("v")).alias("b")).collect()
+    assert len({r.b for r in rows}) > 300
+    assert max(rows, key=lambda r: r.b).v != max(rows, key=lambda r: r.b).v
+
+
+def test_nan_is_the_largest_value(spark):
+    df = spark.createDataFrame([("k", v) for v in (1.0, 5.0, float("nan"))], "k string, v double")
+    assert running.quantiles(df, ["k"], "v", {"m": 0.5}).first().m == 5.0
+    ranks = {str(r.v): r.pr for r in running.percent_ranks(df, ["k"], "v", "pr").collect()}
+    assert ranks == {"1.0": 0.0, "5.0": 0.5, "nan": 1.0}
+
+
+def test_inverted_intervals_take_nothing_away(spark):
+    day = date(2024, 1, 10)
+    df = spark.createDataFrame([(1, "a", day)], "id long, k string, d date")
+    listed = [("a", date(2024, 1, 1), date(2024, 1, 31)), ("a", date(2024, 1, 9), date(2024, 1, 5)), ("a", None, date(2024, 1, 5))]
+    sanctions = spark.createDataFrame(listed, "k string, s date, e date")
+    assert history.active_at(df, "k", "d", sanctions, "s", "e", "hit").first().hit is True
+    rows = [(1, "a", date(2024, 1, 5), date(2024, 1, 1)), (2, "a", day, None)]
+    both = spark.createDataFrame(rows, "id long, k string, d date, e date")
+    out = history.company_history(both, "k", "d", "id", F.lit(1), F.lit(True), "e").collect()
+    assert {r.id: r.active_contracts for r in out} == {1: 0, 2: 0}
+
+
+def test_totals_before_in_two_levels(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 2).alias("k"))
+    got = running.totals_before(df, ["k"], ["id"], {"n": ("count", F.lit(1)), "s": ("sum", F.col("id"))}, F.col("id"), {"all_n": "n"})
+    for r in got.collect():
+        past = range(r.k, r.id, 2)
+        assert (r.n, r.s, r.all_n) == (len(past), sum(past), 2500)
+
+
 def test_sanctions_and_history(spark, rows):
     df = spark.createDataFrame([(*r, r[4] + timedelta(days=r[0] % 9) if r[0] % 5 else None) for r in rows], SCHEMA + ", e date")
     data = df.collect()
@@ -105,7 +140,7 @@ def test_overlaps_and_encoding(spark, rows):
         assert r.enc == (pytest.approx(sum(x.flag for x in own) / len(own)) if own else None)
 
 
-def test_similar_batch_is_exact_and_bounded(spark, monkeypatch):
+def test_similar_batch_is_exact_for_any_number_of_probes(spark):
     rng = np.random.default_rng(0)
     vectors = rng.normal(size=(60, 8))
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id int, v array<double>")
@@ -115,9 +150,13 @@ def test_similar_batch_is_exact_and_bounded(spark, monkeypatch):
         sims = unit @ unit[probe]
         want = [i for i in np.argsort(-sims) if i != probe][:5]
         assert [r.id for r in sorted(got, key=lambda r: r["rank"]) if r.probe == probe] == want
-    monkeypatch.setattr(similar, "MAX_PROBES", 2)
-    with pytest.raises(ValueError):
-        similar.similar_batch(df, "id", "v", df.where("id < 3"))
+    # Any number of probes, in blocks of any size.
+    for block in (7, 1000):
+        every = similar.similar_batch(df, "id", "v", df, k=5, block=block).collect()
+        assert len(every) == 300
+        for probe in range(60):
+            want = [i for i in np.argsort(-(unit @ unit[probe])) if i != probe][:5]
+            assert [r.id for r in sorted(every, key=lambda r: r["rank"]) if r.probe == probe] == want
 
 
 def test_tf_idf(spark):
