@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from garimpo.functions.domains import literal_table
-from garimpo.operators.running import join_groups, percent_ranks, quantiles
+from garimpo.operators.running import join_groups, percent_ranks, quantiles, written_ranks
 
 # ---------------------------------------------------------------------------
 # States by region, government spheres.
@@ -30,14 +30,20 @@ SUSPICIOUS_ABOVE = 0.8
 REFERENCE_QUANTILES = {"median": 0.5, "p25": 0.25, "p75": 0.75, "p90": 0.9, "p95": 0.95}
 
 
-def price_reference(df: DataFrame, keys: Sequence[str], value: str, at: str, marketplace: str) -> DataFrame:
-    """Mean, exact quantiles, deviation, count, date span and marketplaces per group."""
+def price_reference(
+    df: DataFrame, keys: Sequence[str], value: str, at: str, marketplace: str,
+    wanted: dict[str, float] = REFERENCE_QUANTILES,
+) -> DataFrame:
+    """Mean, exact quantiles, deviation, count, date span and marketplaces per group.
+
+    ``wanted`` names the quantiles; ask only for what is used. Marketplaces are a short list of sites.
+    """
     base = df.groupBy(*keys).agg(
         F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"), F.count(value).alias("n"),
         F.min(at).alias("first_date"), F.max(at).alias("last_date"),
+        F.sort_array(F.collect_set(marketplace)).alias("marketplaces"),
     )
-    places = df.groupBy(*keys).agg(F.sort_array(F.collect_set(marketplace)).alias("marketplaces"))
-    return join_groups(join_groups(base, quantiles(df, keys, value, REFERENCE_QUANTILES), keys), places, keys)
+    return join_groups(base, quantiles(df, keys, value, wanted), keys)
 
 
 def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str, columns: Sequence[str]) -> DataFrame:
@@ -53,8 +59,10 @@ def price_features(
     over earlier records.
     """
     own = df.groupBy(category).agg(F.avg(value).alias("__mean"), F.stddev_samp(value).alias("__sd"))
-    own = join_groups(own, quantiles(df, [category], value, {"__median": 0.5}), [category])
-    ranked = percent_ranks(df, [category], value, "percentile_preco")
+    # The median and the percent ranks come from one pass over the sorted values.
+    ranks = written_ranks(df, [category], value)
+    own = join_groups(own, quantiles(df, [category], value, {"__median": 0.5}, ranks), [category])
+    ranked = percent_ranks(df, [category], value, "percentile_preco", ranks)
     joined = join_groups(ranked, own, [category])
     joined = join_groups(joined, _prefixed(market, [category], "__market_", ["mean", "p95"]), [category])
     v = F.col(value)
@@ -176,10 +184,11 @@ def profile(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Count, nulls, distinct values, extremes, mean, deviation and quartiles per group."""
     base = df.groupBy(*keys).agg(
         F.count("*").alias("rows"), F.sum(F.col(value).isNull().cast("long")).alias("nulls"),
-        F.countDistinct(value).alias("distinct_values"), F.min(value).alias("min"), F.max(value).alias("max"),
+        F.min(value).alias("min"), F.max(value).alias("max"),
         F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"),
     )
-    return join_groups(base, quantiles(df, keys, value, {"q1": 0.25, "q2": 0.5, "q3": 0.75}), keys)
+    ranked = quantiles(df, keys, value, {"q1": 0.25, "q2": 0.5, "q3": 0.75}, distinct="distinct_values")
+    return join_groups(base, ranked, keys).fillna(0, ["distinct_values"])
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -49,31 +49,67 @@ def enrich(
     A record whose key is incomplete gets empty lists and an error and counts as no call.
     ``failed`` (keys plus ``error``) names records whose lists could not be read.
     """
+    out = _judged(records, keys, failed)
+    out = out.join(child_lists(items, keys, item_order, "itens"), list(keys), "left")
+    out = out.join(child_lists(documents, keys, document_order, "arquivos"), list(keys), "left")
+    for name in ("itens", "arquivos"):
+        out = out.withColumn(name, F.when(F.col("__usable"), F.coalesce(name, F.array())).otherwise(F.array()))
+    return out.withColumn("metadata", _metadata(F.size("itens"), F.size("arquivos"))).drop(*_JUDGED)
+
+
+_JUDGED = ("__complete", "__usable", "__error")
+
+
+def _judged(records: DataFrame, keys: Sequence[str], failed: DataFrame | None) -> DataFrame:
+    """Records with whether their key is complete, their lists usable, and why not."""
     kinds = {f.name: f.dataType for f in records.schema.fields}
     complete = F.lit(True)
     for k in keys:
         complete = complete & truthy(F.col(k), kinds[k])
-    out = records.join(child_lists(items, keys, item_order, "itens"), list(keys), "left")
-    out = out.join(child_lists(documents, keys, document_order, "arquivos"), list(keys), "left")
-    error = F.when(~complete, F.lit(KEY_ERROR))
+    out = records
+    known = F.lit(None).cast("string")
     if failed is not None:
-        out = out.join(failed.groupBy(*keys).agg(F.min("error").alias("__error")), list(keys), "left")
-        error = F.coalesce(error, F.col("__error"))
-        usable = complete & F.col("__error").isNull()
-    else:
-        usable = complete
-    for name in ("itens", "arquivos"):
-        out = out.withColumn(name, F.when(usable, F.coalesce(name, F.array())).otherwise(F.array()))
-    return out.withColumn(
-        "metadata",
-        F.struct(
-            F.size("itens").alias("total_itens"),
-            F.size("arquivos").alias("total_arquivos"),
-            F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("fetch_timestamp"),
-            F.when(complete, 2).otherwise(0).alias("api_calls"),
-            error.alias("fetch_error"),
-        ),
-    ).drop("__error")
+        out = out.join(failed.groupBy(*keys).agg(F.min("error").alias("__failed")), list(keys), "left")
+        known = F.col("__failed")
+    return out.withColumns({
+        "__complete": complete, "__usable": complete & known.isNull(),
+        "__error": F.coalesce(F.when(~complete, F.lit(KEY_ERROR)), known),
+    }).drop("__failed")
+
+
+def _metadata(items: Column, documents: Column) -> Column:
+    return F.struct(
+        items.alias("total_itens"),
+        documents.alias("total_arquivos"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("fetch_timestamp"),
+        F.when(F.col("__complete"), 2).otherwise(0).alias("api_calls"),
+        F.col("__error").alias("fetch_error"),
+    )
+
+
+def enrichment_counts(
+    records: DataFrame, keys: Sequence[str], items: DataFrame, documents: DataFrame, failed: DataFrame | None = None
+) -> DataFrame:
+    """Records with the ``metadata`` that ``enrich`` would give them, without gathering any list."""
+    def counted(children: DataFrame, name: str) -> DataFrame:
+        return children.groupBy(*keys).agg(F.count("*").cast("int").alias(name))
+
+    out = _judged(records, keys, failed)
+    out = out.join(counted(items, "__items"), list(keys), "left").join(counted(documents, "__documents"), list(keys), "left")
+    sizes = [F.when(F.col("__usable"), F.coalesce(n, F.lit(0))).otherwise(0) for n in ("__items", "__documents")]
+    return out.withColumn("metadata", _metadata(*sizes)).drop(*_JUDGED, "__items", "__documents")
+
+
+def child_labels(
+    records: DataFrame, keys: Sequence[str], children: DataFrame, labels: Sequence[str], failed: DataFrame | None = None
+) -> DataFrame:
+    """Children of usable records by their labels: the label columns and ``n``.
+
+    Children are counted per parent and labels before they meet the records; no list is gathered.
+    """
+    counted = children.groupBy(*keys, *labels).agg(F.count("*").alias("__n"))
+    parents = _judged(records, keys, failed).where("__usable").select(*keys)
+    return counted.join(parents, list(keys)).groupBy(*labels).agg(F.sum("__n").alias("n"))
 
 
 def enrichment_totals(enriched: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -95,9 +95,10 @@ def details_summary(df: DataFrame, items: Column, documents: Column) -> DataFram
     })
 
 
-def frequency(df: DataFrame, label: Column, name: str = "label") -> DataFrame:
-    """Counts per label, missing labels as ``Unknown``."""
-    return df.groupBy(F.coalesce(label, F.lit("Unknown")).alias(name)).agg(F.count("*").alias("n"))
+def frequency(df: DataFrame, label: Column, name: str = "label", weight: str | None = None) -> DataFrame:
+    """Counts per label, missing labels as ``Unknown``; rows that stand for several say so in ``weight``."""
+    n = F.count("*") if weight is None else F.sum(weight)
+    return df.groupBy(F.coalesce(label, F.lit("Unknown")).alias(name)).agg(n.alias("n"))
 
 
 def document_label(name: Column, description: Column) -> Column:

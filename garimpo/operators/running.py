@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from garimpo.session import fresh_path
+
 BUCKET = "__bucket"
 BLOCK = "__block"
 # Buckets that make a block, where buckets are numbers.
@@ -138,15 +140,32 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, bucket: Column |
     )
 
 
-def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """Exact linearly interpolated quantiles per key; no group is held in one task."""
-    ranked = value_ranks(df, keys, value)
+def written_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``value_ranks`` as a table in the shared folder, for figures that all need the same ranks."""
+    path = fresh_path(df.sparkSession, "ranks")
+    value_ranks(df, keys, value).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], ranked: DataFrame | None = None,
+    distinct: str | None = None,
+) -> DataFrame:
+    """Exact linearly interpolated quantiles per key; no group is held in one task.
+
+    ``ranked`` is a ``value_ranks`` of the same data, if there is one; ``distinct`` names a further
+    output, the number of distinct values.
+    """
+    ranked = value_ranks(df, keys, value) if ranked is None else ranked
 
     def pick(place: Column) -> Column:
         hit = (F.col("n_before") <= place) & (place < F.col("n_before") + F.col("n"))
         return F.max(F.when(hit, F.col("__v").cast("double")))
 
     parts, outputs = [F.max("n_total").alias("__n")], []
+    if distinct:
+        parts.append(F.count("*").alias(distinct))
+        outputs.append(F.col(distinct))
     for name, p in probs.items():
         place = F.lit(p) * (F.col("n_total") - 1)
         parts += [pick(F.floor(place)).alias(f"__lo_{name}"), pick(F.ceil(place)).alias(f"__hi_{name}")]
@@ -155,10 +174,13 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
     return ranked.groupBy("__key").agg(*parts).select("__key.*", *outputs)
 
 
-def percent_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+def percent_ranks(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, ranked: DataFrame | None = None
+) -> DataFrame:
     """Add the percent rank of each row's value within its key; null values get null."""
     rank = F.when(F.col("n_total") > 1, F.col("n_before") / (F.col("n_total") - 1)).otherwise(0.0)
-    ranked = value_ranks(df, keys, value).select(F.col("__key").alias("__rk"), F.col("__v").alias("__rv"), rank.alias(name))
+    ranked = value_ranks(df, keys, value) if ranked is None else ranked
+    ranked = ranked.select(F.col("__key").alias("__rk"), F.col("__v").alias("__rv"), rank.alias(name))
     same = (F.struct(*keys) == F.col("__rk")) & (F.col(value) == F.col("__rv"))
     return df.join(ranked, same, "left").select(*df.columns, name)
 

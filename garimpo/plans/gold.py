@@ -79,7 +79,7 @@ l AS (SELECT o_orderkey, (status = 'P' AND cat = '1-URGENT') OR score > 0.8 OR p
 SELECT o_orderkey, label, {SPLIT_SQL} AS split FROM l""")
 def labelled_split(t: Tables):
     base = contracts(t)
-    ref = gold.price_reference(base, ["cat"], "price", "d", "status").select("cat", "median")
+    ref = gold.price_reference(base, ["cat"], "price", "d", "status", {"median": 0.5}).select("cat", "median")
     sanctioned = F.when(F.col("status") == "P", F.col("cat") == "1-URGENT")
     label = gold.weak_label(sanctioned, F.col("score"), F.col("price"), F.col("median"))
     return base.join(ref, "cat", "left").select(

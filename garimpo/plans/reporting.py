@@ -55,12 +55,19 @@ def coverage_with_fallback_id(t: Tables):
     return reports.records_per_id(report)
 
 
-def _enriched(t: Tables):
-    failed = t.orders.where("o_orderstatus = 'P' and o_orderpriority = '1-URGENT'").select(
+def _failed(t: Tables):
+    return t.orders.where("o_orderstatus = 'P' and o_orderpriority = '1-URGENT'").select(
         F.col("o_custkey").cast("string").alias("cnpj"), F.year("o_orderdate").alias("anoCompra"),
         F.col("o_orderkey").alias("sequencialCompra"), F.lit("unreadable page").alias("error"))
+
+
+def _enriched(t: Tables):
     return nested.enrich(
-        records(t), KEYS, items(t), attachments(t), ["numeroItem", "partkey"], ["ordem"], failed)
+        records(t), KEYS, items(t), attachments(t), ["numeroItem", "partkey"], ["ordem"], _failed(t))
+
+
+def _counted(t: Tables):
+    return nested.enrichment_counts(records(t), KEYS, items(t), attachments(t), _failed(t))
 
 
 ENRICHED_SQL = """
@@ -93,7 +100,7 @@ def enriched_records(t: Tables):
 SELECT year(o_orderdate)::INT AS ano, count(*) AS processed, sum(itens)::BIGINT AS total_itens,
   sum(arquivos)::BIGINT AS total_arquivos, sum(CASE WHEN no_key THEN 0 ELSE 2 END)::BIGINT AS api_calls, count(fetch_error) AS errors FROM e GROUP BY 1""")
 def enrichment_totals(t: Tables):
-    return nested.enrichment_totals(_enriched(t), ["anoCompra"]).withColumnRenamed("anoCompra", "ano")
+    return nested.enrichment_totals(_counted(t), ["anoCompra"]).withColumnRenamed("anoCompra", "ano")
 
 
 @query("N5", """
@@ -114,7 +121,7 @@ SELECT count(*) AS total_contratacoes, sum(itens)::BIGINT AS total_itens, sum(ar
   round(sum(itens) / count(*), 2) AS avg_itens_per_contratacao,
   round(sum(arquivos) / count(*), 2) AS avg_arquivos_per_contratacao FROM e""")
 def details_summary(t: Tables):
-    return reports.details_summary(_enriched(t), nested.list_size("itens"), nested.list_size("arquivos"))
+    return reports.details_summary(_counted(t), F.col("metadata.total_itens"), F.col("metadata.total_arquivos"))
 
 
 @query("A6 N5", f"""WITH {ENRICHED_SQL},
@@ -122,9 +129,10 @@ l AS (SELECT l_returnflag, l_linestatus FROM e JOIN lineitem ON l_orderkey = o_o
 SELECT 'categoria' AS kind, coalesce(nullif(l_returnflag, 'A'), 'Unknown') AS label, count(*) AS n FROM l GROUP BY 2
 UNION ALL SELECT 'status', l_linestatus, count(*) FROM l GROUP BY 2""")
 def item_frequencies(t: Tables):
-    rows = nested.flatten(_enriched(t), "itens", [])
-    by_category = reports.frequency(rows, F.col("itemCategoriaNome")).select(F.lit("categoria").alias("kind"), "*")
-    by_status = reports.frequency(rows, F.col("situacaoCompraItemNome")).select(F.lit("status").alias("kind"), "*")
+    rows = nested.child_labels(
+        records(t), KEYS, items(t), ["itemCategoriaNome", "situacaoCompraItemNome"], _failed(t))
+    by_category = reports.frequency(rows, F.col("itemCategoriaNome"), weight="n").select(F.lit("categoria").alias("kind"), "*")
+    by_status = reports.frequency(rows, F.col("situacaoCompraItemNome"), weight="n").select(F.lit("status").alias("kind"), "*")
     return by_category.unionByName(by_status)
 
 
@@ -132,8 +140,10 @@ def item_frequencies(t: Tables):
 SELECT CASE lang WHEN 'en' THEN 'Edital' WHEN 'de' THEN 'Unknown' ELSE lang END AS label, count(*) AS n
 FROM e JOIN documents ON doc_id = o_orderkey WHERE fetch_error IS NULL GROUP BY 1""")
 def document_type_names(t: Tables):
-    rows = nested.flatten(_enriched(t), "arquivos", [])
-    return reports.frequency(rows, reports.document_label(F.col("tipoDocumentoNome"), F.col("tipoDocumentoDescricao")))
+    rows = nested.child_labels(
+        records(t), KEYS, attachments(t), ["tipoDocumentoNome", "tipoDocumentoDescricao"], _failed(t))
+    label = reports.document_label(F.col("tipoDocumentoNome"), F.col("tipoDocumentoDescricao"))
+    return reports.frequency(rows, label, weight="n")
 
 
 @query("A8", """
@@ -159,7 +169,7 @@ SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, count(*) AS contratacoes, sum(
   sum(arquivos)::BIGINT AS arquivos FROM e GROUP BY 1""")
 def daily_breakdown(t: Tables):
     return reports.daily_breakdown(
-        _enriched(t), F.col("dataPublicacaoPncp"), nested.list_size("itens"), nested.list_size("arquivos"))
+        _counted(t), F.col("dataPublicacaoPncp"), F.col("metadata.total_itens"), F.col("metadata.total_arquivos"))
 
 
 @query("A10 D1", """

@@ -223,7 +223,7 @@ SELECT o_orderkey, round(ln(price), 6) AS log_valor_total, round(price / s.mean,
 FROM h JOIN s USING (cat) JOIN m USING (cat)""")
 def price_features(t: Tables):
     base = contracts(t)
-    market = gold.price_reference(base.where("won"), ["cat"], "price", "d", "status")
+    market = gold.price_reference(base.where("won"), ["cat"], "price", "d", "status", {"p95": 0.95})
     known = history.buyer_history(base, "c_nationkey", ["d", "o_orderkey"], "d", F.col("v"), F.col("score") > 0.8)
     full = gold.price_features(known, "cat", "price", market, "buyer_mean_value")
     names = ["log_valor_total", "preco_vs_media_categoria", "preco_vs_mediana_categoria", "zscore_preco",
@@ -267,5 +267,5 @@ FROM part LEFT JOIN ref USING (p_brand) GROUP BY 1""")
 def reference_coverage(t: Tables):
     promo = t.part.where("p_type = 'PROMO'")
     single = t.lineitem.where("l_quantity = 1").join(promo, F.col("p_partkey") == F.col("l_partkey"))
-    ref = gold.price_reference(single, ["p_brand"], "l_extendedprice", "l_shipdate", "l_returnflag")
+    ref = gold.price_reference(single, ["p_brand"], "l_extendedprice", "l_shipdate", "l_returnflag", {"median": 0.5})
     return gold.reference_coverage(t.part, "p_brand", ref, "median")
