@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -70,7 +71,9 @@ def main() -> int:
         plain = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
         spark = plain.config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", os.environ["PLAIN"]).getOrCreate()
     else:
-        spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+        shared = os.environ.get("SHARED_DIR") or tempfile.mkdtemp(prefix="garimpo-oracle-")
+        spark = build_session(master="local[8]", **{
+            "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.checkpoint.dir": "file:" + shared})
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = duck(folder), entry.oracle_sql(), 0
     names = sys.argv[1:]

@@ -117,3 +117,48 @@ def test_resume_batch(spark):
     assert got == ["e", "c"]
     assert dedupe.resume_batch(batch, F.col("id"), done, ["pos"]).count() == 4
     assert dedupe.resume_batch(batch, F.col("id"), done, ["pos"], max_records=3).count() == 3
+
+
+def test_a_second_checkpoint_loses_nothing(spark, folder):
+    job = _job(spark, f"{folder}/lake")
+    for n, ids in enumerate((["1", "2"], ["2", "3"])):
+        _records(spark, ids).coalesce(1).write.parquet(f"{folder}/in{n}")
+        stream = landing_stream(spark, f"{folder}/in{n}", _records(spark, []).schema)
+        run_stream(job, stream, f"{folder}/checkpoint{n}")
+    assert sorted(r.id for r in read_table(spark, f"{folder}/lake/pncp").collect()) == ["1", "2", "3"]
+    assert sorted(r.id for r in job.state.ids("pncp").collect()) == ["1", "2", "3"]
+    assert job.state.runs().select("run").distinct().count() == 2
+
+
+def test_detail_types_stay_apart(spark, folder):
+    jobs = [_job(spark, folder, detail_type=kind) for kind in ("itens", "arquivos")]
+    for job in jobs:
+        ingest_batch(job, _records(spark, ["1", "2"]), "daily")
+    for job in jobs:
+        assert read_table(spark, f"{folder}/{job.table}").count() == 2
+        assert job.state.ids("pncp", job.detail_type).count() == 2
+    assert jobs[0].state.runs().count() == 2
+
+
+def test_records_without_a_time_are_kept(spark, folder):
+    job = _job(spark, folder)
+    batch = _records(spark, ["1", "2"]).unionAll(_records(spark, ["3", "3"], None))
+    for run in ("a", "b"):
+        ingest_batch(job, batch, run)
+    table = read_table(spark, f"{folder}/pncp")
+    assert sorted((r.id, r.day) for r in table.collect()) == [("1", "22"), ("2", "22"), ("3", None)]
+    logged = {(r.run, r.date): (r.input_rows, r.new_rows, r.undated_rows) for r in job.state.runs().collect()}
+    assert logged == {("a", "2025-10-22"): (2, 2, 0), ("a", "undated"): (2, 1, 2),
+                      ("b", "2025-10-22"): (2, 0, 0), ("b", "undated"): (2, 0, 2)}
+
+
+def test_merged_state_keeps_first_runs_and_repeats(spark, folder):
+    job = _job(spark, folder)
+    for run, ids in (("a", ["1"]), ("b", ["1", "2"]), ("c", ["3"])):
+        ingest_batch(job, _records(spark, ids), run)
+    assert job.state.merge_runs("pncp") == 3
+    held = {r.id: r.first_run for r in job.state.ids("pncp").collect()}
+    assert held == {"1": "a", "2": "b", "3": "c"}
+    assert job.state.ids("pncp").select("run").distinct().count() == 1 and job.state.merge_runs("pncp") == 0
+    # A repeated run still does not count its own ids as known.
+    assert {r.id for r in job.state.ids("pncp", before_run="c").collect()} == {"1", "2"}
