@@ -53,9 +53,23 @@ def shared_folder(spark: SparkSession) -> str:
     return "file:" + os.path.join(tempfile.gettempdir(), "garimpo")
 
 
+# Paths that this process has handed out, by application.
+_handed_out: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nobody has written to yet, below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Remove every intermediate table of this application; call it once the results have been read.
+
+    A lazy result reads its intermediate tables when it runs, so operators cannot do this themselves.
+    """
+    return sum(remove_path(spark, path) for path in _handed_out.pop(spark.sparkContext.applicationId, []))
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:

@@ -12,7 +12,7 @@ DATA = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from garimpo.session import build_session
+    from garimpo.session import build_session, release
 
     session = build_session("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4",
@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 
