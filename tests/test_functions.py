@@ -166,3 +166,33 @@ def test_metadata_columns(spark):
     df = filters.add_metadata(spark.range(1), {"tags": {"b", "a"}, "at": date(2024, 1, 2), "n": 3, "d": {"k": 1}})
     row = df.first()
     assert (row.meta_tags, row.meta_at, row.meta_n, row.meta_d) == ('["a", "b"]', "2024-01-02", 3, '{"k": 1}')
+
+
+# Rows and digest of each published code list as it was compared with its source; a changed code shows here.
+CODE_LISTS = {
+    "modalidade": (13, "1329ea694f742b65"),
+    "modo_disputa": (6, "14609320e9fcc800"),
+    "criterio_julgamento": (8, "8653ef7abc5f61e2"),
+    "instrumento_convocatorio": (3, "69660cd3429e7375"),
+    "situacao_contratacao": (4, "f3089b69e12259bf"),
+    "situacao_item": (5, "9cca2442b54d6c65"),
+    "situacao_resultado_item": (2, "90f45e393f028b7d"),
+    "categoria_item_plano": (8, "680dc3487b9cf36e"),
+    "categoria_processo": (11, "b1e2cd91350d4500"),
+    "tipo_beneficio": (5, "6d7e4362f8cf651e"),
+    "porte_empresa": (5, "ab05ea32699e2b1a"),
+    "tipo_contrato": (12, "9f9857b81b00ed7c"),
+    "tipo_termo_contrato": (3, "1609ed91bf3e72f9"),
+    "tipo_documento": (17, "bb35c4389d8761ed"),
+    "natureza_juridica": (91, "b549657458df1b00"),
+    "amparo_legal": (80, "ac3eadd0f6813557"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(CODE_LISTS))
+def test_code_lists_are_the_published_ones(name):
+    import hashlib
+
+    rows = sorted(domains._rows(name))
+    text = "\n".join(f"{code}|{label}|{description or ''}" for code, label, description in rows)
+    assert (len(rows), hashlib.sha256(text.encode()).hexdigest()[:16]) == CODE_LISTS[name]
