@@ -100,6 +100,75 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int,
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def _whole_sets(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """node, n and all shingle hashes of the given nodes (node, doc_id, digest)."""
+    wanted = nodes.select("node", F.col("doc_id").alias("id"), "digest")
+    joined = wanted.join(texts, wanted.id.eqNullSafe(texts.doc_id)).select("node", "digest", "text")
+
+    def run(batches):
+        for batch in batches:
+            ids, digests = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            good, sets = [], []
+            for i, s in enumerate(shingle_sets(*utf8(batch.column(2)), words)):
+                if len(s) and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == digests[i]:
+                    good.append(ids[i])
+                    sets.append(s.astype(np.int64))
+            ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
+            flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_pydict({
+                "node": pa.array(good, pa.int64()), "n": pa.array(np.diff(ends).astype(np.int64)),
+                "values": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))})
+
+    # Rows that repeat an id and a text bring the same set several times.
+    return joined.mapInArrow(run, "node long, n long, values array<long>").dropDuplicates(["node"])
+
+
+def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, link: int) -> DataFrame:
+    """Pairs (a, b) of different components that may still be linked, by exact prefix lists.
+
+    Nodes of lists that hold several components are listed again, now by their whole sets: a linked pair
+    shares a value among the ``n - ceil(link * n) + 1`` rarest of each set, and at the first one they
+    share, what is left of both sets must reach the overlap that a link needs. Both bounds are certain.
+    Texts whose rare values are their own, which is what a weak relative of a group has, drop out here.
+    Of every list, only members outside its largest component look for partners.
+    """
+    known = labels.withColumnRenamed("node", "id")
+
+    def marked(members: DataFrame) -> DataFrame:
+        joined = members.join(known, members.node == known.id, "left")
+        return joined.withColumn("component", F.coalesce("component", "node")).drop("id")
+
+    several = marked(lists).groupBy("value").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value")
+    open_ = lists.join(several, "value", "left_semi").select("node").distinct()
+    sets = written(_whole_sets(nodes.join(open_, "node", "left_semi"), texts, words), "near-sets")
+    listed = sets.select("node", F.explode("values").alias("value"))
+    frequency = listed.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = listed.join(frequency, "value").groupBy("node").agg(
+        F.array_sort(F.collect_list(F.struct("df", "value"))).alias("values"))
+    alone = F.col("n") - F.size("values")
+    room = F.col("n") - F.ceil(F.col("n") * F.lit(link) / F.lit(100)) + 1 - alone
+    prefixes = (
+        shared.join(sets.select("node", "n"), "node").withColumn("alone", alone).withColumn("room", room.cast("int"))
+        .filter("room > 0")
+        .select("node", "n", "alone", F.posexplode(F.slice("values", F.lit(1), F.col("room"))).alias("place", "v"))
+        .select("node", "n", (F.col("alone") + F.col("place")).alias("place"), F.col("v.value").alias("value")))
+    prefixes = written(marked(prefixes), "near-prefixes")
+    parts = prefixes.groupBy("value", "component").agg(F.count("*").alias("m"))
+    parts = parts.groupBy("value").agg(
+        F.max_by("component", F.struct("m", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
+    rest = prefixes.join(parts.select("value", "main"), "value")
+    one = rest.filter("component <> main").select(
+        "value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), (F.col("n") - F.col("place")).alias("ra"))
+    two = rest.select(
+        "value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), (F.col("n") - F.col("place")).alias("rb"),
+        (F.col("component") == F.col("main")).alias("in_main"))
+    # 100 * overlap >= link * union means (100 + link) * overlap >= link * (na + nb).
+    enough = f"{100 + link} * least(ra, rb) >= {link} * (na + nb)"
+    pairs = one.join(two, "value").filter(f"ca <> cb and (in_main or a < b) and {enough}")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     link: int = LINK, retained: int = RETAINED, agreeing: int = AGREEING) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -111,8 +180,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        share is therefore in no list unless it fills most of a document. Values of one node are dropped.
     3. Every list links its members to its smallest node only. Candidates pass the size bound and the
        estimate from the union's sketch, then the Jaccard similarity of the whole sets decides.
-    4. Lists whose members are not yet in one component give the pairs across components, which pass the
-       same filters. No pair within a component is needed, so groups of copies of any size stay linear.
+    4. Members of lists that are not yet in one component are listed again by the rare part of their whole
+       sets, which gives the pairs across components that can still be linked (see ``_crossing``). They
+       pass the same filters. No pair within a component is needed.
 
     Lost links: a pair is missed only if its sketches agree less than ``agreeing`` says, once in 10**9 at
     the similarity bound. No list, partner or candidate is capped.
@@ -146,15 +216,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = written(_verified(tested, nodes, texts, words, link), "near-links")
 
     labels = connected(links)
-    marked = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = marked.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    left = marked.join(mixed.select("value"), "value", "left_semi")
-    one = left.select("value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    two = left.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = one.join(two, "value").filter(
-        "a < b and ca <> cb and 100 * least(na, nb) >= {0} * greatest(na, nb)".format(link)).select("a", "b").distinct()
-    rest = rest.join(tested, ["a", "b"], "left_anti")
-    crossing = written(_agree(rest, nodes, retained, agreeing, link), "near-pairs")
+    crossing = _crossing(lists, labels, nodes, texts, words, link).join(tested, ["a", "b"], "left_anti")
+    crossing = written(_agree(crossing, nodes, retained, agreeing, link), "near-pairs")
     more = written(_verified(crossing, nodes, texts, words, link), "near-links") if not crossing.isEmpty() else None
     if more is not None and not more.isEmpty():
         labels = connected(links.unionByName(more))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTES = np.random.Generator(np.random.PCG64(20240611)).integers(1, 1 << 64, 256, dtype=np.uint64)
