@@ -23,6 +23,9 @@ RETAINED = 64
 #: the link similarity the number is binomial with mean 54.4; it is below 34 once in 10**9 pairs. A set
 #: smaller than the sketch is retained whole, and the same share of it is a certain bound.
 AGREEING = 34
+#: One bit of the smallest hash in each of 64 bins of a whole set. A linked pair differs in 4.8 bits on
+#: average and in more than UNLIKE once in 10**7 pairs; unrelated ones differ in about 29.
+UNLIKE = 20
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n: int = WORDS):
@@ -35,6 +38,17 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n: int = WORDS):
             yield W.distinct(W.grams(hashes[first[i]:first[i + 1]], n) >> np.uint64(1))
 
 
+def one_bits(s: np.ndarray) -> int:
+    """64 bits of a sorted set: the lowest bit of the smallest hash in every bin, 0 for an empty bin."""
+    at = np.searchsorted(s, _EDGES)
+    least = np.append(s, np.uint64(0))[at[:-1]] & np.uint64(1)
+    least[at[:-1] == at[1:]] = 0
+    return int(np.packbits(least.astype(np.uint8)).view(">i8")[0])
+
+
+_EDGES = np.append(np.arange(64, dtype=np.uint64) << np.uint64(57), np.uint64(1 << 63))
+
+
 def sketches(docs: DataFrame, words: int = WORDS, retained: int = RETAINED) -> DataFrame:
     """doc_id, n_shingles, digest of the whole set (null when empty) and its smallest hashes in order."""
     ship(docs.sparkSession)
@@ -101,26 +115,28 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int,
 
 
 def _whole_sets(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """node, n and all shingle hashes of the given nodes (node, doc_id, digest)."""
+    """node, n, one_bits and all shingle hashes of the given nodes (node, doc_id, digest)."""
     wanted = nodes.select("node", F.col("doc_id").alias("id"), "digest")
     joined = wanted.join(texts, wanted.id.eqNullSafe(texts.doc_id)).select("node", "digest", "text")
 
     def run(batches):
         for batch in batches:
             ids, digests = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            good, sets = [], []
+            good, sets, bits = [], [], []
             for i, s in enumerate(shingle_sets(*utf8(batch.column(2)), words)):
                 if len(s) and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == digests[i]:
                     good.append(ids[i])
                     sets.append(s.astype(np.int64))
+                    bits.append(one_bits(s))
             ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
             flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
             yield pa.RecordBatch.from_pydict({
                 "node": pa.array(good, pa.int64()), "n": pa.array(np.diff(ends).astype(np.int64)),
+                "bits": pa.array(bits, pa.int64()),
                 "values": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))})
 
     # Rows that repeat an id and a text bring the same set several times.
-    return joined.mapInArrow(run, "node long, n long, values array<long>").dropDuplicates(["node"])
+    return joined.mapInArrow(run, "node long, n long, bits long, values array<long>").dropDuplicates(["node"])
 
 
 def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, link: int) -> DataFrame:
@@ -129,6 +145,7 @@ def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
     Nodes of lists that hold several components are listed again, now by their whole sets: a linked pair
     shares a value among the ``n - ceil(link * n) + 1`` rarest of each set, and at the first one they
     share, what is left of both sets must reach the overlap that a link needs. Both bounds are certain.
+    One bit of each bin's smallest hash sets unrelated texts apart before a pair is made.
     Texts whose rare values are their own, which is what a weak relative of a group has, drop out here.
     Of every list, only members outside its largest component look for partners.
     """
@@ -149,23 +166,25 @@ def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
     alone = F.col("n") - F.size("values")
     room = F.col("n") - F.ceil(F.col("n") * F.lit(link) / F.lit(100)) + 1 - alone
     prefixes = (
-        shared.join(sets.select("node", "n"), "node").withColumn("alone", alone).withColumn("room", room.cast("int"))
+        shared.join(sets.select("node", "n", "bits"), "node").withColumn("alone", alone).withColumn("room", room.cast("int"))
         .filter("room > 0")
-        .select("node", "n", "alone", F.posexplode(F.slice("values", F.lit(1), F.col("room"))).alias("place", "v"))
-        .select("node", "n", (F.col("alone") + F.col("place")).alias("place"), F.col("v.value").alias("value")))
+        .select("node", "n", "bits", "alone", F.posexplode(F.slice("values", F.lit(1), F.col("room"))).alias("place", "v"))
+        .select("node", "n", "bits", (F.col("alone") + F.col("place")).alias("place"), F.col("v.value").alias("value")))
     prefixes = written(marked(prefixes), "near-prefixes")
     parts = prefixes.groupBy("value", "component").agg(F.count("*").alias("m"))
     parts = parts.groupBy("value").agg(
         F.max_by("component", F.struct("m", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
     rest = prefixes.join(parts.select("value", "main"), "value")
     one = rest.filter("component <> main").select(
-        "value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), (F.col("n") - F.col("place")).alias("ra"))
+        "value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"),
+        F.col("bits").alias("ba"), (F.col("n") - F.col("place")).alias("ra"))
     two = rest.select(
-        "value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), (F.col("n") - F.col("place")).alias("rb"),
+        "value", F.col("bits").alias("bb"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), (F.col("n") - F.col("place")).alias("rb"),
         (F.col("component") == F.col("main")).alias("in_main"))
     # 100 * overlap >= link * union means (100 + link) * overlap >= link * (na + nb).
     enough = f"{100 + link} * least(ra, rb) >= {link} * (na + nb)"
-    pairs = one.join(two, "value").filter(f"ca <> cb and (in_main or a < b) and {enough}")
+    near = f"bit_count(ba ^ bb) <= {UNLIKE}"
+    pairs = one.join(two, "value").filter(f"ca <> cb and (in_main or a < b) and {enough} and {near}")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -185,7 +204,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        pass the same filters. No pair within a component is needed.
 
     Lost links: a pair is missed only if its sketches agree less than ``agreeing`` says, once in 10**9 at
-    the similarity bound. No list, partner or candidate is capped.
+    the similarity bound, or its bits differ in more than ``UNLIKE``, once in 10**7. No list, partner or
+    candidate is capped.
 
     Null and empty texts have no shingles and stay alone, with themselves as component. Of rows that
     repeat an id, each takes part; all rows with the component's id count as kept. A null id is the
@@ -220,7 +240,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     crossing = written(_agree(crossing, nodes, retained, agreeing, link), "near-pairs")
     more = written(_verified(crossing, nodes, texts, words, link), "near-links") if not crossing.isEmpty() else None
     if more is not None and not more.isEmpty():
-        labels = connected(links.unionByName(more))
+        # The components so far are stars already, so only the new links take rounds.
+        labels = connected(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     placed = nodes.select("node", "digest", "doc_id").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
