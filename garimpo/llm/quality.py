@@ -99,7 +99,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         table = np.zeros((rows, DIM + 1), np.float64)
         for batch in batches:
             raw, offsets = utf8(batch.column(0))
-            for a, b in slices(offsets, W.CHUNK // 4):
+            for a, b in slices(offsets, W.CHUNK):
                 bucket, shape, first = word_codes(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 if not len(bucket):
                     continue
@@ -125,7 +125,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 def pooled(raw: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """One row per text: weighted mean of its words' vectors and mean of its shapes' vectors; zeros if empty."""
     out = np.zeros((len(offsets) - 1, 2 * DIM), np.float32)
-    for a, b in slices(offsets, W.CHUNK // 4):
+    for a, b in slices(offsets, W.CHUNK):
         bucket, shape, first = word_codes(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
         full = np.flatnonzero(first[:-1] < first[1:])
         if not len(full):
@@ -202,10 +202,18 @@ def _features(docs: DataFrame, id_col: str, text_col: str, vectors: np.ndarray)
     return rows.mapInArrow(run, "doc_id long, features binary")
 
 
-def _fit(features: DataFrame, labels: DataFrame, label_col: str, fit_rows: int, seed: int) -> Network:
+def _sampled_marks(labels: DataFrame, label_col: str, fit_rows: int, seed: int) -> DataFrame:
+    """(doc_id, mark) of about twice ``fit_rows`` labelled documents, or of all if there are fewer."""
     marks = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg(label_col).alias("mark"))
-    rows = features.join(marks, "doc_id").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "features").limit(fit_rows)
+    share = min(1.0, 2 * fit_rows / max(1, marks.count()))
+    return marks.filter(F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def _fit(features: DataFrame, marks: DataFrame, fit_rows: int, seed: int) -> Network:
+    # The marks are bounded by fit_rows, so they may be broadcast and one task may sort what they meet.
+    rows = features.join(F.broadcast(marks), "doc_id")
+    rows = rows.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "features").limit(fit_rows)
     got = rows.select("features", "mark").toArrow()
     x = np.frombuffer(b"".join(got["features"].to_pylist()), np.float32).reshape(-1, 2 * DIM).astype(np.float64)
     return Network(x, (got["mark"].to_numpy() >= 0.5).astype(np.float64), seed)
@@ -226,7 +234,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     vectors = word_vectors(docs, text_col)
     features = written(_features(docs, id_col, text_col, vectors), "quality-features")
-    network = _fit(features, labels, label_col, fit_rows, seed)
+    network = _fit(features, _sampled_marks(labels, label_col, fit_rows, seed), fit_rows, seed)
 
     def run(batches):
         for batch in batches:
@@ -244,9 +252,10 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   seed: int = SEED) -> DataFrame:
     """``docs`` without the rows that score below the threshold; columns unchanged, nothing shuffled by text."""
     vectors = word_vectors(docs, text_col)
-    known = labels.select(F.col("doc_id").cast("long").alias("__labelled")).distinct()
-    marked = docs.join(known, F.col(id_col).cast("long") == F.col("__labelled"), "left_semi")
-    network = _fit(_features(marked, id_col, text_col, vectors), labels, label_col, fit_rows, seed)
+    marks = _sampled_marks(labels, label_col, fit_rows, seed)
+    known = marks.select(F.col("doc_id").alias("__labelled"))
+    marked = docs.join(F.broadcast(known), F.col(id_col).cast("long") == F.col("__labelled"), "left_semi")
+    network = _fit(_features(marked, id_col, text_col, vectors), marks, fit_rows, seed)
     names, schema = docs.columns, docs.schema
     at = names.index(text_col)
 
