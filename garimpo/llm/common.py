@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from garimpo.session import fresh_path
 
-_SHIPPED = "spark.garimpo.llm.shipped"
+_shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application, as ``--py-files`` would."""
     context = spark.sparkContext
-    if context.getLocalProperty(_SHIPPED) == context.applicationId:
+    if context.applicationId in _shipped:
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     archive = os.path.join(tempfile.mkdtemp(prefix="garimpo-"), "garimpo_code.zip")
@@ -31,7 +31,7 @@ def ship(spark: SparkSession) -> None:
                     path = os.path.join(folder, name)
                     out.write(path, os.path.relpath(path, os.path.dirname(top)))
     context.addPyFile(archive)
-    context.setLocalProperty(_SHIPPED, context.applicationId)
+    _shipped.add(context.applicationId)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
