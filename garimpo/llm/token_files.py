@@ -9,6 +9,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -24,8 +25,13 @@ SHARD_TOKENS = 1 << 20
 #: Bits of a plane that are compressed together, and that one entry of the rank directory covers.
 BLOCK_BITS = 1 << 16
 #: Text bytes whose pieces are numbered together, and pieces a worker remembers.
-TEXT_BYTES = 16 << 20
-REMEMBERED = 400_000
+TEXT_BYTES = 4 << 20
+REMEMBERED = 2_000_000
+REMEMBERED_BYTES = 64 << 20
+#: New pieces that are encoded as one text.
+ROW_PIECES = 2_000
+#: A blank, then anything that is white space nowhere.
+PLAIN = r"^ [^\s\pZ\x{0B}\x{1C}-\x{1F}\x{85}]+$"
 
 _MAGIC = b"GWM1"
 _HEAD = struct.Struct("<4sBQQ")
@@ -44,17 +50,44 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        # Byte-level vocabularies spell every byte as one character.
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for piece, i in vocabulary.items():
+            self.bytes_of[i] = len(piece)
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.ids, self.ends = array("I"), array("q", [0])
 
-    def _learn(self, pieces: list[str]) -> None:
-        for piece, encoding in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.known[piece] = len(self.known)
-            self.ids.extend(encoding.ids)
+    def _learn(self, pieces: pa.LargeStringArray) -> np.ndarray:
+        """Encodes new pieces, plain ones in long rows, the others one by one; returns their numbers.
+
+        A plain piece is a blank and then no white space, so a row of them is a text that would be cut at
+        just these blanks. Bytes per id tell which ids belong to which piece.
+        """
+        plain = pc.and_not(pc.match_substring_regex(pieces, PLAIN), pc.match_substring(pieces, "<|"))
+        row, others = pieces.filter(plain), pieces.filter(pc.invert(plain))
+        data, offsets = utf8(row)
+        for i in range(0, len(row), ROW_PIECES):
+            cut = offsets[i:i + ROW_PIECES + 1]
+            text = data[cut[0]:cut[-1]].tobytes().decode("utf-8")
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            reached = np.concatenate(([0], np.cumsum(self.bytes_of[ids])))
+            bounds = cut[1:] - cut[0]
+            ends = np.searchsorted(reached, bounds)
+            if reached[-1] != bounds[-1] or not np.array_equal(reached[ends], bounds):
+                raise ValueError("the vocabulary does not cut texts at blanks")
+            begin = len(self.ids)
+            self.ids.frombytes(ids.tobytes())
+            self.ends.frombytes((begin + ends).astype(np.int64).tobytes())
+        for piece in others.to_pylist():
+            self.ids.extend(self.tokenizer.encode(piece, add_special_tokens=False).ids)
             self.ends.append(len(self.ids))
+        first, mask = len(self.known), plain.to_numpy(zero_copy_only=False)
+        self.known = pa.concat_arrays([self.known, row, others])
+        return first + np.where(mask, np.cumsum(mask) - 1, len(row) + np.cumsum(~mask) - 1)
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids begin."""
@@ -64,13 +97,14 @@ class PieceEncoder:
         bounds = np.append(starts, len(raw))
         pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(raw)))
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > REMEMBERED:
+        distinct = coded.dictionary
+        if len(self.known) + len(distinct) > REMEMBERED or self.known.nbytes > REMEMBERED_BYTES:
             self._forget()
-        missing = [p for p in distinct if p not in self.known]
-        if missing:
-            self._learn(missing)
-        row = np.fromiter((self.known[p] for p in distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        found = pc.index_in(distinct, value_set=self.known)
+        rows = pc.fill_null(found, -1).to_numpy().astype(np.int32)
+        if found.null_count:
+            rows[rows < 0] = self._learn(distinct.filter(pc.is_null(found)))
+        row = rows[coded.indices.to_numpy()]
         ids = np.frombuffer(self.ids, np.uint32) if len(self.ids) else np.empty(0, np.uint32)
         ends = np.frombuffer(self.ends, np.int64)
         begin, size = ends[row], ends[row + 1] - ends[row]
