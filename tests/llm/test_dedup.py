@@ -203,6 +203,43 @@ def test_repeated_passages_are_found_and_clean_texts_left_alone(spark):
         assert len(covered & set(range(n - 55, n))) == 55
 
 
+def _template_groups(rng, groups, edited):
+    """Pairs of texts with a passage of 48 common words and 5 own ones on both sides, unlike surroundings."""
+    core, rows = brute.sentence(rng, 48), []
+    for g in range(groups):
+        ahead, behind = brute.sentence(rng, 5), brute.sentence(rng, 5)
+        for copy in range(2):
+            words = f"{ahead} {core} {behind}".split(" ")
+            if copy and edited:
+                words[29] = "edit%d" % g
+            rows.append((2 * g + copy, f"{brute.sentence(rng, 30)} {' '.join(words)} {brute.sentence(rng, 30)}"))
+    return rows
+
+
+@pytest.mark.parametrize("edited", [False, True])
+def test_passages_of_many_groups_with_a_common_core(spark, edited):
+    rng = random.Random(12)
+    rows = []
+    for k in range(12):
+        rows += [(100 * k + i, t) for i, t in _template_groups(rng, 12, edited)]
+    found = {(r.first_doc_id, r.doc_id) for r in _passages(spark, rows).collect()}
+    assert [i for i, _ in rows if i % 2 and (i - 1, i) not in found] == []
+
+
+def test_further_anchors_join_whole_stretches_one_word_apart(spark):
+    rng = random.Random(13)
+    core = brute.sentence(rng, 48).split(" ")
+    a, b = (brute.sentence(rng, 4).split(" ") for _ in range(2))
+    plain, swapped, longer = a[:2] + core + b[:2], a[:2] + core + b[:2], a[:2] + core + b[:2]
+    swapped[20] = "other"
+    longer.insert(31, "more")
+    rows = [(i, " ".join(w)) for i, w in enumerate([plain, swapped, longer, a[2:] + core + b[2:]])]
+    texts = brute.documents(spark, rows).select("doc_id", "text")
+    members = spark.createDataFrame([(1, i, 12) for i in range(4)], "key long, doc_id long, centre int")
+    got = rows_of(passages._further(members, members, texts, 5, 50), "first_doc_id", "doc_id", "diagonal")
+    assert got == [(0, 1, 0), (0, 2, 0)]
+
+
 def test_compact_windows_match_their_definition():
     import numpy as np
 
