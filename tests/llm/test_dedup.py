@@ -240,6 +240,30 @@ def test_further_anchors_join_whole_stretches_one_word_apart(spark):
     assert got == [(0, 1, 0), (0, 2, 0)]
 
 
+@pytest.mark.parametrize("length", [51, 60, 80])
+@pytest.mark.parametrize("kept", ["ahead", "behind"])
+def test_an_inserted_or_deleted_word_does_not_split_a_passage(length, kept):
+    import numpy as np
+
+    rng = np.random.Generator(np.random.PCG64(length))
+    for inserted in (True, False):
+        one = rng.integers(1, 1 << 63, length + 40).astype(np.uint64)
+        shared, middle = one[20:20 + length], length // 2
+        edited = np.insert(shared, middle, np.uint64(7)) if inserted else np.delete(shared, middle)
+        two = np.concatenate((rng.integers(1, 1 << 63, 33).astype(np.uint64), edited, rng.integers(1, 1 << 63, 9).astype(np.uint64)))
+        # Only one of the halves has an anchor.
+        diagonal = 20 - 33 if kept == "ahead" else 20 - 33 - (1 if inserted else -1)
+        (s, e, t, f, share), = passages.alike(one, two, [diagonal], 5, 50, 0.8)
+        assert (s, e, t, f) == (33, 33 + len(edited), 20, 20 + length) and share >= 0.8
+
+
+def test_a_passage_repeated_within_its_text_is_not_the_text_itself(spark):
+    rng = random.Random(14)
+    shared = brute.sentence(rng, 60)
+    (row,) = _passages(spark, [(1, " ".join([shared, brute.sentence(rng, 3), shared, brute.sentence(rng, 300)]))]).collect()
+    assert (row.doc_id, row.first_doc_id, row.start, row.end, row.first_start, row.first_end) == (1, 1, 63, 123, 0, 60)
+
+
 def test_compact_windows_match_their_definition():
     import numpy as np
 
