@@ -19,8 +19,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: the document with the smallest id of each group stays."""
-    return near_dups.keep_one_of_each(docs)
+    """Operator 1: the document with the smallest id of each group stays, also where ids are null or repeated."""
+    return near_dups.keep_every_component(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,13 +50,15 @@ _EDGES = np.append(np.arange(64, dtype=np.uint64) << np.uint64(57), np.uint64(1
 
 
 def sketches(docs: DataFrame, words: int = WORDS, retained: int = RETAINED) -> DataFrame:
-    """doc_id, n_shingles, digest of the whole set (null when empty) and its smallest hashes in order."""
+    """doc_id, n_shingles, digests of the text and of the whole set (null when empty), its smallest hashes in order."""
     ship(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
             raw, offsets = utf8(batch.column(1))
             sizes, digests, kept = [], [], []
+            view = memoryview(raw)
+            texts = [hashlib.md5(view[x:y]).digest() for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             for s in shingle_sets(raw, offsets, words):
                 sizes.append(len(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
@@ -65,10 +67,10 @@ def sketches(docs: DataFrame, words: int = WORDS, retained: int = RETAINED) -> D
             flat = np.concatenate(kept) if kept else np.empty(0, np.int64)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "n_shingles": pa.array(sizes, pa.int64()),
-                "digest": pa.array(digests, pa.binary()),
+                "text_md5": pa.array(texts, pa.binary()), "digest": pa.array(digests, pa.binary()),
                 "sketch": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))})
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, text_md5 binary, digest binary, sketch array<long>")
 
 
 def _agree(pairs: DataFrame, nodes: DataFrame, retained: int, agreeing: int, link: int) -> DataFrame:
@@ -211,6 +213,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeat an id, each takes part; all rows with the component's id count as kept. A null id is the
     component's id only if no member has another. Texts are read whole. Other columns are ignored.
     """
+    return _labelled(docs, id_col, text_col, words, link, retained, agreeing).drop("text_md5", "node")
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, link: int = LINK, retained: int = RETAINED,
+              agreeing: int = AGREEING) -> DataFrame:
+    """The rows of ``near_duplicates`` with text_md5 and the component's node (null for a text without words)."""
     texts = texts_of(docs, id_col, text_col)
     base = written(sketches(texts, words, retained), "near-sketches")
     firsts = base.filter("digest is not null").groupBy("digest").agg(
@@ -246,19 +254,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = nodes.select("node", "digest", "doc_id").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     heads = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = placed.join(heads, "component").select("digest", "component_id")
-    return base.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select(
-        "doc_id", "n_shingles",
+    named = placed.join(heads, "component").select("digest", "component_id", F.col("component").alias("node"))
+    return base.select("doc_id", "n_shingles", "text_md5", "digest").join(named, "digest", "left").select(
+        "text_md5", "node", "doc_id", "n_shingles",
         F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _rows_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Whole rows of the chosen (doc_id, text_md5) with a column ``__md5``."""
+    chosen = chosen.select(F.col("doc_id").alias("__kept"), F.col("text_md5").alias("__text")).distinct()
+    marked = docs.withColumn("__md5", F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))
+    return marked.join(chosen, F.col(id_col).cast("long").eqNullSafe(F.col("__kept")) & (F.col("__md5") == F.col("__text")), "left_semi")
+
+
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one whole row of each component, the one with the smallest id; columns unchanged.
+    """``docs`` with one whole row of each id that heads a component; columns unchanged.
+
+    For tables whose ids are unique and not null. Of rows that repeat an id, the text with the smallest MD5
+    stays, all null ids are one, and their other texts go; ``keep_every_component`` keeps them.
+    """
+    kept = _labelled(docs, id_col, text_col, **options).filter("kept")
+    chosen = kept.groupBy("doc_id").agg(F.min("text_md5").alias("text_md5"))
+    return _rows_of(docs, chosen, id_col, text_col).dropDuplicates([id_col]).drop("__md5")
+
+
+def keep_every_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one whole row of every component, whether ids are null, repeated or unique; columns unchanged.
 
-    Of rows that repeat that id, the smallest text stays. A document without words is a component of its
-    own, so all such rows stay, but rows that repeat an id are one row here, too.
+    The row with the smallest id stays, a null id only if no member has another; of rows that share that id,
+    the text with the smallest MD5. Equal rows of one id and text are one. A document without words is a
+    component of its own, so all such rows stay.
     """
-    kept = near_duplicates(docs, id_col, text_col, **options).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    chosen = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept")), "left_semi")
-    return chosen.dropDuplicates([id_col])
+    members = _labelled(docs, id_col, text_col, **options).filter("node is not null")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_md5")
+    chosen = members.groupBy("node").agg(F.min(first).alias("f")).select("f.doc_id", "f.text_md5")
+    blank = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), " \t\n\x0b\x0c\r", "") == ""
+    worded = _rows_of(docs.filter(~blank), chosen, id_col, text_col).dropDuplicates([id_col, "__md5"]).drop("__md5")
+    return worded.unionByName(docs.filter(blank))

@@ -71,6 +71,17 @@ def test_every_stage_takes_effect_on_what_the_one_before_kept(spark, folder):
     assert sum(r.n_tokens for r in tokens) == max(r.start + r.n_tokens for r in tokens)
 
 
+def test_near_dedup_stage_keeps_a_row_of_every_component_whatever_its_id(spark):
+    rng = random.Random(3)
+    a, b, c, d = (brute.sentence(rng, 60) for _ in range(4))
+    rows = [(1, a), (1, b), (1, b), (2, b), (3, a + " "), (None, c), (None, d), (None, d), (9, d), (4, ""), (None, None), (None, " ")]
+    docs = brute.documents(spark, rows)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, a), (1, b), (None, c), (9, d), (4, ""), (None, None), (None, " ")], key=repr)
+
+
 def test_run_applies_all_stages(spark, folder):
     got = corpus_pipeline.run(spark, folder)
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and got.count() > 100
