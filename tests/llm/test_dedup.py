@@ -164,6 +164,15 @@ def test_fuzzy_lines_match_brute_force(spark):
     assert cut[4] == "ab" and cut[1] is None and cut[3] == "\n\n"
 
 
+def test_short_similar_lines_meet_in_a_band(spark):
+    rng = random.Random(15)
+    # 13 and 12 characters: 4 of 5 shingles, just at the link.
+    pairs = [("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(13)), i) for i in range(2000)]
+    rows = [(2 * i, line) for line, i in pairs] + [(2 * i + 1, line[:-1]) for line, i in pairs]
+    got = fuzzy_lines.dropped_lines(brute.documents(spark, rows)).filter("n_dropped = 1")
+    assert {r.doc_id for r in got.collect()} == {2 * i + 1 for _, i in pairs}
+
+
 def test_fuzzy_lines_have_no_python_in_the_plan(spark):
     plan = fuzzy_lines.dropped_lines(brute.documents(spark, [(1, "a b\nc d"), (2, "a b")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "MapInPandas" not in plan
