@@ -62,11 +62,63 @@ def split_records(data: bytes):
         at = end + 4
 
 
+def _member(stored: bytes, begin: int) -> tuple[bytes, int] | None:
+    """Data and end of the gzip member that begins there, or None. It is fed in blocks, so the rest is not copied."""
+    reader, parts, at = zlib.decompressobj(31), [], begin
+    try:
+        while at < len(stored) and not reader.eof:
+            block = stored[at:at + LEAF_BYTES]
+            parts.append(reader.decompress(block))
+            at += len(block)
+    except zlib.error:
+        return None
+    return (b"".join(parts), at - len(reader.unused_data)) if reader.eof else None
+
+
+def unzipped(stored: bytes) -> tuple[bytes, list[tuple[int, int]]]:
+    """The data of all gzip members of a file, and (offset, length) of what could not be read, kept as stored.
+
+    A member that breaks off or does not pass its checksum, and anything behind a member that is no gzip data,
+    is damaged up to the next place from which a whole member can be read. Zeros that pad the end are left out.
+    """
+    parts, damaged, size, at = [], [], 0, 0
+    while at < len(stored) and (stored[at] or stored[at:].strip(b"\0")):
+        begin, read = at, _member(stored, at)
+        while read is None and begin >= 0:
+            begin = stored.find(b"\x1f\x8b\x08", begin + 1)
+            read = _member(stored, begin) if begin >= 0 else None
+        lost = stored[at:begin] if read else stored[at:]
+        if lost:
+            damaged.append((size, len(lost)))
+            parts.append(lost)
+            size += len(lost)
+        if read is None:
+            break
+        parts.append(read[0])
+        size += len(read[0])
+        at = read[1]
+    return b"".join(parts), damaged
+
+
+def stored_records(stored: bytes):
+    """(data, records) of a file as it is stored, gzipped in any number of members or plain."""
+    if stored[:2] != b"\x1f\x8b":
+        return stored, list(split_records(stored))
+    data, damaged = unzipped(stored)
+    found, at = [], 0
+    for begin, length in [*damaged, (len(data), 0)]:
+        found += [(at + o, n, name) for o, n, name in split_records(data[at:begin])]
+        if length:
+            found.append((begin, length, None))
+        at = begin + length
+    return data, found
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """file, offset, length, record_id and SHA-256 of every record below ``path``.
 
-    A file is read whole by one task; its size is set by the partitions that were written. Damaged gzip
-    data give one record that covers the file, hashed as stored.
+    A file is read whole by one task; its size is set by the partitions that were written. All gzip
+    members are read; damaged gzip data give one record for each damaged stretch, hashed as stored.
     """
     ship(spark)
 
@@ -75,11 +127,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             files = batch.column(0).to_pylist()
             for k, content in enumerate(batch.column(1)):
                 stored = content.as_py() or b""
-                try:
-                    data = zlib.decompress(stored, 31) if stored[:2] == b"\x1f\x8b" else stored
-                    found = list(split_records(data))
-                except zlib.error:
-                    data, found = stored, [(0, len(stored), None)]
+                data, found = stored_records(stored)
                 view = memoryview(data)
                 yield pa.RecordBatch.from_pydict({
                     "file": pa.array([files[k]] * len(found), pa.string()),

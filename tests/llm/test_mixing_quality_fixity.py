@@ -220,3 +220,29 @@ def test_damaged_files_are_still_read():
     broken = record + re.sub(b"Content-Length: 2", b"Content-Length: x", record) + record
     assert [f[0] for f in fixity.split_records(broken)] == [0, len(record), 2 * len(record)]
     assert list(fixity.split_records(b"")) == [] and list(fixity.split_records(b"junk")) == [(0, 4, None)]
+
+
+def test_all_gzip_members_and_trailing_bytes_are_read(spark, tmp_path):
+    import gzip
+    import hashlib
+
+    records = [b"WARC/1.0\r\nWARC-Record-ID: %d\r\nContent-Length: 2\r\n\r\n%02d\r\n\r\n" % (i, i) for i in range(5)]
+    members = [gzip.compress(r) for r in records]
+    broken = members[2][:20] + bytes([members[2][20] ^ 255]) + members[2][21:]
+    (tmp_path / "part-0.gz").write_bytes(b"".join(members))
+    (tmp_path / "part-1.gz").write_bytes(b"".join([*members[:2], broken, *members[3:]]))
+    (tmp_path / "part-2.gz").write_bytes(b"".join(members) + b"rubbish")
+    (tmp_path / "part-3.gz").write_bytes(members[0] + members[1][:-9])
+    (tmp_path / "part-4.gz").write_bytes(b"".join(members) + bytes(64))
+    got = {}
+    for r in fixity.read_records(spark, "file:" + str(tmp_path)).orderBy("file", "offset").collect():
+        got.setdefault(r.file, []).append((r.record_id, r.sha256))
+    digest = [(str(i), hashlib.sha256(r[:-4]).hexdigest()) for i, r in enumerate(records)]
+
+    def lost(stored):
+        return None, hashlib.sha256(stored).hexdigest()
+
+    assert got["0"] == got["4"] == digest
+    assert got["1"] == [*digest[:2], lost(broken), *digest[3:]]
+    assert got["2"] == [*digest, lost(b"rubbish")]
+    assert got["3"] == [digest[0], lost(members[1][:-9])]
