@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +20,37 @@ WORDS = 5
 LINK = 85
 #: Smallest hashes that a sketch retains.
 RETAINED = 64
-#: Of the RETAINED smallest hashes of a union, so many must be in both sets for a pair to be verified. At
-#: the link similarity the number is binomial with mean 54.4; it is below 34 once in 10**9 pairs. A set
-#: smaller than the sketch is retained whole, and the same share of it is a certain bound.
-AGREEING = 34
-#: One bit of the smallest hash in each of 64 bins of a whole set. A linked pair differs in 4.8 bits on
-#: average and in more than UNLIKE once in 10**7 pairs; unrelated ones differ in about 29.
-UNLIKE = 20
+#: Bins of the bit filter.
+BINS = 64
+
+
+def least_agreeing(link: int, retained: int = RETAINED) -> int:
+    """Of the ``retained`` smallest hashes of a union, so many must be in both sets for a pair to be verified.
+
+    At the link similarity the number is binomial with mean ``retained * link / 100``; it is below the bound in
+    at most one of 10**9 pairs. A set smaller than the sketch is retained whole, and the same share of it is a
+    certain bound. For operator 1 it is 34.
+    """
+    return _quantile(retained, link / 100, 1e-9)
+
+
+def most_unlike(link: int) -> int:
+    """Bits in which a linked pair may differ: one bit of the smallest hash in each of BINS bins of a whole set.
+
+    A bin's bits differ with a chance of half the distance; more bits than the bound differ in at most
+    one of 10**8 pairs at the link similarity. For operator 1 it is 20; unrelated sets differ in about 29.
+    """
+    return BINS - _quantile(BINS, 1 - (1 - link / 100) / 2, 1e-8)
+
+
+def _quantile(n: int, p: float, tail: float) -> int:
+    """The largest k for which fewer than k of n tries succeed with a chance of at most ``tail``."""
+    below = 0.0
+    for k in range(n + 1):
+        below += math.comb(n, k) * p ** k * (1 - p) ** (n - k)
+        if below > tail:
+            return k
+    return n
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n: int = WORDS):
@@ -141,7 +166,8 @@ def _whole_sets(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return joined.mapInArrow(run, "node long, n long, bits long, values array<long>").dropDuplicates(["node"])
 
 
-def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, link: int) -> DataFrame:
+def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, link: int,
+              unlike: int) -> DataFrame:
     """Pairs (a, b) of different components that may still be linked, by exact prefix lists.
 
     Nodes of lists that hold several components are listed again, now by their whole sets: a linked pair
@@ -185,13 +211,14 @@ def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
         (F.col("component") == F.col("main")).alias("in_main"))
     # 100 * overlap >= link * union means (100 + link) * overlap >= link * (na + nb).
     enough = f"{100 + link} * least(ra, rb) >= {link} * (na + nb)"
-    near = f"bit_count(ba ^ bb) <= {UNLIKE}"
+    near = f"bit_count(ba ^ bb) <= {unlike}"
     pairs = one.join(two, "value").filter(f"ca <> cb and (in_main or a < b) and {enough} and {near}")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                    link: int = LINK, retained: int = RETAINED, agreeing: int = AGREEING) -> DataFrame:
+                    link: int = LINK, retained: int = RETAINED, agreeing: int | None = None,
+                    unlike: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     1. Every text becomes its set of distinct word shingles and a sketch, the set's smallest hashes.
@@ -205,20 +232,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        sets, which gives the pairs across components that can still be linked (see ``_crossing``). They
        pass the same filters. No pair within a component is needed.
 
-    Lost links: a pair is missed only if its sketches agree less than ``agreeing`` says, once in 10**9 at
-    the similarity bound, or its bits differ in more than ``UNLIKE``, once in 10**7. No list, partner or
+    Lost links: a pair is missed only if its sketches agree less than ``agreeing`` says (default
+    ``least_agreeing``: one in 10**9 at the similarity bound), or its bits differ in more than ``unlike``
+    (default ``most_unlike``: one in 10**8). Both follow ``link``. No list, partner or
     candidate is capped.
 
     Null and empty texts have no shingles and stay alone, with themselves as component. Of rows that
     repeat an id, each takes part; all rows with the component's id count as kept. A null id is the
     component's id only if no member has another. Texts are read whole. Other columns are ignored.
     """
-    return _labelled(docs, id_col, text_col, words, link, retained, agreeing).drop("text_md5", "node")
+    return _labelled(docs, id_col, text_col, words, link, retained, agreeing, unlike).drop("text_md5", "node")
 
 
 def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, link: int = LINK, retained: int = RETAINED,
-              agreeing: int = AGREEING) -> DataFrame:
+              agreeing: int | None = None, unlike: int | None = None) -> DataFrame:
     """The rows of ``near_duplicates`` with text_md5 and the component's node (null for a text without words)."""
+    agreeing = least_agreeing(link, retained) if agreeing is None else agreeing
+    unlike = most_unlike(link) if unlike is None else unlike
     texts = texts_of(docs, id_col, text_col)
     base = written(sketches(texts, words, retained), "near-sketches")
     firsts = base.filter("digest is not null").groupBy("digest").agg(
@@ -244,7 +274,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, l
     links = written(_verified(tested, nodes, texts, words, link), "near-links")
 
     labels = connected(links)
-    crossing = _crossing(lists, labels, nodes, texts, words, link).join(tested, ["a", "b"], "left_anti")
+    crossing = _crossing(lists, labels, nodes, texts, words, link, unlike).join(tested, ["a", "b"], "left_anti")
     crossing = written(_agree(crossing, nodes, retained, agreeing, link), "near-pairs")
     more = written(_verified(crossing, nodes, texts, words, link), "near-links") if not crossing.isEmpty() else None
     if more is not None and not more.isEmpty():

@@ -57,6 +57,18 @@ def test_near_duplicates_of_a_large_group_and_a_common_passage(spark):
     assert rows_of(got, "doc_id", "n_shingles", "component_id", "kept") == brute.near(rows)
 
 
+def test_bounds_follow_the_link(spark):
+    assert (near_dups.least_agreeing(85), near_dups.most_unlike(85)) == (34, 20)
+    rng = random.Random(16)
+    rows = []
+    for i in range(150):
+        words = brute.sentence(rng, 154).split(" ")
+        # 100 of 200 shingles in common.
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:104] + brute.sentence(rng, 50).split(" ")))]
+    near = near_dups.near_duplicates(brute.documents(spark, rows), link=50)
+    assert {r.doc_id for r in near.filter("not kept").collect()} == {2 * i + 1 for i in range(150)}
+
+
 def test_keep_one_of_each_keeps_columns(spark):
     rows = brute.awkward(random.Random(3))
     docs = brute.documents(spark, rows)
