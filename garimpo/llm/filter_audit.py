@@ -143,7 +143,8 @@ def filter_audit(
     See ``failure_counts`` for nulls and repeated rows. An empty text has no words: it fails A alone, and E
     if an earlier one exists. Other columns are ignored, whatever their names; an empty table gives no rows.
     """
-    return order_steps(failure_counts(docs, labels, id_col, text_col, part_col), FILTERS)
+    masks = failure_counts(docs, labels, id_col, text_col, part_col)
+    return order_steps(written(masks, "filter-masks"), FILTERS)
 
 
 SQL = r"""
