@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 
 from garimpo.llm import (
-    decontaminate, exact_dedup, filter_audit, fixity, fuzzy_lines, mixing, near_dups, passages, quality, token_counts, token_files, whitening)
+    decontaminate, exact_dedup, filter_audit, fixity, fuzzy_lines, mixing, multi_index, near_dups, passages, quality,
+    token_counts, token_files, whitening)
 
 DIGEST = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
@@ -55,6 +56,10 @@ def op6_quality(spark, folder):
     return quality.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_nearest(spark, folder):
+    return multi_index.nearest(_table(spark, folder, "embeddings"))
+
+
 def op12_whitening(spark, folder):
     return whitening.whitened(_table(spark, folder, "embeddings"))
 
@@ -65,7 +70,7 @@ def op13_filter_audit(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_decontaminate, op3_token_files, op4_passages, op5_token_counts, op6_quality,
-    op7_warc_fixity, op8_fuzzy_lines, op9_exact_dedup, op10_mix_sources, op12_whitening,
+    op7_warc_fixity, op8_fuzzy_lines, op9_exact_dedup, op10_mix_sources, op11_nearest, op12_whitening,
     op13_filter_audit)}
 ORACLE_SQL = {"op2_decontaminate": decontaminate.SQL, "op9_exact_dedup": exact_dedup.SQL,
               "op13_filter_audit": filter_audit.SQL}

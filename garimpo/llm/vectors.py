@@ -29,12 +29,5 @@ def matrix(column: pa.Array, kind=np.float64) -> np.ndarray:
     return flat.reshape(len(column), -1 if len(column) else 0).astype(kind, copy=False)
 
 
-def lists(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
-    """Rows of a matrix as an Arrow column of lists."""
-    n, d = values.shape
-    return pa.ListArray.from_arrays(np.arange(0, n * d + 1, d, dtype=np.int32) if d else np.zeros(n + 1, np.int32),
-                                    pa.array(values.ravel(), kind))
-
-
 def nonzero(vector: Column) -> Column:
     return F.exists(vector, lambda x: x != 0)
