@@ -50,6 +50,14 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all strings of an Arrow column and the offsets of each string; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from garimpo.llm import words as W
-from garimpo.llm.common import ship, slices, texts_of, utf8, written
+from garimpo.llm.common import ship, slices, texts_of, unused, utf8, written
 from garimpo.llm.components import connected
 
 #: Words of a shingle.
@@ -22,6 +22,8 @@ LINK = 85
 RETAINED = 64
 #: Bins of the bit filter.
 BINS = 64
+#: Pairs across components that a list may give; members of longer ones are told apart by their differences.
+PAIRED = 256
 
 
 def least_agreeing(link: int, retained: int = RETAINED) -> int:
@@ -109,56 +111,33 @@ def _agree(pairs: DataFrame, nodes: DataFrame, retained: int, agreeing: int, lin
     return joined.filter(F.col("x") * retained >= F.col("u") * agreeing).select("a", "b")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, link: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, link: int) -> DataFrame:
     """Pairs of nodes whose whole shingle sets are linked."""
-    ids = nodes.select("node", "doc_id", "digest")
-    sides = pairs.join(ids.select(F.col("node").alias("a"), F.col("doc_id").alias("id_a"), F.col("digest").alias("da")), "a")
-    sides = sides.join(ids.select(F.col("node").alias("b"), F.col("doc_id").alias("id_b"), F.col("digest").alias("db")), "b")
-    first = texts.select(F.col("doc_id").alias("id_a"), F.col("text").alias("ta"))
-    second = texts.select(F.col("doc_id").alias("id_b"), F.col("text").alias("tb"))
-    # Rows that repeat an id bring several texts; the digest tells which one is meant.
-    both = sides.join(first, sides.id_a.eqNullSafe(first.id_a))
-    both = both.select("a", "b", sides.id_b, "da", "db", "ta")
-    both = both.join(second, both.id_b.eqNullSafe(second.id_b)).select("a", "b", "da", "db", "ta", "tb")
-
-    def run(batches):
-        for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            da, db = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            good: list[int] = []
-            left = shingle_sets(*utf8(batch.column(4)), words)
-            right = shingle_sets(*utf8(batch.column(5)), words)
-            for i, (s, t) in enumerate(zip(left, right)):
-                same = int(np.isin(t, s, assume_unique=True).sum()) if len(s) and len(t) else 0
-                if 100 * same < link * (len(s) + len(t) - same):
-                    continue
-                if (hashlib.blake2b(s.tobytes(), digest_size=16).digest() == da[i]
-                        and hashlib.blake2b(t.tobytes(), digest_size=16).digest() == db[i]):
-                    good.append(i)
-            yield pa.RecordBatch.from_pydict({
-                "a": pa.array([a[i] for i in good], pa.int64()), "b": pa.array([b[i] for i in good], pa.int64())})
-
-    return both.mapInArrow(run, "a long, b long").distinct()
+    one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("values").alias("va"))
+    two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("values").alias("vb"))
+    both = F.size(F.array_intersect("va", "vb"))
+    return pairs.join(one, "a").join(two, "b").filter(100 * both >= link * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
 def _whole_sets(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """node, n, one_bits and all shingle hashes of the given nodes (node, doc_id, digest)."""
-    wanted = nodes.select("node", F.col("doc_id").alias("id"), "digest")
-    joined = wanted.join(texts, wanted.id.eqNullSafe(texts.doc_id)).select("node", "digest", "text")
+    """node, n, bits and all shingle hashes of the given nodes, from the row that stands for each.
+
+    A row is found by id and text digest together, so rows without an id do not meet each other's texts.
+    """
+    wanted = nodes.select("node", F.col("row.doc_id").alias("id"), F.col("row.text_md5").alias("md5"))
+    keyed = texts.withColumn("key", F.unhex(F.md5("text")))
+    joined = keyed.join(wanted, wanted.id.eqNullSafe(keyed.doc_id) & (wanted.md5 == keyed.key)).select("node", "text")
 
     def run(batches):
         for batch in batches:
-            ids, digests = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            good, sets, bits = [], [], []
-            for i, s in enumerate(shingle_sets(*utf8(batch.column(2)), words)):
-                if len(s) and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == digests[i]:
-                    good.append(ids[i])
-                    sets.append(s.astype(np.int64))
-                    bits.append(one_bits(s))
+            sets, bits = [], []
+            for s in shingle_sets(*utf8(batch.column(1)), words):
+                sets.append(s.astype(np.int64))
+                bits.append(one_bits(s))
             ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
             flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
             yield pa.RecordBatch.from_pydict({
-                "node": pa.array(good, pa.int64()), "n": pa.array(np.diff(ends).astype(np.int64)),
+                "node": batch.column(0), "n": pa.array(np.diff(ends).astype(np.int64)),
                 "bits": pa.array(bits, pa.int64()),
                 "values": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))})
 
@@ -166,16 +145,25 @@ def _whole_sets(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return joined.mapInArrow(run, "node long, n long, bits long, values array<long>").dropDuplicates(["node"])
 
 
-def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, link: int,
-              unlike: int) -> DataFrame:
-    """Pairs (a, b) of different components that may still be linked, by exact prefix lists.
+def _by_rarity(listed: DataFrame, key: list[str]) -> DataFrame:
+    """``key`` and the values that it shares with others, rarest first. All but the key's last column part the lists."""
+    of = key[:-1] + ["value"]
+    frequency = listed.groupBy(*of).agg(F.count("*").alias("df")).filter("df > 1")
+    return listed.join(frequency, of).groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("values"))
+
+
+def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, texts: DataFrame, words: int,
+              link: int, unlike: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of different components that may still be linked, and the whole sets of their nodes.
 
     Nodes of lists that hold several components are listed again, now by their whole sets: a linked pair
     shares a value among the ``n - ceil(link * n) + 1`` rarest of each set, and at the first one they
     share, what is left of both sets must reach the overlap that a link needs. Both bounds are certain.
-    One bit of each bin's smallest hash sets unrelated texts apart before a pair is made.
     Texts whose rare values are their own, which is what a weak relative of a group has, drop out here.
-    Of every list, only members outside its largest component look for partners.
+
+    Members of a list outside its largest component look for partners. In a list of up to PAIRED such pairs
+    they are made, and one bit of each bin's smallest hash sets unrelated texts apart. A longer list is
+    that of a family of texts; its members go on to ``_apart``.
     """
     known = labels.withColumnRenamed("node", "id")
 
@@ -186,34 +174,85 @@ def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
     several = marked(lists).groupBy("value").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value")
     open_ = lists.join(several, "value", "left_semi").select("node").distinct()
-    sets = written(_whole_sets(nodes.join(open_, "node", "left_semi"), texts, words), "near-sets")
+    unread = nodes.join(open_, "node", "left_semi").join(sets, "node", "left_anti")
+    sets = written(
+        sets.join(open_, "node", "left_semi").unionByName(_whole_sets(unread, texts, words)), "near-sets")
     listed = sets.select("node", F.explode("values").alias("value"))
-    frequency = listed.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = listed.join(frequency, "value").groupBy("node").agg(
-        F.array_sort(F.collect_list(F.struct("df", "value"))).alias("values"))
     alone = F.col("n") - F.size("values")
     room = F.col("n") - F.ceil(F.col("n") * F.lit(link) / F.lit(100)) + 1 - alone
     prefixes = (
-        shared.join(sets.select("node", "n", "bits"), "node").withColumn("alone", alone).withColumn("room", room.cast("int"))
-        .filter("room > 0")
+        _by_rarity(listed, ["node"]).join(sets.select("node", "n", "bits"), "node")
+        .withColumn("alone", alone).withColumn("room", room.cast("int")).filter("room > 0")
         .select("node", "n", "bits", "alone", F.posexplode(F.slice("values", F.lit(1), F.col("room"))).alias("place", "v"))
         .select("node", "n", "bits", (F.col("alone") + F.col("place")).alias("place"), F.col("v.value").alias("value")))
     prefixes = written(marked(prefixes), "near-prefixes")
-    parts = prefixes.groupBy("value", "component").agg(F.count("*").alias("m"))
-    parts = parts.groupBy("value").agg(
-        F.max_by("component", F.struct("m", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-    rest = prefixes.join(parts.select("value", "main"), "value")
-    one = rest.filter("component <> main").select(
-        "value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"),
-        F.col("bits").alias("ba"), (F.col("n") - F.col("place")).alias("ra"))
-    two = rest.select(
-        "value", F.col("bits").alias("bb"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), (F.col("n") - F.col("place")).alias("rb"),
+    parts = prefixes.groupBy("value", "component").agg(F.count("*").alias("m"), F.min("node").alias("head"))
+    largest = F.max(F.struct("m", "component", "head"))
+    parts = parts.groupBy("value").agg(largest.alias("main"), F.sum("m").alias("members"), F.count("*").alias("parts"))
+    parts = parts.filter("parts > 1").select(
+        "value", F.col("main.component").alias("main"), F.col("main.head").alias("head"),
+        ((F.col("members") - F.col("main.m")) * F.col("members") <= PAIRED).alias("short"))
+    rest = prefixes.join(parts, "value")
+    rows = rest.filter("short").select(
+        "value", "node", "n", "component", "bits", (F.col("n") - F.col("place")).alias("left"),
         (F.col("component") == F.col("main")).alias("in_main"))
-    # 100 * overlap >= link * union means (100 + link) * overlap >= link * (na + nb).
-    enough = f"{100 + link} * least(ra, rb) >= {link} * (na + nb)"
-    near = f"bit_count(ba ^ bb) <= {unlike}"
-    pairs = one.join(two, "value").filter(f"ca <> cb and (in_main or a < b) and {enough} and {near}")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    one = rows.filter("not in_main").select("value", *[F.col(c).alias(c + "_a") for c in rows.columns[1:]])
+    two = rows.select("value", *[F.col(c).alias(c + "_b") for c in rows.columns[1:]])
+    # 100 * overlap >= link * union means (100 + link) * overlap >= link * (n_a + n_b).
+    enough = f"{100 + link} * least(left_a, left_b) >= {link} * (n_a + n_b)"
+    near = f"bit_count(bits_a ^ bits_b) <= {unlike}"
+    pairs = one.join(two, "value").filter(f"component_a <> component_b and (in_main_b or node_a < node_b) and {enough} and {near}")
+    pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    long = rest.filter("not short").select("head", "node", "component").distinct()
+    return pairs.unionByName(_apart(long, sets, link)).distinct(), sets
+
+
+def _apart(members: DataFrame, sets: DataFrame, link: int) -> DataFrame:
+    """Pairs (a, b) of ``members`` (head, node, component) that may be linked, by their differences from a common head.
+
+    Copies of one text agree in nearly all values, linked or not; what tells them apart is where they differ
+    from the head of their list. With D(x) the values that only one of x and the head has, D(a) and D(b)
+    differ exactly where a and b do, and a link allows at most ``c * (na + nb)`` such values, with
+    c = (100 - link) / (100 + link). So a linked pair shares at least half of
+    ``|D(a)| + |D(b)| - c * (na + nb)`` differences. Two members that the head links are in one component; hence
+    one of a pair is far, with more than ``c * (n + nh)`` differences. This leaves to a member x near the
+    head at least ``(|D(x)| + c * (nh - nx)) / 2`` shared ones, to a far one that or ``(|D(x)| - c * (nx + nh)) /
+    (1 + c)``, and one at least. Differences of each head are listed rarest first up to these bounds, and at the
+    first one that a pair shares, the rest must reach the pair's own bound. All bounds are certain. Members
+    near a head of another component are paired with it.
+    """
+    x = sets.select("node", F.col("n").alias("n"), F.col("values").alias("vx"))
+    h = sets.select(F.col("node").alias("head"), F.col("n").alias("nh"), F.col("values").alias("vh"))
+    coded = written(
+        members.filter("node <> head").join(x, "node").join(h, "head").select(
+            "head", "node", "component", "n", "nh", F.concat(F.array_except("vx", "vh"), F.array_except("vh", "vx")).alias("values"))
+        .withColumn("d", F.size("values").cast("long")), "near-differences")
+    most, all_ = 100 - link, 100 + link
+    far = F.col("d") * all_ > most * (F.col("n") + F.col("nh"))
+    half = (F.col("d") * all_ + most * (F.col("nh") - F.col("n"))) / (2.0 * all_)
+    over = (F.col("d") * all_ - most * (F.col("n") + F.col("nh"))) / 200.0
+    # A little less than the exact fraction, so that rounding cannot raise a bound.
+    shared = F.greatest(F.lit(1), F.ceil(F.when(F.col("far"), F.least(half, over)).otherwise(half) - 1e-9))
+    sized = coded.withColumn("far", far)
+    listed = coded.select("head", "node", F.explode("values").alias("value"))
+    alone = F.col("d") - F.size("values")
+    prefixes = (
+        _by_rarity(listed, ["head", "node"]).join(sized.drop("values"), ["head", "node"])
+        .withColumn("alone", alone).withColumn("room", (F.col("d") - shared + 1 - F.col("alone")).cast("int")).filter("room > 0")
+        .select("head", "node", "component", "n", "d", "far", "alone",
+                F.posexplode(F.slice("values", F.lit(1), F.col("room"))).alias("place", "v"))
+        .select("head", F.col("v.value").alias("value"), "node", "component", "n", "d", "far",
+                (F.col("d") - F.col("alone") - F.col("place")).alias("left")))
+    prefixes = written(prefixes, "near-prefixes")
+    one = prefixes.filter("far").select("head", "value", *[F.col(c).alias(c + "_a") for c in prefixes.columns[2:]])
+    two = prefixes.select("head", "value", *[F.col(c).alias(c + "_b") for c in prefixes.columns[2:]])
+    enough = f"2 * {all_} * least(left_a, left_b) >= {all_} * (d_a + d_b) - {most} * (n_a + n_b)"
+    alike = f"100 * least(n_a, n_b) >= {link} * greatest(n_a, n_b)"
+    pairs = one.join(two, ["head", "value"]).filter(
+        f"component_a <> component_b and (not far_b or node_a < node_b) and {alike} and {enough}")
+    pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    near = sized.filter("not far").select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b"))
+    return pairs.unionByName(near)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -252,13 +291,10 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, l
     texts = texts_of(docs, id_col, text_col)
     base = written(sketches(texts, words, retained), "near-sketches")
     firsts = base.filter("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("sketch").alias("sketch"))
+        F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "text_md5")).alias("row"), F.any_value("n_shingles").alias("n"), F.any_value("sketch").alias("sketch"))
     nodes = written(firsts.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
 
-    listed = nodes.select("node", F.explode("sketch").alias("value"))
-    frequency = listed.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = listed.join(frequency, "value").groupBy("node").agg(
-        F.array_sort(F.collect_list(F.struct("df", "value"))).alias("values"))
+    shared = _by_rarity(nodes.select("node", F.explode("sketch").alias("value")), ["node"])
     sizes = nodes.select("node", "n", F.size("sketch").alias("s"))
     need = F.ceil(F.col("s") * F.lit(agreeing) / F.lit(retained)).cast("int")
     room = F.col("s") - need + 1 - (F.col("s") - F.size("values"))
@@ -271,12 +307,14 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, l
     hubs = lists.groupBy("value").agg(F.min("node").alias("a"), F.count("*").alias("m")).filter("m > 1").select("value", "a")
     stars = lists.join(hubs, "value").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     tested = written(_agree(stars, nodes, retained, agreeing, link), "near-pairs")
-    links = written(_verified(tested, nodes, texts, words, link), "near-links")
+    asked = tested.select(F.col("a").alias("node")).unionByName(tested.select(F.col("b").alias("node"))).distinct()
+    sets = written(_whole_sets(nodes.join(asked, "node", "left_semi"), texts, words), "near-sets")
+    links = written(_verified(tested, sets, link), "near-links")
 
     labels = connected(links)
-    crossing = _crossing(lists, labels, nodes, texts, words, link, unlike).join(tested, ["a", "b"], "left_anti")
-    crossing = written(_agree(crossing, nodes, retained, agreeing, link), "near-pairs")
-    more = written(_verified(crossing, nodes, texts, words, link), "near-links") if not crossing.isEmpty() else None
+    crossing, sets = _crossing(lists, labels, nodes, sets, texts, words, link, unlike)
+    crossing = written(_agree(crossing.join(tested, ["a", "b"], "left_anti"), nodes, retained, agreeing, link), "near-pairs")
+    more = written(_verified(crossing, sets, link), "near-links") if not crossing.isEmpty() else None
     if more is not None and not more.isEmpty():
         # The components so far are stars already, so only the new links take rounds.
         labels = connected(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
@@ -291,22 +329,24 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, l
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _rows_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Whole rows of the chosen (doc_id, text_md5) with a column ``__md5``."""
-    chosen = chosen.select(F.col("doc_id").alias("__kept"), F.col("text_md5").alias("__text")).distinct()
-    marked = docs.withColumn("__md5", F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))
-    return marked.join(chosen, F.col(id_col).cast("long").eqNullSafe(F.col("__kept")) & (F.col("__md5") == F.col("__text")), "left_semi")
+def _rows_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, digest: str) -> DataFrame:
+    """Whole rows of the chosen (doc_id, text_md5) with a column ``digest``, a name that ``docs`` does not have."""
+    wanted = chosen.select(F.col("doc_id").alias("id"), "text_md5").distinct().alias("wanted")
+    marked = docs.withColumn(digest, F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))).alias("rows")
+    same = F.col(f"rows.`{id_col}`").cast("long").eqNullSafe(F.col("wanted.id"))
+    return marked.join(wanted, same & (F.col(f"rows.`{digest}`") == F.col("wanted.text_md5")), "left_semi")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one whole row of each id that heads a component; columns unchanged.
+    """``docs`` with one whole row of each id that heads a component; columns unchanged, whatever their names.
 
     For tables whose ids are unique and not null. Of rows that repeat an id, the text with the smallest MD5
     stays, all null ids are one, and their other texts go; ``keep_every_component`` keeps them.
     """
+    digest = unused(docs, "md5")
     kept = _labelled(docs, id_col, text_col, **options).filter("kept")
     chosen = kept.groupBy("doc_id").agg(F.min("text_md5").alias("text_md5"))
-    return _rows_of(docs, chosen, id_col, text_col).dropDuplicates([id_col]).drop("__md5")
+    return _rows_of(docs, chosen, id_col, text_col, digest).dropDuplicates([id_col]).drop(digest)
 
 
 def keep_every_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -316,9 +356,10 @@ def keep_every_component(docs: DataFrame, id_col: str = "doc_id", text_col: str
     the text with the smallest MD5. Equal rows of one id and text are one. A document without words is a
     component of its own, so all such rows stay.
     """
+    digest = unused(docs, "md5")
     members = _labelled(docs, id_col, text_col, **options).filter("node is not null")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_md5")
     chosen = members.groupBy("node").agg(F.min(first).alias("f")).select("f.doc_id", "f.text_md5")
     blank = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), " \t\n\x0b\x0c\r", "") == ""
-    worded = _rows_of(docs.filter(~blank), chosen, id_col, text_col).dropDuplicates([id_col, "__md5"]).drop("__md5")
+    worded = _rows_of(docs.filter(~blank), chosen, id_col, text_col, digest).dropDuplicates([id_col, digest]).drop(digest)
     return worded.unionByName(docs.filter(blank))

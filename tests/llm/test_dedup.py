@@ -57,6 +57,42 @@ def test_near_duplicates_of_a_large_group_and_a_common_passage(spark):
     assert rows_of(got, "doc_id", "n_shingles", "component_id", "kept") == brute.near(rows)
 
 
+def test_families_of_edited_copies_give_few_candidates(spark, monkeypatch):
+    rng, rows = random.Random(17), []
+    for size, edits, n in ((260, 6, 150), (120, 9, 64)):
+        base, vocabulary = brute.sentence(rng, n).split(" "), ["q%d" % i for i in range(40)]
+        for _ in range(size):
+            words = list(base)
+            for _ in range(rng.randint(0, edits)):
+                words[rng.randrange(n)] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(words)))
+    rng.shuffle(rows)
+    made, apart = [], near_dups._apart
+
+    def counted(members, sets, link):
+        made.append(apart(members, sets, link).distinct().count())
+        return apart(members, sets, link)
+
+    monkeypatch.setattr(near_dups, "_apart", counted)
+    monkeypatch.setattr(near_dups, "PAIRED", 8)
+    got = near_dups.near_duplicates(brute.documents(spark, rows))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id", "kept") == brute.near(rows)
+    assert 0 < made[0] < 0.1 * len(rows) ** 2 / 2
+
+
+def test_rows_without_ids_do_not_multiply(spark):
+    rng, rows = random.Random(18), []
+    for i in range(1000):
+        words = brute.sentence(rng, 60).split(" ")
+        rows.append((None if i % 2 else 7, " ".join(words)))
+        words[rng.randrange(60)] = "edited"
+        rows.append((None, " ".join(words)))
+    docs = brute.documents(spark, rows).withColumn("__md5", F.lit("mine")).withColumn("md5", F.lit(1))
+    kept = near_dups.keep_every_component(docs, link=80)
+    assert kept.columns == docs.columns
+    assert kept.count() == 1000 and kept.filter("__md5 = 'mine'").count() == 1000
+
+
 def test_bounds_follow_the_link(spark):
     assert (near_dups.least_agreeing(85), near_dups.most_unlike(85)) == (34, 20)
     rng = random.Random(16)

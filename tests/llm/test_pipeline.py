@@ -89,7 +89,7 @@ def test_run_applies_all_stages(spark, folder):
 
 def test_registered_queries_name_every_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
