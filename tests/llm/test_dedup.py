@@ -212,6 +212,30 @@ def test_fuzzy_lines_match_brute_force(spark):
     assert cut[4] == "ab" and cut[1] is None and cut[3] == "\n\n"
 
 
+def test_cutting_keeps_what_only_one_row_of_an_id_has(spark):
+    rng = random.Random(19)
+    lines = [brute.sentence(rng, 12) for _ in range(6)]
+    rows = [(1, lines[0] + "\n" + lines[1]), (5, lines[0] + "\n" + lines[2]), (5, lines[3] + "\n" + lines[4]),
+            (None, lines[5]), (None, lines[5] + "\n" + "a line of its own"), (None, None)]
+    docs = brute.documents(spark, rows).withColumn("dropped", F.lit("x")).withColumn("row", F.lit("y"))
+    cut = fuzzy_lines.drop_lines(docs)
+    assert cut.columns == docs.columns and cut.filter("dropped = 'x' and row = 'y'").count() == len(rows)
+    texts = rows_of(cut, "doc_id", "text")
+    assert (5, lines[3] + "\n" + lines[4]) in texts and (5, lines[2]) in texts
+    assert sum(t is not None and lines[5] in t for _, t in texts) == 1
+    assert sum(t is not None and "a line of its own" in t for _, t in texts) == 1
+
+    passage = brute.sentence(rng, 70)
+    own = [brute.sentence(rng, 60) for _ in range(6)]
+    rows = [(1, own[0] + " " + passage), (2, passage + " " + own[1]), (3, passage + " " + own[2]), (3, own[3]),
+            (None, own[4] + " " + passage), (None, own[5])]
+    docs = brute.documents(spark, rows).withColumn("spans", F.lit("x"))
+    cut = passages.cut_repeats(docs, passages.repeated_passages(docs))
+    assert cut.columns == docs.columns and cut.count() == len(rows)
+    texts = [t for _, t in rows_of(cut, "doc_id", "text")]
+    assert all(any(o in t for t in texts) for o in own) and sum(passage in t for t in texts) < 5
+
+
 def test_short_similar_lines_meet_in_a_band(spark):
     rng = random.Random(15)
     # 13 and 12 characters: 4 of 5 shingles, just at the link.
