@@ -114,9 +114,15 @@ def stored_records(stored: bytes):
     return data, found
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """file, offset, length, record_id and SHA-256 of every record below ``path``.
+#: What Spark adds to the names of the files of one write.
+WRITE_ID = r"(part-\d+)-[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?=[-.])"
 
+
+def read_records(spark: SparkSession, path: str, one_write: bool = False) -> DataFrame:
+    """file, offset, length, record_id and SHA-256 of every record below ``path``, folders below it included.
+
+    A file is known by its path below ``path``, whatever its name, so replicas of any origin can be compared.
+    With ``one_write`` all files come from one write of Spark, whose id in their names does not count.
     A file is read whole by one task; its size is set by the partitions that were written. All gzip
     members are read; damaged gzip data give one record for each damaged stretch, hashed as stored.
     """
@@ -136,8 +142,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     "record_id": pa.array([f[2] for f in found], pa.string()),
                     "sha256": pa.array([hashlib.sha256(view[o:o + n]).hexdigest() for o, n, _ in found], pa.string())})
 
-    files = spark.read.format("binaryFile").load(path).select(
-        F.regexp_extract("path", r"part-(\d+)", 1).alias("file"), "content")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(folder).toString().rstrip("/")
+    below = F.expr(f"substring(path, {len(root) + 2})")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
+        (F.regexp_replace(below, WRITE_ID, "$1") if one_write else below).alias("file"), "content")
     return files.mapInArrow(run, "file string, offset long, length long, record_id string, sha256 string")
 
 
@@ -215,8 +224,9 @@ def damaged(id_col: str) -> Column:
 def audited_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
     """Writes two replicas of the pages as WARC, the second with wrong bytes in some bodies, and audits them.
 
-    One row per page: page_id, file, offset, length, status. Null urls and bodies are empty, a null id is
-    an empty record id and comes back as null.
+    One row per page: page_id, file, offset, length, status. Null urls and bodies are empty; a null id is an
+    empty record id and comes back as null, as does an id that is no number. Repeated rows are records at
+    offsets of their own. An empty table gives no rows. Other columns are ignored, whatever their names.
     """
     spark = pages.sparkSession
     picked = pages.select(id_col, url_col, body_col)
@@ -224,6 +234,6 @@ def audited_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     write_warc(picked, first, id_col, url_col, body_col)
     spoiled = F.when(damaged(id_col), F.concat(F.lit("~"), F.expr(f"substring({body_col}, 2)"))).otherwise(F.col(body_col))
     write_warc(picked.withColumn(body_col, spoiled), second, id_col, url_col, body_col)
-    found = audit(read_records(spark, first), read_records(spark, second))
+    found = audit(read_records(spark, first, one_write=True), read_records(spark, second, one_write=True))
     return found.select(
         F.expr("try_cast(record_id AS long)").alias("page_id"), "file", "offset", "length", "status")
