@@ -174,13 +174,13 @@ class Mixture:
         self.extra: dict = {}
         self.flow: dict = {}
 
-    def coded(self, df: DataFrame, id_col: str, sources_col: str, size_col: str) -> DataFrame:
+    def coded(self, df: DataFrame, id_col: str, sources_col: str, size_col: str, tag_col: str | None = None) -> DataFrame:
         """Adds __pattern, __base, __cls and __hash."""
         patterns = df.sparkSession.createDataFrame(self.patterns, "__key string, __pattern int, __base int")
         return (
             df.withColumn("__key", _pattern_key(sources_col)).join(F.broadcast(patterns), "__key").drop("__key")
             .withColumn("__cls", _size_class(F.col(size_col)))
-            .withColumn("__hash", F.xxhash64(F.lit(self.seed), F.col(id_col).cast("long"))))
+            .withColumn("__hash", F.xxhash64(F.lit(self.seed), F.col(id_col).cast("long"), F.col(tag_col) if tag_col else F.lit(None))))
 
     def chosen(self, coded: DataFrame) -> DataFrame:
         """Adds ``copies`` and whether the rule takes the row's last part."""
@@ -195,9 +195,9 @@ class Mixture:
             coded.join(F.broadcast(rule), ["__pattern", "__cls"]).withColumn("__take", take)
             .withColumn("copies", F.col("__base") + F.col("__take").cast("int")))
 
-    def apply(self, df: DataFrame, id_col: str, sources_col: str, size_col: str) -> DataFrame:
+    def apply(self, df: DataFrame, id_col: str, sources_col: str, size_col: str, tag_col: str | None = None) -> DataFrame:
         """``df`` with ``copies``; no shuffle."""
-        return self.chosen(self.coded(df, id_col, sources_col, size_col)).select(*df.columns, "copies")
+        return self.chosen(self.coded(df, id_col, sources_col, size_col, tag_col)).select(*df.columns, "copies")
 
 
 def _ordered(value: Column) -> Column:
@@ -211,14 +211,14 @@ def _pattern_key(sources_col: str) -> Column:
 
 
 def fit_mixture(sized: DataFrame, quotas: dict, repeats: int = REPEATS, seed: int = SEED) -> Mixture:
-    """How often each document of ``sized`` (doc_id, sources, size) is taken to meet the quotas.
+    """How often each document of ``sized`` (doc_id, sources, size and maybe tag) is taken to meet the quotas.
 
     ``sources`` is an array of strings; null entries are a source. Documents are added up by membership
     pattern (their distinct sources); ``route`` gives each pattern its words. Whole copies go to all
     documents of the pattern; the rest goes to documents in the order of a seeded hash, in equal parts
-    over size classes (powers of two), so the selection is representative and the gap is small. Documents
-    with the same id have the same hash and are taken together. Every step is a function of ids, sizes
-    and the seed, so reruns agree. The driver holds one row per pattern, class and hash bucket.
+    over size classes (powers of two), so the selection is representative and the gap is small. ``tag`` is a
+    hash of the text: rows that share an id, or have none, differ by it, and only equal rows are taken
+    together. Every step is a function of ids, tags, sizes and the seed, so reruns agree. The driver holds one row per pattern, class and hash bucket.
     """
     out = Mixture(seed)
     found = sized.select(_pattern_key("sources").alias("key"), "size", "sources").groupBy("key").agg(
@@ -231,7 +231,7 @@ def fit_mixture(sized: DataFrame, quotas: dict, repeats: int = REPEATS, seed: in
         base = min(repeats, words // r.n) if r.n else 0
         budgets[i] = words - base * r.n
         out.patterns.append((r.key, i, base))
-    coded = out.coded(sized, "doc_id", "sources", "size")
+    coded = out.coded(sized, "doc_id", "sources", "size", "tag" if "tag" in sized.columns else None)
     rows = coded.select(
         F.col("__pattern").alias("pattern"), F.col("__cls").alias("cls"), F.col("__hash").alias("hash"), "size")
     out.points, gap = _thresholds(rows, budgets)
@@ -250,7 +250,8 @@ def fit_mixture(sized: DataFrame, quotas: dict, repeats: int = REPEATS, seed: in
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     return written(docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.array(F.col(source_col).cast("string")).alias("sources"),
-        word_count(F.col(text_col).cast("string")).alias("size")), "mix-sizes")
+        word_count(F.col(text_col).cast("string")).alias("size"),
+        F.xxhash64(F.col(text_col).cast("string")).alias("tag")), "mix-sizes")
 
 
 def _source_mixture(sized: DataFrame, weights: tuple, share: float, repeats: int, seed: int):
@@ -265,7 +266,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: doc_id, size, source_size, target, taken, copies.
 
     A null text has size 0; a null source is a source of its own and ordered last. Rows that repeat an id
-    are each counted and taken together. Texts without words add nothing, whether taken or not. An empty
+    are each counted and taken; equal rows are taken together. Texts without words add nothing, whether taken or not. An empty
     table gives no rows. Other columns are ignored, whatever their names.
 
     The driver holds one row per source. Sources are corpora, not documents; their number is bounded by
@@ -275,7 +276,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes, want, mixture = _source_mixture(sized, weights, share, repeats, seed)
     facts = docs.sparkSession.createDataFrame(
         [(s, sizes[s], want[s]) for s in want], "source string, source_size long, target double")
-    taken = mixture.apply(sized, "doc_id", "sources", "size").withColumn("from", F.col("sources")[0])
+    taken = mixture.apply(sized, "doc_id", "sources", "size", "tag").withColumn("from", F.col("sources")[0])
     return taken.join(F.broadcast(facts), F.col("from").eqNullSafe(F.col("source"))).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies")
 
@@ -285,10 +286,10 @@ def repeat_to_weights(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``docs`` with every row as often as the mixture takes it (never, once, ...); columns unchanged."""
     names = docs.columns
     _, _, mixture = _source_mixture(_sized(docs, id_col, text_col, source_col), weights, share, repeats, seed)
-    rows = docs.withColumns({
-        "__sources": F.array(F.col(source_col).cast("string")), "__size": word_count(F.col(text_col).cast("string"))})
-    # The input may have a column of that name.
-    rows = rows.select([F.col(n).alias(f"__in_{i}") for i, n in enumerate(names)] + ["__sources", "__size"])
-    taken = mixture.apply(rows, f"__in_{names.index(id_col)}", "__sources", "__size").filter("copies > 0")
+    # The input's names are put aside before columns are added.
+    rows = docs.select([F.col(f"`{n}`").alias(f"__in_{i}") for i, n in enumerate(names)])
+    text, source = (F.col(f"__in_{names.index(c)}").cast("string") for c in (text_col, source_col))
+    rows = rows.withColumns({"__sources": F.array(source), "__size": word_count(text), "__tag": F.xxhash64(text)})
+    taken = mixture.apply(rows, f"__in_{names.index(id_col)}", "__sources", "__size", "__tag").filter("copies > 0")
     taken = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return taken.select([F.col(f"__in_{i}").alias(n) for i, n in enumerate(names)])

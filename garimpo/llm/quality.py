@@ -253,8 +253,9 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """``docs`` without the rows that score below the threshold; columns unchanged, nothing shuffled by text."""
     vectors = word_vectors(docs, text_col)
     marks = _sampled_marks(labels, label_col, fit_rows, seed)
-    known = marks.select(F.col("doc_id").alias("__labelled"))
-    marked = docs.join(F.broadcast(known), F.col(id_col).cast("long") == F.col("__labelled"), "left_semi")
+    known = marks.select(F.col("doc_id").alias("labelled")).alias("known")
+    rows = docs.alias("rows")
+    marked = rows.join(F.broadcast(known), F.col(f"rows.`{id_col}`").cast("long") == F.col("known.labelled"), "left_semi")
     network = _fit(_features(marked, id_col, text_col, vectors), marks, fit_rows, seed)
     names, schema = docs.columns, docs.schema
     at = names.index(text_col)

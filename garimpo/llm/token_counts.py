@@ -129,7 +129,13 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     that repeat an id are counted each; an empty table gives no rows. Texts are read whole. Other columns
     are ignored, whatever their names. One narrow pass, no shuffle.
     """
-    ship(docs.sparkSession)
+    return _counted(texts_of(docs, id_col, text_col), vocabulary, "doc_id long")
+
+
+def _counted(texts: DataFrame, vocabulary: str, first: str) -> DataFrame:
+    """The first column of ``texts``, named and typed as ``first`` says, and the words and tokens of the second."""
+    ship(texts.sparkSession)
+    name = first.split()[0]
 
     def run(batches):
         counter = _COUNTERS.get(vocabulary)
@@ -144,13 +150,13 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
                 words.append(w)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.concatenate(words)), pa.array(np.concatenate(tokens))],
-                names=["doc_id", "n_words", "n_tokens"])
+                names=[name, "n_words", "n_tokens"])
 
-    return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_words long, n_tokens long")
+    return texts.mapInArrow(run, f"{first}, n_words long, n_tokens long")
 
 
-def source_totals(docs: DataFrame, counts: DataFrame, source_col: str = "source") -> DataFrame:
-    """Documents, words and tokens per source; null is a source of its own."""
-    sources = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(source_col).alias("source"))
-    return counts.join(sources, counts.doc_id.eqNullSafe(sources.doc_id)).groupBy("source").agg(
+def source_totals(docs: DataFrame, vocabulary: str, text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Documents, words and tokens per source; null is a source of its own. Every row counts, whatever its id."""
+    texts = docs.select(F.col(source_col).cast("string").alias("source"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    return _counted(texts, vocabulary, "source string").groupBy("source").agg(
         F.count("*").alias("n_docs"), F.sum("n_words").alias("n_words"), F.sum("n_tokens").alias("n_tokens"))

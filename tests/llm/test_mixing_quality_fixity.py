@@ -242,7 +242,72 @@ def test_all_gzip_members_and_trailing_bytes_are_read(spark, tmp_path):
     def lost(stored):
         return None, hashlib.sha256(stored).hexdigest()
 
-    assert got["0"] == got["4"] == digest
-    assert got["1"] == [*digest[:2], lost(broken), *digest[3:]]
-    assert got["2"] == [*digest, lost(b"rubbish")]
-    assert got["3"] == [digest[0], lost(members[1][:-9])]
+    assert got["part-0.gz"] == got["part-4.gz"] == digest
+    assert got["part-1.gz"] == [*digest[:2], lost(broken), *digest[3:]]
+    assert got["part-2.gz"] == [*digest, lost(b"rubbish")]
+    assert got["part-3.gz"] == [digest[0], lost(members[1][:-9])]
+
+
+def test_files_of_any_name_and_write_are_told_apart(spark, tmp_path):
+    import gzip
+
+    def records(first, spoiled=None):
+        return b"".join(gzip.compress(b"WARC/1.0\r\nWARC-Record-ID: %d\r\nContent-Length: 2\r\n\r\n%02d\r\n\r\n" % (
+            i, 99 if i == spoiled else i)) for i in range(first, first + 3))
+
+    write = "part-00000-0a1b2c3d-0000-1111-2222-0123456789ab-c000.warc.gz"
+    names = ["crawl one.warc.gz", "2024/x.warc.gz", "2025/x.warc.gz", write, write.replace("0a1b", "ffff")]
+    for side, spoiled in (("left", None), ("right", 7)):
+        for k, name in enumerate(names):
+            path = tmp_path / side / name
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_bytes(records(3 * k, spoiled))
+    left, right = (fixity.read_records(spark, f"file:{tmp_path}/{side}") for side in ("left", "right"))
+    assert {r.file for r in left.collect()} >= {"2024/x.warc.gz", "2025/x.warc.gz", write}
+    found = fixity.audit(left, right).collect()
+    assert len(found) == 15 and [r.record_id for r in found if r.status != "intact"] == ["7"]
+
+
+def test_audit_of_empty_repeated_and_clashing_pages(spark):
+    pages = spark.createDataFrame(_pages(30) + _pages(30), PAGES)
+    for name in ("file", "offset", "content", "path", "status", "record_id", "sha256", "node"):
+        pages = pages.withColumn(name, F.lit("x"))
+    assert fixity.audited_pages(pages).count() == pages.count()
+    assert fixity.audited_pages(pages.limit(0)).count() == 0
+
+
+def test_a_leaf_and_its_parents_hash_what_they_hold(spark):
+    import hashlib
+
+    rows = [("f", o, 10, str(o), hashlib.sha256(b"%d" % o).hexdigest()) for o in range(0, 200, 10)]
+    table = spark.createDataFrame(rows, "file string, offset long, length long, record_id string, sha256 string")
+    levels = fixity.merkle_levels(table, 2, leaf_bytes=40, fan_out=2)
+
+    def sha(lines):
+        return hashlib.sha256("\n".join(lines).encode()).hexdigest()
+
+    want = {o // 40: sha([f"{r[1]}:{r[2]}:{r[4]}" for r in rows if r[1] // 40 == o // 40]) for o in range(0, 200, 10)}
+    for level in levels:
+        assert {r.node: r.hash for r in level.collect()} == want
+        want = {n // 2: sha([f"{c}:{want[c]}" for c in sorted(want) if c // 2 == n // 2]) for n in want}
+
+
+def test_rows_without_ids_are_mixed_one_by_one(spark):
+    rng = random.Random(9)
+    rows = [(None, brute.sentence(rng, 50), "ab"[i % 2]) for i in range(400)] + [(5, brute.sentence(rng, 50), "b") for _ in range(200)]
+    got = mixing.mixed_documents(brute.documents(spark, rows)).collect()
+    want = mixing.targets({"a": 10_000, "b": 20_000})
+    for source, size in (("a", 10_000), ("b", 20_000)):
+        taken = sum(r.taken for r in got if r.source_size == size)
+        assert abs(taken - want[source]) <= 0.02 * want[source]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    rows = [(i, brute.sentence(random.Random(i), 30), "ab"[i % 2]) for i in range(60)]
+    docs = brute.documents(spark, rows)
+    for name in ("__size", "__tag", "__sources", "__hash", "__pattern", "__copy", "__labelled", "labelled", "copies"):
+        docs = docs.withColumn(name, F.col("doc_id") if name == "copies" else F.lit(name))
+    marks = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    for out in (mixing.repeat_to_weights(docs), quality.drop_rejected(docs, marks)):
+        assert out.columns == docs.columns
+        assert {(r["__size"], r["__labelled"], r["copies"] == r["doc_id"]) for r in out.collect()} == {("__size", "__labelled", True)}

@@ -117,6 +117,6 @@ def test_token_counts_and_totals(spark):
     got = sorted(((r.doc_id, r.n_tokens) for r in token_counts.token_counts(docs, PIECES).collect()), key=repr)
     want = sorted(((i, len(UNIGRAM.encode(t or "", add_special_tokens=False).ids)) for i, t in rows), key=repr)
     assert got == want
-    two = brute.documents(spark, [(1, "a b", "x"), (2, None, None), (None, "c", "x")])
-    totals = token_counts.source_totals(two, token_counts.token_counts(two, PIECES))
-    assert sorted(((r.source, r.n_docs, r.n_words) for r in totals.collect()), key=repr) == [("x", 2, 3), (None, 1, 0)]
+    two = brute.documents(spark, [(1, "a b", "x"), (2, None, None), (None, "c", "x"), (1, "d", "y"), (1, "d", "y"), (None, "e f", "x")])
+    totals = token_counts.source_totals(two, PIECES)
+    assert sorted(((r.source, r.n_docs, r.n_words) for r in totals.collect()), key=repr) == [("x", 3, 5), ("y", 2, 2), (None, 1, 0)]
