@@ -1,8 +1,9 @@
 """Compaction and clean-up of day partitions.
 
-Compaction writes the merged rows as a new run of the day and only then removes the runs it
-read. A crash in between leaves rows twice, which readers drop by id and the next compaction
-merges; no step can lose a row.
+Compaction writes the merged rows as a new run of the day. In a lake with a commit log it then publishes the
+new run in place of those it read, so readers see every row once at any moment. In a plain folder it removes
+the runs it read; a crash in between leaves rows twice, which readers drop by id and the next compaction
+merges. No step can lose a row.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from garimpo.operators.commits import NO_VALUE, CommitLog, folder_value
 from garimpo.operators.dedupe import FILE_ORDER, keep_first, with_file_order
 from garimpo.operators.sinks import RUN
 from garimpo.session import fresh_path, path_exists, remove_path
@@ -21,8 +23,6 @@ from garimpo.sources.lake import DAY_PARTS, day_folder, inventory, partition_dat
 
 TARGET_FILE_BYTES = 128 << 20
 COMPACTED = "compact-"
-# How Spark names the folder of a null partition value.
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _delete(spark: SparkSession, folders: Sequence[str]) -> int:
@@ -77,15 +77,23 @@ def compaction_stats(table: DataFrame, id_col: str | None, target_bytes: int = T
 
 def compact(
     spark: SparkSession, path: str, id_col: str | None, start: date | None = None, end: date | None = None,
-    dry_run: bool = False, target_bytes: int = TARGET_FILE_BYTES,
+    dry_run: bool = False, target_bytes: int = TARGET_FILE_BYTES, commits: CommitLog | None = None,
 ) -> DataFrame:
     """Merge the files of each day that needs it, first occurrence of an id kept; return stats.
 
     A day becomes ``ceil(bytes / target)`` files written by as many tasks, so a small day ends in
     one file and a huge one is never squeezed through a single task. Without an id column identical
     rows collapse. Rows without a day are compacted in their own partition when no range is given.
+
+    With the lake's commit log only published runs are read and replaced, as one entry; if another writer
+    replaced them meanwhile, ``Conflict`` is raised and nothing changes.
     """
-    table = _days(read_table(spark, path), start, end)
+    path = path.rstrip("/")
+    name = None if commits is None else path.removeprefix(commits.base).strip("/")
+    found = read_table(spark, path) if commits is None else commits.read(name)
+    if found is None:
+        found = read_table(spark, path).where(F.lit(False))
+    table = _days(found, start, end)
     kept = fresh_path(spark, "compaction")
     compaction_stats(table, id_col, target_bytes).write.parquet(kept)
     with text_partitions(spark):
@@ -110,9 +118,12 @@ def compact(
     run = COMPACTED + uuid.uuid4().hex
     writer = placed.withColumn(RUN, F.lit(run)).write.mode("append").option("compression", "snappy")
     writer.partitionBy(*DAY_PARTS, RUN).parquet(path)
-    _delete(spark, [
-        "/".join([path, *(f"{c}={NO_VALUE if r[c] is None else r[c]}" for c in (*DAY_PARTS, RUN))]) for r in old_runs
-    ])
+    days = ["/".join(f"{c}={NO_VALUE if r[c] is None else r[c]}" for c in DAY_PARTS) for r in old_runs]
+    old = [f"{day}/{RUN}={folder_value(r[RUN])}" for day, r in zip(days, old_runs)]
+    if commits is None:
+        _delete(spark, [f"{path}/{folder}" for folder in old])
+    else:
+        commits.publish(run, {f"{name}/{day}/{RUN}={run}" for day in days}, [f"{name}/{folder}" for folder in old])
     return result
 
 

@@ -3,6 +3,9 @@
 State partitions are (source, detail_type, date, run). A run replaces its own partition when it
 is repeated and never touches another run's, so no read-modify-write takes place. ``merge_runs``
 turns the runs of a day into one partition; ``first_run`` keeps where an id came from.
+
+With a commit log, only published partitions are opened: a run that broke off leaves ids that nobody
+takes for known. Without one, whatever lies in the folders counts.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from garimpo.functions.cleaning import has_text
+from garimpo.operators.commits import CommitLog, folder_value
 from garimpo.session import remove_path
 
 STATE_SCHEMA = (
@@ -42,16 +46,51 @@ def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise
 
 
+def ids_folder(source: str, detail_type: str, date: str | None = None, run: str | None = None) -> str:
+    """Folder of the ids of a source, below the state's folder."""
+    parts = [("source", source), ("detail_type", detail_type), ("date", date), ("run", run)]
+    return "/".join(["ids", *(f"{name}={folder_value(value)}" for name, value in parts if value is not None)])
+
+
+def log_folder(source: str, detail_type: str, run: str) -> str:
+    parts = zip(RUN_LOG_PARTS, (source, detail_type, run))
+    return "/".join(["runs", *(f"{name}={folder_value(value)}" for name, value in parts)])
+
+
 class StateTable:
-    def __init__(self, spark: SparkSession, base: str):
+    """Ids and run log below ``base``; with ``commits``, a lake's log, ``base`` is a folder of that lake."""
+
+    def __init__(self, spark: SparkSession, base: str, commits: CommitLog | None = None):
         self.spark = spark
-        self.ids_path = f"{base.rstrip('/')}/ids"
-        self.log_path = f"{base.rstrip('/')}/runs"
+        self.commits = commits
+        self.base = base.rstrip("/")
+        self.name = None if commits is None else self.base.removeprefix(commits.base).strip("/")
+        self.ids_path = f"{self.base}/ids"
+        self.log_path = f"{self.base}/runs"
+
+    def _committed(self, table: str, schema: str, keep=lambda folder: True) -> DataFrame:
+        folders = [f for f in self.commits.live(f"{self.name}/{table}") if keep(f)]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        top = f"{self.base}/{table.split('/')[0]}"
+        reader = self.spark.read.schema(schema).option("basePath", top)
+        return reader.parquet(*[f"{self.commits.base}/{f}" for f in folders])
 
     def ids(self, source: str, detail_type: str = RECORDS, date: str | None = None,
-            before_run: str | None = None) -> DataFrame:
-        """Processed ids with their day. ``before_run`` hides what that run itself added."""
-        state = _read_or_empty(self.spark, self.ids_path, STATE_SCHEMA)
+            before_run: str | None = None, dates: list[str] | None = None) -> DataFrame:
+        """Processed ids with their day. ``before_run`` hides what that run itself added.
+
+        With a commit log only the folders of the wanted ``dates`` are opened; the tree is not listed.
+        """
+        if self.commits is not None:
+            days = None if dates is None else {f"/date={folder_value(d)}/" for d in dates}
+            state = self._committed(
+                ids_folder(source, detail_type, date), STATE_SCHEMA,
+                lambda folder: days is None or any(d in f"{folder}/" for d in days))
+        else:
+            state = _read_or_empty(self.spark, self.ids_path, STATE_SCHEMA)
+            if dates is not None:
+                state = state.where(F.col("date").isin(dates))
         state = state.where((F.col("source") == source) & (F.col("detail_type") == detail_type))
         if date is not None:
             state = state.where(F.col("date") == date)
@@ -60,6 +99,8 @@ class StateTable:
         return state
 
     def runs(self) -> DataFrame:
+        if self.commits is not None:
+            return self._committed("runs", RUN_LOG_SCHEMA)
         return _read_or_empty(self.spark, self.log_path, RUN_LOG_SCHEMA)
 
     def add(self, new_ids: DataFrame, source: str, run: str, detail_type: str = RECORDS,
@@ -87,8 +128,9 @@ class StateTable:
     def merge_runs(self, source: str, detail_type: str = RECORDS) -> int:
         """Turn the runs of every day into one partition, each id once with its first run; runs merged.
 
-        The merged partitions are written before the old ones go; a crash in between leaves ids
-        twice, which no reader minds. Run it while no ingestion of the same source is under way.
+        With a commit log the merged partitions take the place of the old ones at once, and ``vacuum`` removes
+        those later. Without one they are written before the old ones go; a crash in between leaves ids twice,
+        which no reader minds. Run it while no ingestion of the same source is under way.
         """
         held = self.ids(source, detail_type)
         # Partition values only: one row per day and run of the source.
@@ -97,13 +139,18 @@ class StateTable:
         old = runs.join(several, "date", "left_semi").collect()
         if not old:
             return 0
+        merged_run = MERGED + uuid.uuid4().hex
         merged = held.join(several, "date", "left_semi").groupBy("source", "detail_type", "date", "id").agg(
             F.min(F.struct("first_seen", "first_run")).alias("first"))
         rows = merged.select("id", "first.first_seen", "first.first_run", "source", "detail_type", "date",
-                             F.lit(MERGED + uuid.uuid4().hex).alias("run"))
+                             F.lit(merged_run).alias("run"))
         rows.hint("rebalance", "date").write.mode("append").partitionBy(*STATE_PARTS).parquet(self.ids_path)
-        top = f"{self.ids_path}/source={source}/detail_type={detail_type}"
-        return sum(remove_path(self.spark, f"{top}/date={r['date']}/run={r['run']}") for r in old)
+        gone = [ids_folder(source, detail_type, r["date"], r["run"]) for r in old]
+        if self.commits is None:
+            return sum(remove_path(self.spark, f"{self.base}/{folder}") for folder in gone)
+        adds = {f"{self.name}/{ids_folder(source, detail_type, r['date'], merged_run)}" for r in old}
+        self.commits.publish(merged_run, adds, [f"{self.name}/{folder}" for folder in gone])
+        return len(gone)
 
     def log(self, entries: DataFrame) -> None:
         """Write run-log rows; the required fields must be there."""

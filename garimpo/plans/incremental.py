@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from garimpo.operators import nested
+from garimpo.operators.commits import CommitLog
+from garimpo.operators.maintain import compact
 from garimpo.operators.state import StateTable, state_summary
 from garimpo.plans.registry import Tables, query
 from garimpo.session import fresh_path
-from garimpo.sources.lake import partition_date, read_table
+from garimpo.sources.lake import partition_date
 from garimpo.streaming.ingest import Ingest, ingest_batch, landing_stream, run_stream
 
 
@@ -70,7 +72,7 @@ LOCAL_DAY_SQL = "(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/Sao_Paulo')::DATE"
 @query("T1 T2 T4", f"SELECT DISTINCT {LOCAL_DAY_SQL} AS date, user_id FROM events")
 def streamed_new_records(t: Tables):
     job = _stream_events(t, files_per_batch=2)
-    return read_table(t.spark, f"{job.base}/events").select(partition_date().alias("date"), "user_id")
+    return job.read().select(partition_date().alias("date"), "user_id")
 
 
 @query("T1 I4 I5", f"""
@@ -82,7 +84,7 @@ def two_checkpoints(t: Tables):
         stream = landing_stream(t.spark, _landed_events(t, rows), t.events.schema, files_per_batch=2)
         run_stream(job, stream, fresh_path(t.spark, "checkpoint"))
     day = partition_date().alias("date")
-    data = read_table(t.spark, f"{job.base}/events").groupBy(day, "user_id").agg(F.count("*").alias("rows"))
+    data = job.read().groupBy(day, "user_id").agg(F.count("*").alias("rows"))
     job.state.merge_runs("events")
     held = job.state.ids("events").groupBy(
         F.col("date").cast("date").alias("date"), F.col("id").cast("long").alias("user_id")).agg(F.count("*").alias("states"))
@@ -101,7 +103,7 @@ def two_detail_types(t: Tables):
     for kind, rows in (("itens", t.events), ("arquivos", t.events.where("event_type <> 'click'"))):
         job = Ingest(t.spark, base, "details", "user_id", "ts", ("event_id",), detail_type=kind)
         ingest_batch(job, rows, "daily")
-        table = read_table(t.spark, f"{base}/{job.table}").groupBy(partition_date().cast("string").alias("date")).agg(
+        table = job.read().groupBy(partition_date().cast("string").alias("date")).agg(
             F.count("*").alias("ids")).withColumn("detail_type", F.lit(kind))
         lake = table if lake is None else lake.unionByName(table)
     return lake.join(job.state.runs().select("date", "detail_type", "input_rows"), ["date", "detail_type"], "full")
@@ -118,12 +120,86 @@ def undated_records(t: Tables):
     some = t.events.withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
     ingest_batch(job, some, "one")
     ingest_batch(job, some, "two")
-    stored = read_table(t.spark, f"{job.base}/events").groupBy(
+    stored = job.read().groupBy(
         F.coalesce(partition_date().cast("string"), F.lit("undated")).alias("date")).agg(F.count("*").alias("stored"))
     runs = job.state.runs().where("run = 'one'").select("date", "input_rows", "new_rows", "undated_rows")
     return runs.join(stored, "date", "full")
 
 
+class _Watched(StateTable):
+    """A state table that looks at the lake from outside before it writes: data are there, ids are not."""
+
+    seen: list = []
+
+    def add(self, *args, **options):
+        path = fresh_path(self.spark, "seen")
+        job = self.job
+        state = StateTable(job.spark, f"{job.base}/state", job.commits)
+        job.read().select(F.lit("data").alias("part"), partition_date().alias("date"), "user_id").unionByName(
+            state.ids("events").select(F.lit("state").alias("part"), F.col("date").cast("date").alias("date"),
+                                       F.col("id").cast("long").alias("user_id"))).write.parquet(path)
+        self.seen.append(path)
+        super().add(*args, **options)
+
+
+class _WatchedJob(Ingest):
+    @property
+    def state(self):
+        watched = _Watched(self.spark, f"{self.base}/state", self.commits)
+        watched.job = self
+        return watched
+
+
+@query("T1 I4", f"""
+WITH first AS (SELECT DISTINCT {LOCAL_DAY_SQL} AS date, user_id FROM events WHERE event_type = 'click'),
+  whole AS (SELECT DISTINCT {LOCAL_DAY_SQL} AS date, user_id FROM events)
+SELECT 'between writes' AS moment, part, date, user_id FROM first, (SELECT unnest(['data', 'state']) AS part)
+UNION ALL SELECT 'published', part, date, user_id FROM whole, (SELECT unnest(['data', 'state']) AS part)""")
+def whole_runs_only(t: Tables):
+    """A reader between the data and the state write of a second run sees the first run, then both."""
+    job = _event_job(t)
+    ingest_batch(job, t.events.where("event_type = 'click'"), "first")
+    watched = _WatchedJob(job.spark, job.base, job.source, job.id_col, job.at, job.order)
+    ingest_batch(watched, t.events, "second")
+    between = t.spark.read.parquet(_Watched.seen.pop()).withColumn("moment", F.lit("between writes"))
+    data = job.read().select(F.lit("data").alias("part"), partition_date().alias("date"), "user_id")
+    state = job.state.ids("events").select(
+        F.lit("state").alias("part"), F.col("date").cast("date").alias("date"), F.col("id").cast("long").alias("user_id"))
+    return between.unionByName(data.unionByName(state).withColumn("moment", F.lit("published")))
+
+
+@query("M1 T1", f"""
+WITH d AS (SELECT DISTINCT {LOCAL_DAY_SQL} AS date, user_id FROM events),
+  n AS (SELECT date, count(*) AS n FROM d GROUP BY 1)
+SELECT moment, date, n AS rows, n AS ids FROM n, (SELECT unnest(['before', 'within', 'after', 'vacuumed']) AS moment)""")
+def compaction_unseen(t: Tables):
+    """Rows and distinct ids per day before a compaction, between its write and its swap, after it, and when old runs are gone."""
+    job = _event_job(t)
+    for kind in ("click", "purchase", "view"):
+        ingest_batch(job, t.events.where(F.col("event_type") == kind), kind)
+    ingest_batch(job, t.events, "rest")
+    found = []
+
+    def look(moment: str) -> None:
+        path = fresh_path(t.spark, "seen")
+        job.read().groupBy(partition_date().alias("date")).agg(
+            F.count("*").alias("rows"), F.countDistinct("user_id").alias("ids")).withColumn("moment", F.lit(moment)).write.parquet(path)
+        found.append(path)
+
+    class Looking(CommitLog):
+        def publish(self, *args, **options):
+            look("within")
+            return super().publish(*args, **options)
+
+    look("before")
+    compact(t.spark, f"{job.base}/{job.table}", "user_id", commits=Looking(t.spark, job.base))
+    look("after")
+    job.commits.fold()
+    job.commits.vacuum(older_than_seconds=0)
+    look("vacuumed")
+    return t.spark.read.parquet(*found)
+
+
 @query("T5 T1 I4", f"""
 WITH d AS (SELECT {LOCAL_DAY_SQL} AS date, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1)
 SELECT strftime(date, '%Y-%m-%d') AS date, 'hourly' AS kind, n AS input_rows, users AS new_rows FROM d
@@ -158,6 +234,5 @@ def chunked_enrichment(t: Tables):
         detail_type="itens", transform=enrich)
     stream = landing_stream(t.spark, landing, t.spark.read.parquet(landing).schema, files_per_batch=2)
     run_stream(job, stream, fresh_path(t.spark, "checkpoint"))
-    table = read_table(t.spark, f"{job.base}/{job.table}")
-    return table.groupBy(partition_date().cast("string").alias("date")).agg(
+    return job.read().groupBy(partition_date().cast("string").alias("date")).agg(
         F.count("*").alias("records"), F.sum(nested.list_size("itens")).alias("itens"))

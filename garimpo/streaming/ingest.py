@@ -1,22 +1,25 @@
-"""Incremental ingestion as Structured Streaming: new records only, data first, state second."""
+"""Incremental ingestion as Structured Streaming: new records only, data, state and log published at once."""
 
 from __future__ import annotations
 
 import threading
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from garimpo.functions.cleaning import has_text, present
 from garimpo.functions.timeparts import to_local
+from garimpo.operators.commits import NO_VALUE, CommitLog, folder_value
 from garimpo.operators.dedupe import flag_new, keep_first
 from garimpo.operators.filters import add_metadata
-from garimpo.operators.sinks import write_bronze
-from garimpo.operators.state import RECORDS, UNDATED, StateTable
+from garimpo.operators.sinks import RUN, write_bronze
+from garimpo.operators.state import RECORDS, RUN_LOG_SCHEMA, UNDATED, StateTable, ids_folder, log_folder
 from garimpo.operators.validate import with_errors
 from garimpo.session import fresh_path, remove_path
+from garimpo.sources.lake import DAY_PARTS, read_table
 
 
 @dataclass(frozen=True)
@@ -43,28 +46,40 @@ class Ingest:
         """Records are in the source's own table, every other detail type has one next to it."""
         return self.source if self.detail_type == RECORDS else f"{self.source}-{self.detail_type}"
 
+    @cached_property
+    def commits(self) -> CommitLog:
+        return CommitLog(self.spark, self.base)
+
     @property
     def state(self) -> StateTable:
-        return StateTable(self.spark, f"{self.base}/state")
+        return StateTable(self.spark, f"{self.base}/state", self.commits)
+
+    def read(self, schema=None) -> DataFrame:
+        """The table as published: whole runs only, whatever else its folders hold."""
+        found = self.commits.read(self.table, schema)
+        return read_table(self.spark, f"{self.base}/{self.table}", schema).where(F.lit(False)) if found is None else found
 
 
 def ingest_batch(job: Ingest, batch: DataFrame, run: str) -> None:
-    """Filter, validate, stamp, write data, then write state and the run log.
+    """Filter, validate, stamp, write data, state and the run log, then publish the three as one entry.
 
-    All three writes replace what an earlier attempt of the same run left, and the state filter
-    ignores the run's own ids, so repeating a failed run gives the same tables. Records without a
-    time are kept: they go to the table's default partition, and the state remembers their ids
-    under a day of its own.
+    Until then nobody opens what was written: an attempt that breaks off adds no row, no known id and no log
+    line, and its files are replaced by the next one. A run that was published is not repeated. Records
+    without a time are kept: they go to the table's default partition, and the state remembers their ids
+    under a day of its own. Only the state's folders of the batch's days are opened. The driver holds one row
+    per day of the batch.
     """
+    key = f"{job.source}/{job.detail_type}/{run}"
+    if job.commits.published(key):
+        return
     day = F.coalesce(F.date_format(to_local(F.col(job.at)), "yyyy-MM-dd"), F.lit(UNDATED))
     rows = batch.withColumn("__day", day)
     ided = rows.where(present(rows, F.col(job.id_col)))
     if job.dedupe:
         ided = keep_first(ided, ["__day", job.id_col], list(job.order))
     checked = with_errors(ided, job.id_col, job.date_col or "__none")
-    known = job.state.ids(job.source, job.detail_type, before_run=run)
-    # Only the days of the batch: the join prunes the state's partitions.
-    known = known.join(rows.select(F.col("__day").alias("date")).distinct(), "date", "left_semi")
+    days = [r[0] for r in rows.select("__day").distinct().collect()]
+    known = job.state.ids(job.source, job.detail_type, dates=days)
     keys = [F.col("__day"), F.col(job.id_col).cast("string")]
     flagged = flag_new(checked, keys, known.select("date", "id"), "__new")
     # What the writes share is written once to the shared folder, where a lost executor cannot take it.
@@ -81,11 +96,28 @@ def ingest_batch(job: Ingest, batch: DataFrame, run: str) -> None:
             F.col(job.id_col).cast("string").alias("id"), F.col("__day").alias("date")
         )
         job.state.add(new_ids, job.source, run, job.detail_type, known_new=True)
-        job.state.log(_run_log(job, rows, flagged, run))
+        logged = _run_log(job, rows, flagged, run).collect()
+        if not logged:
+            return
+        fields = [f for f in RUN_LOG_SCHEMA.split(", ") if f.split(" ")[0] in logged[0]]
+        entries = [tuple(r[f.split(" ")[0]] for f in fields) for r in logged]
+        job.state.log(job.spark.createDataFrame(entries, ", ".join(fields)).coalesce(1))
+        job.commits.publish(key, _written(job, run, [r["date"] for r in logged if r["new_rows"]]))
     finally:
         remove_path(job.spark, staged)
 
 
+def _written(job: Ingest, run: str, days: list[str]) -> list[str]:
+    """Folders that a run wrote, relative to the lake. A transformation may have left a day without rows."""
+    data = []
+    for day in days:
+        parts = [NO_VALUE] * 3 if day == UNDATED else day.split("-")
+        placed = [*zip(DAY_PARTS, parts), (RUN, folder_value(run))]
+        data.append("/".join([job.table, *(f"{name}={value}" for name, value in placed)]))
+    state = [f"state/{ids_folder(job.source, job.detail_type, day, run)}" for day in days]
+    return [*job.commits.existing(data), *state, f"state/{log_folder(job.source, job.detail_type, run)}"]
+
+
 def _run_log(job: Ingest, rows: DataFrame, flagged: DataFrame, run: str) -> DataFrame:
     """One log row per day of the batch."""
     counted = rows.groupBy(F.col("__day").alias("date")).agg(
