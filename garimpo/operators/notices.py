@@ -53,21 +53,15 @@ def search(df: DataFrame, ident: str, text: str, terms: Sequence[str], k: int) -
 def tf_idf(df: DataFrame, ident: str, text: str, top: int | None = None) -> DataFrame:
     """Weight tf * ln((N + 1) / (df + 1)) of each term of each text, tf being its count there.
 
-    Terms are counted inside the row: the sorted terms of a text are cut where they change, so no
-    text is shuffled by its id. The counts are written once, since the document frequencies and the
-    weights both need them; the texts themselves are read and taken apart once. A common word moves
-    one row per text, and the join by word may be split where a word is hot.
+    Words are counted per task before anything is shuffled, so a text moves its distinct terms. The counts are
+    written once, since the document frequencies and the weights both need them; the texts are read and
+    taken apart once. A common word moves one row per text, and the join by word may be split where a word
+    is hot.
     """
     spark = df.sparkSession
-    listed = df.select(ident, F.array_sort(tokens(F.col(text))).alias("w")).where(F.size("w") > 0)
-    # Places where a run of equal terms begins, and the end of the list.
-    begins = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: (i == 0) | (F.get("w", i) != F.get("w", i - 1)))
-    cut = listed.withColumn("b", F.concat(begins, F.array(F.size("w"))))
-    runs = F.transform(
-        F.sequence(F.lit(0), F.size("b") - 2),
-        lambda j: F.struct(F.get("w", F.get("b", j)).alias("term"), (F.get("b", j + 1) - F.get("b", j)).cast("long").alias("tf")))
+    words = df.select(ident, F.explode(tokens(F.col(text))).alias("term"))
     path = fresh_path(spark, "terms")
-    cut.select(ident, F.explode(runs).alias("r")).select(ident, "r.term", "r.tf").write.parquet(path)
+    words.groupBy(ident, "term").agg(F.count("*").alias("tf")).write.parquet(path)
     tf = spark.read.parquet(path)
     spread = tf.groupBy("term").agg(F.count("*").alias("df"))
     texts = df.agg(F.count("*")).scalar()

@@ -275,3 +275,54 @@ def test_numbers_are_no_dates(spark):
     assert got == {"a": 1, "b": 0, "c": 0}
     texts = spark.createDataFrame([("a", "20241022")], "id string, d string")
     assert with_errors(texts, "id", "d").first().errors == []
+
+
+def _dump(rng, records, end="\n"):
+    def field():
+        kind = rng.randrange(6)
+        text = "".join(rng.choice("abç \\;'") for _ in range(rng.randrange(8)))
+        if kind == 0:
+            return '"' + text + rng.choice(["\n", end, "\n\n", '""', '""\n""', "\n;"]) + '"'
+        return '"' + text + '"' if kind < 4 else text.replace(";", "").strip() or "x"
+
+    return end.join(";".join(["%d" % n] + [field() for _ in range(3)]) for n in range(records)) + end
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_dumps_are_cut_anywhere(spark, tmp_path, end):
+    import csv
+    import random
+
+    rng = random.Random(31)
+    (tmp_path / "dump").mkdir()
+    for n in range(3):
+        (tmp_path / "dump" / f"part{n}.csv").write_bytes(_dump(rng, 60, end).encode("latin-1"))
+    (tmp_path / "dump" / "empty.csv").write_bytes(b"")
+    long = "0;\"" + "\n".join("line %d" % n for n in range(200)) + "\";\"b\";c" + end
+    (tmp_path / "dump" / "long.csv").write_bytes((long + _dump(rng, 5, end)).encode("latin-1"))
+    path = str(tmp_path / "dump")
+    want = []
+    for file in sorted((tmp_path / "dump").iterdir()):
+        with open(file, encoding="latin-1", newline="") as opened:
+            want += [tuple(None if v in ("", "NULL") else v for v in r) for r in csv.reader(opened, delimiter=";") if r]
+    want.sort(key=repr)
+    if end == "\n":
+        whole = spark.read.csv(path, sep=";", encoding="ISO-8859-1", quote='"', escape='"', multiLine=True)
+        assert sorted((tuple(None if v in (None, "", "NULL") else v for v in r) for r in whole.collect()), key=repr) == want
+    settings = {"spark.sql.files.maxPartitionBytes": "97", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        got = registry_files.read_registry(spark, path, "empresas")
+        assert sorted(map(tuple, got.collect()), key=repr) == want
+        blocks = registry_files._lines(spark, path).select("file", "block").distinct().count()
+        assert blocks > 40
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_an_empty_dump_has_no_records(spark, tmp_path):
+    (tmp_path / "none.csv").write_bytes(b"\n\n")
+    assert registry_files.read_registry(spark, str(tmp_path / "none.csv"), "cnaes").count() == 0
