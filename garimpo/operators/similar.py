@@ -9,6 +9,12 @@ from garimpo.functions.vectors import cosine_similarity
 
 # Probe vectors that are compared with a record at once.
 PROBE_BLOCK = 256
+# All probes together are sent to every executor up to this size.
+BROADCAST_BYTES = 64 << 20
+# Probes whose distances rule out pairs; a sample of about SAMPLE records, at most one in SAMPLED, bounds them first.
+PIVOTS = 8
+SAMPLE = 2000
+SAMPLED = 4
 
 
 def similar_to(base: DataFrame, ident: str, vector: str, probe: Column, k: int = 10) -> DataFrame:
@@ -24,25 +30,80 @@ def similar_to_id(base: DataFrame, ident: str, vector: str, wanted, k: int = 10)
     return similar_to(base.where(F.col(ident) != F.lit(wanted)), ident, vector, probe, k)
 
 
+def _distance(similarity: Column) -> Column:
+    """Distance of unit vectors from their cosine; unlike the cosine it obeys the triangle inequality."""
+    return F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * similarity))
+
+
+def _pivot_distances(vector: Column, pivots: list) -> Column:
+    return F.array(*[_distance(cosine_similarity(vector, F.lit(p))) for p in pivots]).cast("array<double>")
+
+
+def _best(scored: DataFrame, ident: str, k: int) -> DataFrame:
+    order = Window.partitionBy("probe").orderBy(F.desc("similarity"), ident)
+    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _scored(base: DataFrame, ident: str, vector: str, held: DataFrame, blocks: int, small: bool) -> DataFrame:
+    """(probe, ident, similarity) of the pairs that the pivots do not rule out. ``held`` has __block and __probes."""
+    if small:
+        held = F.broadcast(held)
+    met = base.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    met = met.join(held, "__block")
+
+    def may_be_near(p):
+        apart = F.zip_with("__d", p["d"], lambda a, b: F.nanvl(F.abs(a - b), F.lit(0.0)))
+        return ~F.coalesce(F.exists(apart, lambda x: x > p["bound"]), F.lit(False))
+
+    pairs = F.transform(F.filter("__probes", may_be_near), lambda p: F.struct(
+        p["id"].alias("probe"), cosine_similarity(F.col(vector), p["v"]).alias("similarity")))
+    scored = met.select(ident, F.explode(pairs).alias("s")).select("s.probe", ident, "s.similarity")
+    return scored.where((F.col("probe") != F.col(ident)) & F.col("similarity").isNotNull())
+
+
 def similar_batch(
-    base: DataFrame, ident: str, vector: str, probes: DataFrame, k: int = 10, block: int = PROBE_BLOCK
+    base: DataFrame, ident: str, vector: str, probes: DataFrame, k: int = 10, block: int = PROBE_BLOCK,
+    pivots: int = PIVOTS, sample: int = SAMPLE,
 ) -> DataFrame:
-    """The k nearest records of each probe (same columns as the base), the probe itself left out.
+    """The k nearest records of each probe (same columns as the base), the probe itself left out. Exact.
 
-    Any number of probes: they are dealt into blocks by their id's hash, each block one row that
-    holds about ``block`` vectors, and every record meets every block once. A group limit keeps k
-    rows per probe and task before anything is shuffled. The work is records times probes.
+    Any number of probes: they are dealt into blocks by their id's hash, each block one row that holds about
+    ``block`` vectors, and every record meets every block once. Blocks below BROADCAST_BYTES in all are
+    sent to the records, which then stay where they are; more of them are joined by their number. A group
+    limit keeps k rows per probe and task before anything is shuffled.
+
+    A probe's k-th distance within a sample of the base bounds its true one. A record whose distance to some
+    pivot differs from the probe's by more than that cannot be nearer (triangle inequality), so its score
+    is not computed. Records and probes know their distances to ``pivots`` probes. Where vectors have no
+    structure nothing is ruled out and the work is records times probes.
     """
-    blocks = max(1, -(-probes.count() // block))
-    held = probes.select(F.pmod(F.xxhash64(ident), F.lit(blocks)).alias("__block"), F.struct(
-        F.col(ident).alias("id"), F.col(vector).alias("v")).alias("p"))
-    held = held.groupBy("__block").agg(F.collect_list("p").alias("__probes"))
-    met = base.select(ident, vector, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("__block"))
-    scored = met.join(held, "__block").select(
-        ident, F.explode(F.transform(
-            "__probes", lambda p: F.struct(p["id"].alias("probe"), cosine_similarity(F.col(vector), p["v"]).alias("similarity"))
-        )).alias("s"))
-    scored = scored.select("s.probe", ident, "s.similarity").where(
-        (F.col("probe") != F.col(ident)) & F.col("similarity").isNotNull())
-    best = Window.partitionBy("probe").orderBy(F.desc("similarity"), ident)
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return _best(candidates(base, ident, vector, probes, k, block, pivots, sample), ident, k)
+
+
+def candidates(
+    base: DataFrame, ident: str, vector: str, probes: DataFrame, k: int = 10, block: int = PROBE_BLOCK,
+    pivots: int = PIVOTS, sample: int = SAMPLE,
+) -> DataFrame:
+    """The scored pairs that ``similar_batch`` ranks."""
+    first = probes.where(F.col(vector).isNotNull()).orderBy(F.xxhash64(ident), ident).select(vector).limit(pivots).collect()
+    points = [r[0] for r in first]
+    total, width = probes.count(), max((len(p) for p in points), default=0)
+    blocks = max(1, -(-total // block))
+    small = total * (8 * width + 64) <= BROADCAST_BYTES
+    own = _pivot_distances(F.col(vector), points)
+    asked = probes.select(F.col(ident).alias("probe"), F.col(vector).alias("v"), own.alias("d"))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        packed = F.struct(F.col("probe").alias("id"), "v", "d", "bound")
+        return rows.groupBy(F.pmod(F.xxhash64("probe"), F.lit(blocks)).alias("__block")).agg(F.collect_list(packed).alias("__probes"))
+
+    held = base.select(ident, vector, own.alias("__d"))
+    share = max(SAMPLED, base.count() // sample)
+    few = held.where(F.pmod(F.xxhash64(F.lit(share), ident), F.lit(share)) == 0)
+    unbound = dealt(asked.withColumn("bound", F.lit(None).cast("double")))
+    reach = _best(_scored(few, ident, vector, unbound, blocks, small), ident, k).groupBy("probe").agg(
+        F.count("*").alias("n"), F.min("similarity").alias("least"))
+    # The slack is above what rounding may add to a distance.
+    bound = F.when(F.col("n") == k, _distance(F.col("least")) + 1e-6)
+    known = asked.join(reach.select("probe", bound.alias("bound")), "probe", "left")
+    return _scored(held, ident, vector, dealt(known), blocks, small)
