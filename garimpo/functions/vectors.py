@@ -17,5 +17,10 @@ def norm(v: Column) -> Column:
 
 def cosine_similarity(a: Column, b: Column) -> Column:
     """1 - cosine distance; null for a zero vector or vectors of different length."""
-    scale = norm(a) * norm(b)
+    return cosine_of(a, b, norm(a), norm(b))
+
+
+def cosine_of(a: Column, b: Column, norm_a: Column, norm_b: Column) -> Column:
+    """``cosine_similarity`` where the norms are known."""
+    scale = norm_a * norm_b
     return F.when((F.size(a) == F.size(b)) & (scale != 0), F.try_divide(_dot(a, b), scale))

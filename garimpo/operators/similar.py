@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.functions.vectors import cosine_similarity
+from garimpo.functions.vectors import cosine_of, cosine_similarity, norm
 
 # Probe vectors that are compared with a record at once.
 PROBE_BLOCK = 256
@@ -56,7 +56,7 @@ def _scored(base: DataFrame, ident: str, vector: str, held: DataFrame, blocks: i
         return ~F.coalesce(F.exists(apart, lambda x: x > p["bound"]), F.lit(False))
 
     pairs = F.transform(F.filter("__probes", may_be_near), lambda p: F.struct(
-        p["id"].alias("probe"), cosine_similarity(F.col(vector), p["v"]).alias("similarity")))
+        p["id"].alias("probe"), cosine_of(F.col(vector), p["v"], F.col("__n"), p["n"]).alias("similarity")))
     scored = met.select(ident, F.explode(pairs).alias("s")).select("s.probe", ident, "s.similarity")
     return scored.where((F.col("probe") != F.col(ident)) & F.col("similarity").isNotNull())
 
@@ -91,13 +91,13 @@ def candidates(
     blocks = max(1, -(-total // block))
     small = total * (8 * width + 64) <= BROADCAST_BYTES
     own = _pivot_distances(F.col(vector), points)
-    asked = probes.select(F.col(ident).alias("probe"), F.col(vector).alias("v"), own.alias("d"))
+    asked = probes.select(F.col(ident).alias("probe"), F.col(vector).alias("v"), norm(F.col(vector)).alias("n"), own.alias("d"))
 
     def dealt(rows: DataFrame) -> DataFrame:
-        packed = F.struct(F.col("probe").alias("id"), "v", "d", "bound")
+        packed = F.struct(F.col("probe").alias("id"), "v", "n", "d", "bound")
         return rows.groupBy(F.pmod(F.xxhash64("probe"), F.lit(blocks)).alias("__block")).agg(F.collect_list(packed).alias("__probes"))
 
-    held = base.select(ident, vector, own.alias("__d"))
+    held = base.select(ident, vector, norm(F.col(vector)).alias("__n"), own.alias("__d"))
     share = max(SAMPLED, base.count() // sample)
     few = held.where(F.pmod(F.xxhash64(F.lit(share), ident), F.lit(share)) == 0)
     unbound = dealt(asked.withColumn("bound", F.lit(None).cast("double")))
