@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 LOCAL_ZONE = "America/Sao_Paulo"
 
-# ISO-8601 forms that count as a date: extended or compact calendar date, optional time,
-# optional offset. ISO week dates are not supported.
+# ISO-8601 forms that count as a date: extended or compact calendar or week date, optional time,
+# optional offset.
 _TIME = r"(?:[01]\d|2[0-3])(?:(?::[0-5]\d(?::[0-5]\d(?:[.,]\d+)?)?)|(?:[0-5]\d(?:[0-5]\d(?:[.,]\d+)?)?))?"
 _OFFSET = r"(?:Z|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d)?)?)"
-ISO_PATTERN = rf"^(?!0000)\d{{4}}(-?)\d{{2}}\1\d{{2}}(?:[T ]{_TIME}{_OFFSET}?)?$"
+_CLOCK = rf"(?:[T ]{_TIME}{_OFFSET}?)?$"
+ISO_PATTERN = rf"^(?!0000)\d{{4}}(-?)\d{{2}}\1\d{{2}}{_CLOCK}"
+# A week without a day means its Monday.
+ISO_WEEK_PATTERN = rf"^(?!0000)\d{{4}}(-?)W(?:0[1-9]|[1-4]\d|5[0-3])(?:\1[1-7])?{_CLOCK}"
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
@@ -61,13 +64,8 @@ def utc_wall_clock(instant: Column) -> Column:
     return F.expr(EPOCH) + F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
 
 
-def iso_timestamp(text: Column) -> Column:
-    """UTC TIMESTAMP_NTZ of an ISO-8601 text, null when the text is not one.
-
-    Spark's own cast is both laxer ("2024", " 2024-1-2") and stricter ("20241022"), so a
-    pattern decides what is accepted; compact forms are spelled out for the cast, which then
-    only checks the calendar. Without an offset the text means UTC.
-    """
+def _calendar_instant(text: Column) -> Column:
+    """Instant of a text that begins with a calendar date; the cast checks the calendar."""
     dashed = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
     minutes = F.regexp_replace(dashed, r"([T ]\d{2})(\d{2})", "$1:$2")
     seconds = F.regexp_replace(minutes, r"([T ]\d{2}:\d{2})(\d{2})", "$1:$2")
@@ -78,7 +76,32 @@ def iso_timestamp(text: Column) -> Column:
         .when(full.rlike(r":\d{2}[0-9.]*[Z+-]"), full)
         .otherwise(F.concat(full, F.lit("Z")))
     )
-    return utc_wall_clock(F.when(text.rlike(ISO_PATTERN), zoned).try_cast("timestamp"))
+    return zoned.try_cast("timestamp")
+
+
+def _week_as_calendar(text: Column) -> Column:
+    """The text with its week date written as a calendar date; null when the year has no such week.
+
+    Week 1 holds January 4th, and a week belongs to the year of its Thursday.
+    """
+    year = F.substring(text, 1, 4).cast("int")
+    week = F.regexp_extract(text, r"W(\d{2})", 1).cast("int")
+    weekday = F.coalesce(F.regexp_extract(text, r"W\d{2}-?([1-7])", 1).try_cast("int"), F.lit(1))
+    fourth = F.make_date(year, F.lit(1), F.lit(4))
+    monday = F.date_add(fourth, (week - 1) * 7 - F.weekday(fourth))
+    day = F.when(F.year(F.date_add(monday, 3)) == year, F.date_add(monday, weekday - 1))
+    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.regexp_extract(text, r"([T ].*)?$", 0))
+
+
+def iso_timestamp(text: Column) -> Column:
+    """UTC TIMESTAMP_NTZ of an ISO-8601 text, null when the text is not one.
+
+    Spark's own cast is both laxer ("2024", " 2024-1-2") and stricter ("20241022", "2024-W43-2"), so
+    patterns decide what is accepted; compact forms and weeks are spelled out for the cast, which then
+    only checks the calendar. Without an offset the text means UTC.
+    """
+    instant = F.when(text.rlike(ISO_PATTERN), _calendar_instant(text))
+    return utc_wall_clock(instant.when(text.rlike(ISO_WEEK_PATTERN), _calendar_instant(_week_as_calendar(text))))
 
 
 def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:

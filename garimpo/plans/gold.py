@@ -6,9 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from garimpo.functions.text import tokens
-from garimpo.operators import gold, notices, similar
+from garimpo.operators import gold, name_links, notices, price_sketch, similar, text_index
 from garimpo.plans.registry import Tables, query
 from garimpo.plans.silver import REC_SQL, contracts
+from garimpo.session import fresh_path
 
 SPLIT_SQL = """CASE WHEN ('0x' || md5(o_orderkey::VARCHAR)[1:8])::BIGINT % 100 < 70 THEN 'train'
   WHEN ('0x' || md5(o_orderkey::VARCHAR)[1:8])::BIGINT % 100 < 85 THEN 'validation' ELSE 'test' END"""
@@ -121,15 +122,26 @@ def similar_to_record(t: Tables):
 TERMS = ("the", "license", "eau", "ing")
 
 
-@query("B18", """
+SEARCH_SQL = """
 WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM documents)
 SELECT doc_id, count(*) AS score FROM w WHERE term IN ('the', 'license', 'eau', 'ing')
-GROUP BY 1 ORDER BY score DESC, doc_id LIMIT 20""")
+GROUP BY 1 ORDER BY score DESC, doc_id LIMIT 20"""
+
+
+@query("B18", SEARCH_SQL)
 def text_search(t: Tables):
     found = notices.search(t.documents, "doc_id", "text", TERMS, 20)
     return found.select("doc_id", F.col("score").cast("long").alias("score"))
 
 
+@query("B18", SEARCH_SQL)
+def indexed_search(t: Tables):
+    path = fresh_path(t.spark, "text-index")
+    text_index.write_index(t.documents, "doc_id", "text", path)
+    found = text_index.search_index(t.spark, path, TERMS, 20)
+    return found.select(F.col("id").alias("doc_id"), F.col("score").cast("long").alias("score"))
+
+
 WORDS_SQL = """
 w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM documents),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM w WHERE term <> '' GROUP BY ALL),
@@ -280,3 +292,49 @@ len(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x
 def notice_length(t: Tables):
     return t.documents.select(
         "doc_id", F.length("text").cast("long").alias("chars"), F.size(tokens(F.col("text"))).cast("long").alias("words"))
+
+
+NAME_SQL = """
+n AS (SELECT p_partkey, concat_ws(' ', p_name, p_brand, p_type) AS name FROM part),
+g AS (SELECT name, list_distinct(flatten(list_transform(
+  list_filter(regexp_split_to_array(lower(name), '[^\\p{L}\\p{N}]+'), lambda w: w <> ''),
+  lambda w: list_transform(range(1, length(w) + 2), lambda i: ('  ' || w || ' ')[i:i + 2])))) AS g
+  FROM (SELECT DISTINCT name FROM n)),
+p AS (SELECT a.name, b.name AS other FROM g a JOIN g b ON a.name <> b.name
+  WHERE 170 * len(list_intersect(a.g, b.g)) >= 70 * (len(a.g) + len(b.g))),
+r AS (SELECT name, min(other) AS other, count(*) AS links FROM p GROUP BY 1)"""
+
+
+@query("Q4", f"""WITH {NAME_SQL}
+SELECT p_partkey, name, least(name, coalesce(other, name)) AS representative, coalesce(links, 0) AS links
+FROM n LEFT JOIN r USING (name)""")
+def represented_names(t: Tables):
+    named = t.part.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("name"))
+    return name_links.represented(named, "p_partkey", "name", 70)
+
+
+# The ranks of the sketch's quantiles stay within three times its stated error.
+RANK_ERROR = 0.02
+
+
+@query("B9 B25", f"""WITH {REC_SQL}, s AS (SELECT *, CASE WHEN d < DATE '2000-01-01' THEN 'before' ELSE 'since' END AS span FROM rec)
+SELECT cat, span, count(price) AS n, round(avg(price) + 1e-7, 4) AS mean, min(price) AS low, max(price) AS high,
+  true AS median_near, true AS p25_near, true AS p75_near, true AS p90_near, true AS p95_near FROM s GROUP BY ALL""")
+def sketched_reference(t: Tables):
+    base = contracts(t)
+    path = fresh_path(t.spark, "daily-references")
+    price_sketch.daily_references(base, ["cat"], "d", "price").write.parquet(path)
+    daily = t.spark.read.parquet(path)
+    turn, parts = F.lit("2000-01-01").cast("date"), []
+    for span, first, last, rows in (
+        ("before", None, F.date_sub(turn, 1), base.where(F.col("d") < turn)),
+        ("since", turn, None, base.where(F.col("d") >= turn)),
+    ):
+        reference = price_sketch.reference_over(daily, ["cat"], first, last)
+        wanted = gold.REFERENCE_QUANTILES
+        errors = price_sketch.rank_errors(rows, ["cat"], "price", reference, wanted)
+        near = errors.select("cat", *((F.col(c) <= RANK_ERROR).alias(f"{c}_near") for c in wanted))
+        parts.append(reference.join(near, "cat").select(
+            "cat", F.lit(span).alias("span"), "n", F.round(F.col("mean") + 1e-7, 4).alias("mean"), "low", "high",
+            *(f"{c}_near" for c in wanted)))
+    return parts[0].unionByName(parts[1])

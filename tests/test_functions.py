@@ -13,6 +13,8 @@ ISO = [
     "2024-10-22T10:00:00.123456789", "2024-10-22T10:00:00,5", "2024", "2024-1-2", "10:00", " 2024-10-22",
     "2024-02-30", "2024-02-29", "0000-01-01", "2024-10-22T25:00", "2024-10-22T10:00:00+03:00:30", "bad",
     "2024-1022", "202410-22", "2024-10-22T10:0000", "9999-12-31T23:59:59",
+    "2024-W43-2", "2024W432", "2024-W01-1", "2025-W01-1", "2020-W53-7", "2021-W53-1", "2024-W43-8", "2024-W00-1", "2024-W43",
+    "2024W43", "2024-W432", "2024W43-2", "2024-W43-2T10:00:00-03:00", "2024W432T1030", "0000-W01-1",
 ]
 
 
