@@ -57,16 +57,16 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     most = F.least(pa, pb) + F.least(na - pa, nb - pb)
     apart = F.bit_count(F.col("a.bits0").bitwiseXOR(F.col("b.bits0")))
     other = F.bit_count(F.col("a.bits1").bitwiseXOR(F.col("b.bits1")))
-    met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.head") < F.col("b.head"))
-                 & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
-                 & ((100 + percent) * most >= percent * (na + nb))
-                 & ((100 + percent) * F.greatest(apart, other) <= (100 - percent) * (na + nb)))
-    both = met.select(
+    bounded = ((F.col("a.head") < F.col("b.head")) & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+               & ((100 + percent) * most >= percent * (na + nb))
+               & ((100 + percent) * F.greatest(apart, other) <= (100 - percent) * (na + nb)))
+    shared = F.array_intersect("a.grams", "b.grams")
+    alike = ((100 + percent) * F.size(shared) >= percent * (na + nb)) & (F.get(shared, F.lit(0)) == F.col("a.gram"))
+    # One expression, because the optimizer would count shared trigrams before it looks at the bounds.
+    linked = a.join(b, (F.col("a.gram") == F.col("b.gram")) & F.when(bounded, alike).otherwise(F.lit(False)))
+    return linked.select(
         F.col("a.head").alias("left"), F.col("b.head").alias("right"), F.col("a.names").alias("left_names"),
-        F.col("b.names").alias("right_names"), F.col("a.gram").alias("gram"), (na + nb).alias("sizes"),
-        F.array_intersect("a.grams", "b.grams").alias("shared"))
-    linked = both.where(((100 + percent) * F.size("shared") >= percent * F.col("sizes")) & (F.get("shared", F.lit(0)) == F.col("gram")))
-    return linked.select("left", "right", "left_names", "right_names")
+        F.col("b.names").alias("right_names"))
 
 
 def represented(df: DataFrame, ident: str, name: str, percent: int = 70) -> DataFrame:
