@@ -3,8 +3,8 @@
 Layout: one row per term and block of texts, ``(term, block, top, texts, postings)``. ``top`` is the highest count
 of the term in a text of the block, ``texts`` how many texts hold it, ``postings`` the pairs (id, count). Texts of
 similar length share a block, because counts grow with length: blocks of long texts have high maxima, blocks
-of short ones are skipped. Files are cut and sorted by term and block, so a search opens those that may hold
-its terms and, for the maxima, reads three narrow columns.
+of short ones are skipped. Files are sorted by term and block and carry a Bloom filter of their terms, so a search
+reads the row groups that may hold its terms and, for the maxima, narrow columns only.
 """
 
 from __future__ import annotations
@@ -30,23 +30,20 @@ def write_index(df: DataFrame, ident: str, text: str, path: str, block: int = BL
     """Write the index of all whole texts to ``path``. Null texts and texts without words leave nothing.
 
     Rows that share an id count as one text per length class. A class is dealt by the id's hash to as many
-    blocks as its rows ask for; the classes are at most 62, so their sizes are broadcast. Words are counted
-    per task before they are shuffled, and a word that is in every text is cut into blocks like the rest.
+    blocks as its rows ask for; the classes are at most 62, so their sizes are broadcast. Words are shuffled once,
+    by term and block, and a word that is in every text is cut into blocks like the rest.
     """
-    spark = df.sparkSession
     held = df.select(F.col(ident).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     held = held.withColumn("class", _length_class(F.col("text")))
     sizes = held.groupBy("class").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    words = held.select("id", "class", F.explode(tokens(F.col("text"))).alias("term"))
-    counted = words.groupBy("id", "class", "term").agg(F.count("*").alias("n"))
     number = F.col("class").cast("long") * F.lit(1 << 40) + F.pmod(F.xxhash64("id"), F.col("blocks"))
-    dealt = counted.join(F.broadcast(sizes), "class").select("term", number.alias("block"), "id", "n")
-    lists = dealt.groupBy("term", "block").agg(
+    dealt = held.join(F.broadcast(sizes), "class").select(number.alias("block"), "id", F.explode(tokens(F.col("text"))).alias("term"))
+    # Both aggregates are clustered by what the words were dealt by.
+    counted = dealt.repartition("term", "block").groupBy("term", "block", "id").agg(F.count("*").alias("n"))
+    lists = counted.groupBy("term", "block").agg(
         F.max("n").alias("top"), F.count("*").alias("texts"), F.collect_list(F.struct("id", "n")).alias("postings"))
-    ordered = lists.repartitionByRange("term", "block").sortWithinPartitions("term", "block")
-    ordered.write.mode("overwrite").parquet(path)
-
-
+    sorted_lists = lists.sortWithinPartitions("term", "block")
+    sorted_lists.write.option("parquet.bloom.filter.enabled#term", "true").mode("overwrite").parquet(path)
 
 
 def block_bounds(index: DataFrame, terms: Sequence[str]) -> DataFrame:
