@@ -2,12 +2,13 @@
 
 All of it uses ``totals_before`` with one bucket per day, so a company that owns a third of all
 records is spread over as many tasks as it has days. Rows without a key have no history: counts
-are zero and everything else is null.
+are zero and everything else is null. ``totals`` replaces the running totals over the given rows, as
+``operators/carried.py`` does to start from what earlier runs have gathered.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ def day_bucket(at: Column, within: Column | None = None) -> Column:
 
 
 def company_history(
-    df: DataFrame, company: str, start: str, ident: str, value: Column, won: Column, end: str
+    df: DataFrame, company: str, start: str, ident: str, value: Column, won: Column, end: str,
+    totals: Callable[..., DataFrame] = totals_before,
 ) -> DataFrame:
     """Earlier records of the company, their value and win rate, its age and running contracts.
 
@@ -41,7 +43,7 @@ def company_history(
     )
     both = records.unionByName(ends, allowMissingColumns=True)
     is_record = F.col("__kind") == 1
-    known = totals_before(
+    known = totals(
         both, [company], ["__at", "__kind", "__id"],
         {
             "previous_count": ("sum", F.col("__kind")),
@@ -69,10 +71,11 @@ def company_history(
 
 
 def buyer_history(
-    df: DataFrame, buyer: str, order: Sequence[str], at: str, value: Column, suspicious: Column
+    df: DataFrame, buyer: str, order: Sequence[str], at: str, value: Column, suspicious: Column,
+    totals: Callable[..., DataFrame] = totals_before,
 ) -> DataFrame:
     """Earlier records of the buyer: count, mean value and share of suspicious ones."""
-    known = totals_before(
+    known = totals(
         df, [buyer], order,
         {
             "buyer_previous_count": ("count", F.lit(1)),
@@ -92,7 +95,7 @@ def buyer_history(
 
 def target_encoding(
     df: DataFrame, category: str, order: Sequence[str], at: str, label: Column, name: str,
-    within: Column | None = None,
+    within: Column | None = None, totals: Callable[..., DataFrame] = totals_before,
 ) -> DataFrame:
     """Mean label of earlier records of the category, else of all earlier records, else null.
 
@@ -100,9 +103,9 @@ def target_encoding(
     decreasing along the order inside a day, like a range of the id) cuts a day further.
     """
     measures = {"__n": ("count", label), "__sum": ("sum", label.cast("long"))}
-    own = totals_before(df, [category], order, measures, day_bucket(F.col(at), within))
+    own = totals(df, [category], order, measures, day_bucket(F.col(at), within))
     own = own.withColumn("__own", F.try_divide(F.col("__sum"), F.col("__n"))).drop("__n", "__sum")
-    every = totals_before(
+    every = totals(
         own.withColumn("__all", F.lit(0)), ["__all"], order, measures, day_bucket(F.col(at), within))
     return every.select(*df.columns, F.coalesce("__own", F.try_divide(F.col("__sum"), F.col("__n"))).alias(name))
 
@@ -134,13 +137,14 @@ def active_at(
 
 
 def overlaps_earlier(
-    df: DataFrame, keys: Sequence[str], start: str, end: str, ident: str, name: str
+    df: DataFrame, keys: Sequence[str], start: str, end: str, ident: str, name: str,
+    totals: Callable[..., DataFrame] = totals_before,
 ) -> DataFrame:
     """Whether an earlier record of the same keys is still running when this one starts.
 
     The latest end among earlier records decides, so overlapping pairs are never formed.
     """
-    known = totals_before(
+    known = totals(
         df, keys, [start, ident], {"__until": ("max", F.to_date(end))}, day_bucket(F.col(start)))
     still = F.coalesce(F.col("__until") >= F.to_date(start), F.lit(False))
     return known.select(*df.columns, still.alias(name))

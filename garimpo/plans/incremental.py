@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
-from garimpo.operators import nested
+from garimpo.operators import history, nested
+from garimpo.operators.carried import CarriedHistory
 from garimpo.operators.commits import CommitLog
 from garimpo.operators.maintain import compact
+from garimpo.operators.running import range_bucket
 from garimpo.operators.state import StateTable, state_summary
-from garimpo.plans.registry import Tables, query
+from garimpo.plans import silver
+from garimpo.plans.registry import REGISTRY, Tables, query
 from garimpo.session import fresh_path
 from garimpo.sources.lake import partition_date
 from garimpo.streaming.ingest import Ingest, ingest_batch, landing_stream, run_stream
@@ -236,3 +241,43 @@ def chunked_enrichment(t: Tables):
     run_stream(job, stream, fresh_path(t.spark, "checkpoint"))
     return job.read().groupBy(partition_date().cast("string").alias("date")).agg(
         F.count("*").alias("records"), F.sum(nested.list_size("itens")).alias("itens"))
+
+
+def _fed(t: Tables, name: str, base, known, stretches: int = 4) -> CarriedHistory:
+    """Rows fed in stretches of days one after the other, state folded on the way."""
+    table = CarriedHistory(t.spark, fresh_path(t.spark, "lake"), name, fold_every=3)
+    span = base.agg(F.min("d").alias("low"), F.max("d").alias("high")).first()
+    days = (span["high"] - span["low"]).days + 1
+    after = span["low"] - timedelta(days=1)
+    for i in range(1, stretches + 1):
+        upto = span["low"] + timedelta(days=days * i // stretches - 1)
+        table.feed(f"to-{upto}", base.where((F.col("d") > F.lit(after)) & (F.col("d") <= F.lit(upto))), "d", known, upto)
+        after = upto
+    return table
+
+
+@query("B12 B27", REGISTRY["company_history"].sql)
+def carried_company_history(t: Tables):
+    """The company history of one run over all days, from four runs that read their own days and the state."""
+    fed = _fed(t, "company_history", silver.contracts(t), lambda batch, totals: history.company_history(
+        batch, "o_custkey", "d", "o_orderkey", F.col("v"), F.col("won"), "fim", totals))
+    return fed.read().select(
+        "o_orderkey", "previous_count", F.col("previous_value").cast("double").alias("previous_value"), "win_rate",
+        F.col("days_since_previous").cast("long").alias("days_since_previous"),
+        F.round("age_years", 6).alias("age_years"), "active_contracts")
+
+
+@query("B13", REGISTRY["buyer_history"].sql)
+def carried_buyer_history(t: Tables):
+    fed = _fed(t, "buyer_history", silver.contracts(t), lambda batch, totals: history.buyer_history(
+        batch, "c_nationkey", ["d", "o_orderkey"], "d", F.col("v"), F.col("score") > 0.8, totals))
+    return fed.read().select("o_orderkey", "buyer_previous_count", "buyer_mean_value", "buyer_suspicion_rate")
+
+
+@query("B28", REGISTRY["target_encoding"].sql)
+def carried_target_encoding(t: Tables):
+    base = silver.contracts(t).withColumn("group", F.concat_ws("|", F.col("c_nationkey").cast("string"), "cat"))
+    label, parts = (F.col("score") > 0.8).cast("int"), range_bucket(F.col("o_orderkey"), 1 << 20)
+    fed = _fed(t, "target_encoding", base, lambda batch, totals: history.target_encoding(
+        batch, "group", ["d", "o_orderkey"], "d", label, "encoded", parts, totals))
+    return fed.read().select("o_orderkey", "encoded")
