@@ -49,9 +49,17 @@ def enrich(
     A record whose key is incomplete gets empty lists and an error and counts as no call.
     ``failed`` (keys plus ``error``) names records whose lists could not be read.
     """
+    return enrich_with_lists(
+        records, keys, child_lists(items, keys, item_order, "itens"),
+        child_lists(documents, keys, document_order, "arquivos"), failed)
+
+
+def enrich_with_lists(
+    records: DataFrame, keys: Sequence[str], items: DataFrame, documents: DataFrame, failed: DataFrame | None = None
+) -> DataFrame:
+    """``enrich`` from lists: one row per key, with the column ``itens`` or ``arquivos``."""
     out = _judged(records, keys, failed)
-    out = out.join(child_lists(items, keys, item_order, "itens"), list(keys), "left")
-    out = out.join(child_lists(documents, keys, document_order, "arquivos"), list(keys), "left")
+    out = out.join(items, list(keys), "left").join(documents, list(keys), "left")
     for name in ("itens", "arquivos"):
         out = out.withColumn(name, F.when(F.col("__usable"), F.coalesce(name, F.array())).otherwise(F.array()))
     return out.withColumn("metadata", _metadata(F.size("itens"), F.size("arquivos"))).drop(*_JUDGED)

@@ -12,8 +12,10 @@ from garimpo.operators.commits import CommitLog
 from garimpo.operators.maintain import compact
 from garimpo.operators.running import range_bucket
 from garimpo.operators.state import StateTable, state_summary
-from garimpo.plans import silver
+from garimpo.operators.stored_children import StoredChildren, buckets_for, enrich_from_stored, input_bytes
+from garimpo.plans import reporting, silver
 from garimpo.plans.registry import REGISTRY, Tables, query
+from garimpo.plans.shapes import KEYS, attachments, items, records
 from garimpo.session import fresh_path
 from garimpo.sources.lake import partition_date
 from garimpo.streaming.ingest import Ingest, ingest_batch, landing_stream, run_stream
@@ -281,3 +283,20 @@ def carried_target_encoding(t: Tables):
     fed = _fed(t, "target_encoding", base, lambda batch, totals: history.target_encoding(
         batch, "group", ["d", "o_orderkey"], "d", label, "encoded", parts, totals))
     return fed.read().select("o_orderkey", "encoded")
+
+
+def _stored(t: Tables) -> tuple[StoredChildren, StoredChildren]:
+    """Items in two goes, every other line of a record in each, and attachments in one."""
+    lines, files = items(t), attachments(t)
+    buckets = buckets_for(t.spark, input_bytes(t.lineitem) + input_bytes(t.documents))
+    stored = StoredChildren(t.spark, fresh_path(t.spark, "itens"), lines.schema, KEYS, ["numeroItem", "partkey"], buckets)
+    for odd in (0, 1):
+        stored.append(lines.where(F.col("numeroItem") % 2 == odd))
+    documents = StoredChildren(t.spark, fresh_path(t.spark, "arquivos"), files.schema, KEYS, ["ordem"], buckets)
+    return stored, documents.append(files)
+
+
+@query("N1 N2 N3", REGISTRY["enriched_records"].sql)
+def stored_enrichment(t: Tables):
+    """Enrichment from children that lie in buckets of their parent's key."""
+    return reporting.told(enrich_from_stored(records(t), *_stored(t), reporting.failed_reads(t)))

@@ -55,7 +55,7 @@ def coverage_with_fallback_id(t: Tables):
     return reports.records_per_id(report)
 
 
-def _failed(t: Tables):
+def failed_reads(t: Tables):
     return t.orders.where("o_orderstatus = 'P' and o_orderpriority = '1-URGENT'").select(
         F.col("o_custkey").cast("string").alias("cnpj"), F.year("o_orderdate").alias("anoCompra"),
         F.col("o_orderkey").alias("sequencialCompra"), F.lit("unreadable page").alias("error"))
@@ -63,11 +63,11 @@ def _failed(t: Tables):
 
 def _enriched(t: Tables):
     return nested.enrich(
-        records(t), KEYS, items(t), attachments(t), ["numeroItem", "partkey"], ["ordem"], _failed(t))
+        records(t), KEYS, items(t), attachments(t), ["numeroItem", "partkey"], ["ordem"], failed_reads(t))
 
 
 def _counted(t: Tables):
-    return nested.enrichment_counts(records(t), KEYS, items(t), attachments(t), _failed(t))
+    return nested.enrichment_counts(records(t), KEYS, items(t), attachments(t), failed_reads(t))
 
 
 ENRICHED_SQL = """
@@ -87,10 +87,15 @@ e AS (SELECT o_orderkey, o_orderdate, no_key, unreadable,
 SELECT o_orderkey AS "sequencialCompra", itens AS total_itens, arquivos AS total_arquivos,
   CASE WHEN no_key THEN 0 ELSE 2 END AS api_calls, fetch_error, valor AS valor_itens FROM e""")
 def enriched_records(t: Tables):
+    return told(_enriched(t))
+
+
+def told(enriched):
+    """What a record's lists and metadata say, as columns."""
     value = F.aggregate(
         "itens", F.lit(0).cast("decimal(25,2)"),
         lambda acc, i: (acc + i["valor"].cast("decimal(15,2)")).cast("decimal(25,2)"))
-    full = nested_frame(_enriched(t))
+    full = nested_frame(enriched)
     return full.select(
         "sequencialCompra", F.size("itens").alias("total_itens"), F.size("arquivos").alias("total_arquivos"),
         "metadata.api_calls", "metadata.fetch_error", value.cast("double").alias("valor_itens"))
@@ -130,7 +135,7 @@ SELECT 'categoria' AS kind, coalesce(nullif(l_returnflag, 'A'), 'Unknown') AS la
 UNION ALL SELECT 'status', l_linestatus, count(*) FROM l GROUP BY 2""")
 def item_frequencies(t: Tables):
     rows = nested.child_labels(
-        records(t), KEYS, items(t), ["itemCategoriaNome", "situacaoCompraItemNome"], _failed(t))
+        records(t), KEYS, items(t), ["itemCategoriaNome", "situacaoCompraItemNome"], failed_reads(t))
     by_category = reports.frequency(rows, F.col("itemCategoriaNome"), weight="n").select(F.lit("categoria").alias("kind"), "*")
     by_status = reports.frequency(rows, F.col("situacaoCompraItemNome"), weight="n").select(F.lit("status").alias("kind"), "*")
     return by_category.unionByName(by_status)
@@ -141,7 +146,7 @@ SELECT CASE lang WHEN 'en' THEN 'Edital' WHEN 'de' THEN 'Unknown' ELSE lang END
 FROM e JOIN documents ON doc_id = o_orderkey WHERE fetch_error IS NULL GROUP BY 1""")
 def document_type_names(t: Tables):
     rows = nested.child_labels(
-        records(t), KEYS, attachments(t), ["tipoDocumentoNome", "tipoDocumentoDescricao"], _failed(t))
+        records(t), KEYS, attachments(t), ["tipoDocumentoNome", "tipoDocumentoDescricao"], failed_reads(t))
     label = reports.document_label(F.col("tipoDocumentoNome"), F.col("tipoDocumentoDescricao"))
     return reports.frequency(rows, label, weight="n")
 
