@@ -20,7 +20,7 @@ from garimpo.operators.state import StateTable
 from garimpo.plans.registry import Tables, query
 from garimpo.plans.shapes import money_sum
 from garimpo.session import fresh_path
-from garimpo.sources import lake, pages, registry_files
+from garimpo.sources import drifting, lake, pages, registry_files
 
 LOCAL_SQL = "(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/Sao_Paulo')"
 
@@ -362,3 +362,47 @@ def cleaned_day(t: Tables):
     data = lake.read_table(t.spark, path).groupBy(lake.partition_date().alias("date")).agg(F.count("*").alias("records"))
     ids = state.ids("events").groupBy(F.col("date").cast("date").alias("date")).agg(F.count("*").alias("records"))
     return data.select(F.lit("data").alias("kind"), "*").unionByName(ids.select(F.lit("state").alias("kind"), "*"))
+
+
+# ---- records whose fields change type -------------------------------------------------------
+
+DRIFT_FIELDS = [drifting.Field("event_id", "$.event_id", "long"), drifting.Field("value", "$.value", "double"),
+                drifting.Field("amount", "$.value.amount", "double", texts=True)]
+
+
+def _drifting_events(t: Tables) -> DataFrame:
+    """Events as pages of one record each; ``value`` is a number, a text, absent, an object with a text, or null."""
+    number, which = F.col("value").cast("string"), F.col("event_id") % 5
+    value = (F.when(which == 0, F.concat(F.lit(',"value":'), number))
+             .when(which == 1, F.concat(F.lit(',"value":"'), number, F.lit('"')))
+             .when(which == 2, F.lit(""))
+             .when(which == 3, F.concat(F.lit(',"value":{"amount":"'), number, F.lit('"}')))
+             .otherwise(F.lit(',"value":null')))
+    path = fresh_path(t.spark, "landing")
+    t.events.select(F.concat(F.lit('{"data":[{"event_id":'), "event_id", value, F.lit("}]}"))).write.text(path)
+    return drifting.page_records(drifting.read_records(t.spark, path))
+
+
+DRIFT_SQL = "ev AS (SELECT event_id, event_id % 5 AS w, value AS v FROM events)"
+
+
+@query("S1 S9 V1", f"""WITH {DRIFT_SQL}
+SELECT event_id, CASE w WHEN 0 THEN v END AS value, CASE w WHEN 3 THEN v END AS amount,
+  CASE w WHEN 1 THEN 'Wrong type in \'\'value\'\': expected double, found STRING'
+    WHEN 3 THEN 'Wrong type in \'\'value\'\': expected double, found OBJECT' ELSE '' END AS errors FROM ev""".replace("\\'", "'"))
+def drifting_records(t: Tables):
+    """A field that changes type: values of the expected type, and an error for each other one."""
+    read = drifting.typed(_drifting_events(t), DRIFT_FIELDS)
+    return read.select("event_id", "value", "amount", F.array_join("type_errors", "; ").alias("errors"))
+
+
+@query("S1 V1", f"""WITH {DRIFT_SQL},
+k AS (SELECT 'event_id' AS field, 'BIGINT' AS kind FROM ev
+  UNION ALL SELECT 'value', CASE w WHEN 0 THEN 'NUMBER' WHEN 1 THEN 'STRING' WHEN 2 THEN 'ABSENT' WHEN 3 THEN 'OBJECT' ELSE 'NULL' END FROM ev
+  UNION ALL SELECT 'amount', CASE w WHEN 3 THEN 'STRING' ELSE 'ABSENT' END FROM ev)
+SELECT field, kind, count(*) AS records FROM k GROUP BY ALL""")
+def drift_report(t: Tables):
+    """Kinds found per field; the ways to write a fraction count as one."""
+    found = drifting.kinds_found(_drifting_events(t), DRIFT_FIELDS)
+    number = F.when(F.col("kind").isin("DECIMAL", "DOUBLE") | ((F.col("field") == "value") & (F.col("kind") == "BIGINT")), "NUMBER")
+    return found.groupBy("field", F.coalesce(number, "kind").alias("kind")).agg(F.sum("records").alias("records"))
