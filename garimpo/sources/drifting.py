@@ -59,46 +59,58 @@ def page_records(pages: DataFrame, keep: Sequence[str] = (), data: str = "$.data
     return pages.select(*keep, F.posexplode(entries).alias(position, "record"))
 
 
-def kind(record: Column, path: str) -> Column:
+def kind(value: Column) -> Column:
     """ABSENT, NULL, or the JSON kind of a value: BIGINT, DECIMAL, DOUBLE, STRING, BOOLEAN, ARRAY or OBJECT."""
-    value = F.try_variant_get(record, path, "variant")
-    found = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    found = F.substring_index(F.substring_index(F.schema_of_variant(value), "(", 1), "<", 1)
     return F.when(value.isNull(), ABSENT).when(F.is_variant_null(value), NULL).otherwise(found)
 
 
-def _value(record: Column, field: Field) -> Column:
+def _value(value: Column, field: Field) -> Column:
     """The value in its type, null where it does not fit without loss."""
-    value = F.try_variant_get(record, field.path, field.type)
+    cast = F.try_variant_get(value, "$", field.type)
     if field.family in ("long", "int", "decimal"):
-        exact = F.try_variant_get(record, field.path, "decimal(38,18)")
-        return F.when(value.cast("decimal(38,18)") == exact, value)
-    return value
+        exact = F.try_variant_get(value, "$", "decimal(38,18)")
+        return F.when(cast.cast("decimal(38,18)") == exact, cast)
+    return cast
 
 
 def typed(records: DataFrame, fields: Sequence[Field], keep: Sequence[str] = (), errors: str = "type_errors") -> DataFrame:
     """The fields as columns and ``errors``, an array that is empty for a record of the expected types.
 
-    A record that is no object, or a line that was no JSON, has null in all fields and one error.
+    A line that was no JSON, or a record without any of the fields that is no object, has one error.
     """
-    record = F.col("record")
-    columns, checks = [], []
-    for f in fields:
-        taken = [*TAKES[f.family], *(["STRING"] if f.texts else [])]
-        found, value = kind(record, f.path), _value(record, f)
-        fits = found.isin(taken) & value.isNotNull()
-        columns.append(F.when(fits, value).alias(f.name))
-        wrong = ~found.isin(ABSENT, NULL) & ~fits
-        checks.append(F.when(wrong, F.concat(F.lit(f"Wrong type in '{f.name}': expected {f.type}, found "), found)))
-    top = kind(record, "$")
-    odd = F.when(record.isNull(), F.lit("Record is no JSON")).when(
-        top != "OBJECT", F.concat(F.lit("Record is no object but "), top))
-    listed = F.when(odd.isNotNull(), F.array(odd)).otherwise(F.filter(F.array(*checks), lambda e: e.isNotNull()))
-    return records.select(*keep, *columns, listed.alias(errors))
+    # One step each for what is found, its kind, and its value: an expression used twice is computed once.
+    number = range(len(fields))
+    taken_out = records.select(
+        *keep, F.col("record").alias("__record"),
+        *(F.try_variant_get("record", f.path, "variant").alias(f"__found_{i}") for i, f in enumerate(fields)))
+    kinds = taken_out.withColumns({f"__kind_{i}": kind(F.col(f"__found_{i}")) for i in number})
+    values = kinds
+    if fields:
+        values = kinds.withColumns({
+            f"__value_{i}": F.when(
+                F.col(f"__kind_{i}").isin([*TAKES[f.family], *(["STRING"] if f.texts else [])]), _value(F.col(f"__found_{i}"), f))
+            for i, f in enumerate(fields)})
+    checks = [
+        F.when(
+            ~F.col(f"__kind_{i}").isin(ABSENT, NULL) & F.col(f"__value_{i}").isNull(),
+            F.concat(F.lit(f"Wrong type in '{f.name}': expected {f.type}, found "), F.col(f"__kind_{i}")))
+        for i, f in enumerate(fields)]
+    # The kind of a whole record takes reading all of it, which a record that holds a field does not need.
+    bare = F.lit(True)
+    for i in number:
+        bare = bare & (F.col(f"__kind_{i}") == ABSENT)
+    listed = F.when(F.col("__record").isNull(), F.array(F.lit("Record is no JSON"))).when(
+        bare & (kind(F.col("__record")) != "OBJECT"), F.array(F.concat(F.lit("Record is no object but "), kind(F.col("__record"))))
+    ).otherwise(F.array_compact(F.array(*checks)))
+    return values.select(*keep, *(F.col(f"__value_{i}").alias(f.name) for i, f in enumerate(fields)), listed.alias(errors))
 
 
 def kinds_found(records: DataFrame, fields: Sequence[Field], by: Sequence[str] = ()) -> DataFrame:
     """How often each kind stands in each field: ``by``, ``field``, ``kind``, ``records``. Lines that are no JSON are left out."""
-    found = F.array(*(F.struct(F.lit(f.name).alias("field"), kind(F.col("record"), f.path).alias("kind")) for f in fields))
-    rows = records.where(F.col("record").isNotNull()).select(*by, F.explode(found).alias("__found"))
+    found = F.array(*(
+        F.struct(F.lit(f.name).alias("field"), F.try_variant_get("record", f.path, "variant").alias("value")) for f in fields))
+    rows = records.where(F.col("record").isNotNull()).select(*by, F.explode(found).alias("__each"))
+    rows = rows.select(*by, F.struct("__each.field", kind(F.col("__each.value")).alias("kind")).alias("__found"))
     return rows.groupBy(*by, F.col("__found.field").alias("field"), F.col("__found.kind").alias("kind")).agg(
         F.count("*").alias("records"))
