@@ -371,3 +371,17 @@ def test_cut_repeats(spark):
     cut = passages.cut_repeats(docs, passages.repeated_passages(docs))
     assert cut.columns == docs.columns
     assert rows_of(cut, "doc_id", "text") == [(1, "first " + shared), (2, "second  tail"), (3, None)]
+
+
+def test_every_pair_of_passages_at_the_bound_keeps_a_run_in_common(spark):
+    """One word of 50 replaced, at every place, in 160 pairs: chance must not decide which pairs meet."""
+    rng = random.Random(83)
+    assert passages.shared_words() == 25
+    rows = []
+    for i in range(160):
+        text = [f"w{rng.randrange(10 ** 9)}" for _ in range(50)]
+        other = list(text)
+        other[5 + i % 40] = "changed"
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
+    found = {(r.first_doc_id, r.doc_id) for r in _passages(spark, rows).collect()}
+    assert found == {(2 * i, 2 * i + 1) for i in range(160)}
