@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from garimpo.functions.cleaning import has_text
@@ -41,24 +41,41 @@ def coverage(
 ) -> DataFrame:
     """Records and exact distinct ids in total, by year, by month and, if asked, by day.
 
-    Ids are first reduced to one row per (day, id), which the map side combines, and the
-    grouping sets expand those counts. Dates that did not parse form a group with null parts
-    (``grain`` tells it apart from the total).
+    Ids are first reduced to one row per (day, id), which the map side combines. Along the days of an id
+    every row knows whether it is the id's first at all, of its year and of its month, so an id moves once
+    per day and counts become sums: only one row per day reaches the grouping sets. Dates that did not parse
+    form a group with null parts (``grain`` tells it apart from the total).
     """
     ident = F.lit(None).cast("string") if record_id is None else record_id
     per_id = df.select(F.to_date(at).alias("day"), ident.alias("id")).groupBy("day", "id").agg(F.count("*").alias("n"))
     # Plain dates travel through the grouping; they become texts on the few result rows.
-    per_id = per_id.select(F.year("day").alias("year"), F.trunc("day", "month").alias("year_month"), "day", "id", "n")
+    parts = {"year": F.year("day"), "year_month": F.trunc("day", "month"), "day": F.col("day")}
     names = ["year", "year_month"] + (["day"] if detailed else [])
     columns = [F.col(c) for c in names]
     sets = [columns[:i] for i in range(len(columns) + 1)]
     records = F.sum("n")
-    unique = records if record_id is None else F.countDistinct("id")
+    if record_id is None:
+        firsts, per_day = [], per_id.groupBy("day").agg(records.alias("n"))
+    else:
+        firsts = ["__first", *(f"__first_{name}" for name in names)]
+        days = Window.partitionBy("id").orderBy("day")
+        marked = per_id.select("day", "id", "n", F.lag("day").over(days).alias("__last"), F.row_number().over(days).alias("__rn"))
+        # The days of a year or month lie together; rows without a day come first.
+        begins = {"__first": F.col("__rn") == 1}
+        for name in names:
+            part = parts[name]
+            before = F.year("__last") if name == "year" else F.trunc("__last", "month") if name == "year_month" else F.col("__last")
+            begins[f"__first_{name}"] = begins["__first"] | ~part.eqNullSafe(before)
+        counted = [F.sum((F.col("id").isNotNull() & begins[f]).cast("long")).alias(f) for f in firsts]
+        per_day = marked.groupBy("day").agg(records.alias("n"), *counted)
+    per_day = per_day.select(*(parts[name].alias(name) for name in names), "n", *firsts)
     # grouping_id has one bit per column, set when the column is rolled up.
-    grain = F.lit("total")
+    grain, unique = F.lit("total"), F.sum(firsts[0]) if firsts else records
     for i, name in enumerate(("year", "month", "day")[: len(names)]):
-        grain = F.when(F.grouping_id() == 2 ** (len(names) - 1 - i) - 1, name).otherwise(grain)
-    grouped = per_id.groupingSets(sets, *columns).agg(
+        here = F.grouping_id() == 2 ** (len(names) - 1 - i) - 1
+        grain = F.when(here, name).otherwise(grain)
+        unique = F.when(here, F.sum(firsts[i + 1])).otherwise(unique) if firsts else records
+    grouped = per_day.groupingSets(sets, *columns).agg(
         grain.alias("grain"), records.alias("records"), unique.alias("unique_ids")
     )
     texts = {"year_month": F.date_format("year_month", "yyyy-MM")}
