@@ -53,13 +53,13 @@ def search(df: DataFrame, ident: str, text: str, terms: Sequence[str], k: int) -
 def tf_idf(df: DataFrame, ident: str, text: str, top: int | None = None) -> DataFrame:
     """Weight tf * ln((N + 1) / (df + 1)) of each term of each text, tf being its count there.
 
-    Words are counted per task before anything is shuffled, so a text moves its distinct terms. The counts are
-    written once, since the document frequencies and the weights both need them; the texts are read and
+    A text moves once, to the task that counts its words: that is fewer bytes than a row per distinct term, each
+    with the id. The counts are written once, since the document frequencies and the weights both need them; the texts are read and
     taken apart once. A common word moves one row per text, and the join by word may be split where a word
     is hot.
     """
     spark = df.sparkSession
-    words = df.select(ident, F.explode(tokens(F.col(text))).alias("term"))
+    words = df.select(ident, text).repartition(ident).select(ident, F.explode(tokens(F.col(text))).alias("term"))
     path = fresh_path(spark, "terms")
     words.groupBy(ident, "term").agg(F.count("*").alias("tf")).write.parquet(path)
     tf = spark.read.parquet(path)
