@@ -42,10 +42,16 @@ def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
+            return _empty(spark, schema)
         raise
 
 
+def _empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, known as such when the plan is made: no task starts for them."""
+    fields = (field.split(" ") for field in schema.split(", "))
+    return spark.range(0).select(*(F.lit(None).cast(kind).alias(name) for name, kind in fields))
+
+
 def ids_folder(source: str, detail_type: str, date: str | None = None, run: str | None = None) -> str:
     """Folder of the ids of a source, below the state's folder."""
     parts = [("source", source), ("detail_type", detail_type), ("date", date), ("run", run)]
@@ -71,7 +77,7 @@ class StateTable:
     def _committed(self, table: str, schema: str, keep=lambda folder: True) -> DataFrame:
         folders = [f for f in self.commits.live(f"{self.name}/{table}") if keep(f)]
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return _empty(self.spark, schema)
         top = f"{self.base}/{table.split('/')[0]}"
         reader = self.spark.read.schema(schema).option("basePath", top)
         return reader.parquet(*[f"{self.commits.base}/{f}" for f in folders])

@@ -231,9 +231,9 @@ def chunked_enrichment(t: Tables):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
 
     def enrich(batch):
-        # Only the children of this batch are grouped.
+        # Only the children of this batch are grouped. Its ids may be sent to all executors, its lists are not.
         wanted = lines.join(batch.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
-        lists = nested.child_lists(wanted, ["l_orderkey"], ["l_linenumber", "l_extendedprice"], "itens")
+        lists = nested.child_lists(wanted, ["l_orderkey"], ["l_linenumber", "l_extendedprice"], "itens").hint("merge")
         return batch.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
 
     job = Ingest(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import threading
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -81,7 +82,8 @@ def ingest_batch(job: Ingest, batch: DataFrame, run: str) -> None:
     days = [r[0] for r in rows.select("__day").distinct().collect()]
     known = job.state.ids(job.source, job.detail_type, dates=days)
     keys = [F.col("__day"), F.col(job.id_col).cast("string")]
-    flagged = flag_new(checked, keys, known.select("date", "id"), "__new")
+    # The ids of all runs stay where they are: sent to every executor they would pass the driver with each batch.
+    flagged = flag_new(checked, keys, known.select("date", "id").hint("merge"), "__new")
     # What the writes share is written once to the shared folder, where a lost executor cannot take it.
     staged = fresh_path(job.spark, "ingest")
     flagged.withColumn("__invalid", F.size("errors") > 0).drop("errors").write.parquet(staged)
@@ -100,13 +102,21 @@ def ingest_batch(job: Ingest, batch: DataFrame, run: str) -> None:
         if not logged:
             return
         fields = [f for f in RUN_LOG_SCHEMA.split(", ") if f.split(" ")[0] in logged[0]]
-        entries = [tuple(r[f.split(" ")[0]] for f in fields) for r in logged]
-        job.state.log(job.spark.createDataFrame(entries, ", ".join(fields)).coalesce(1))
+        job.state.log(_as_frame(job.spark, logged, fields))
         job.commits.publish(key, _written(job, run, [r["date"] for r in logged if r["new_rows"]]))
     finally:
         remove_path(job.spark, staged)
 
 
+def _as_frame(spark: SparkSession, rows: list, fields: list[str]) -> DataFrame:
+    """Collected log rows as a local table; no Python worker starts for them. They share one time of the run."""
+    names = [f.split(" ")[0] for f in fields]
+    kinds = ", ".join(f for f in fields if f != "run_ts timestamp")
+    text = json.dumps([{n: r[n] for n in names if n != "run_ts"} for r in rows])
+    entries = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{kinds.replace(' ', ': ').replace(',: ', ', ')}>>")))
+    return entries.withColumn("run_ts", F.lit(rows[0]["run_ts"])).select(*names)
+
+
 def _written(job: Ingest, run: str, days: list[str]) -> list[str]:
     """Folders that a run wrote, relative to the lake. A transformation may have left a day without rows."""
     data = []
@@ -129,7 +139,11 @@ def _run_log(job: Ingest, rows: DataFrame, flagged: DataFrame, run: str) -> Data
         F.sum(F.col("__new").cast("long")).alias("new_rows"),
         F.sum((F.col("__new") & F.col("__invalid")).cast("long")).alias("invalid_rows"),
     )
-    return counted.join(kept, "date", "left").fillna(0, ["new_rows", "invalid_rows"]).select(
+    # Days of kept rows are among those of the input, so both meet in one sum per day.
+    names = ["input_rows", "missing_id_rows", "undated_rows", "new_rows", "invalid_rows"]
+    both = counted.unionByName(kept, allowMissingColumns=True).groupBy("date").agg(
+        *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names))
+    return both.select(
         F.lit(job.source).alias("source"), F.lit(job.detail_type).alias("detail_type"), "date",
         F.lit(run).alias("run"), F.current_timestamp().alias("run_ts"), "input_rows", "new_rows",
         (F.col("input_rows") - F.col("new_rows")).alias("duplicate_rows"),
