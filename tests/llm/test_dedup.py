@@ -385,3 +385,8 @@ def test_every_pair_of_passages_at_the_bound_keeps_a_run_in_common(spark):
         rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
     found = {(r.first_doc_id, r.doc_id) for r in _passages(spark, rows).collect()}
     assert found == {(2 * i, 2 * i + 1) for i in range(160)}
+
+
+def test_a_text_of_one_word_repeats_itself_one_word_on(spark):
+    (row,) = _passages(spark, [(1, "word " * 200)]).collect()
+    assert (row.doc_id, row.first_doc_id, row.start, row.end, row.first_start, row.first_end) == (1, 1, 1, 200, 0, 199)
