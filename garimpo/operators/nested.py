@@ -10,9 +10,24 @@ from pyspark.sql import types as T
 
 from garimpo.functions.cleaning import has_text
 
+# Bytes of input files behind one task that counts rows by their parent.
+ROWS_BYTES = 2 << 20
 KEY_ERROR = "Missing cnpj/ano/sequencial"
 
 
+def parts_for(df: DataFrame, part_bytes: int) -> int:
+    """Tasks for parts of about ``part_bytes`` of input files, no fewer than the session's shuffle partitions."""
+    # A leaf of unknown size says a number beyond any table.
+    sizes = [int(str(leaf.stats().sizeInBytes())) for leaf in _leaves(df)]
+    wanted = -(-sum(s for s in sizes if s < 1 << 60) // part_bytes)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(wanted, 1 << 16))
+
+
+def _leaves(df: DataFrame) -> list:
+    found = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return [found.apply(i) for i in range(found.size())]
+
+
 def truthy(col: Column, dtype: T.DataType) -> Column:
     """Present and neither empty text nor zero; never null."""
     if isinstance(dtype, T.NumericType):
@@ -113,11 +128,16 @@ def child_labels(
 ) -> DataFrame:
     """Children of usable records by their labels: the label columns and ``n``.
 
-    Children are counted per parent and labels before they meet the records; no list is gathered.
+    Children are counted per parent and labels before they meet the records; no list is gathered. Parents have
+    few children of one kind, so the rows move before they are counted: a table of them ahead of the shuffle
+    would hold nearly every row. A task counts about ROWS_BYTES of input, however much there is. Keys shrink much
+    in a shuffle, so parents that look small enough to be sent to every task are not: each would hold them all.
     """
+    children = children.dropna(subset=list(keys)).select(*keys, *labels).repartition(
+        parts_for(children, ROWS_BYTES), *keys)
     counted = children.groupBy(*keys, *labels).agg(F.count("*").alias("__n"))
     parents = _judged(records, keys, failed).where("__usable").select(*keys)
-    return counted.join(parents, list(keys)).groupBy(*labels).agg(F.sum("__n").alias("n"))
+    return counted.join(parents.hint("merge"), list(keys)).groupBy(*labels).agg(F.sum("__n").alias("n"))
 
 
 def enrichment_totals(enriched: DataFrame, by: Sequence[str] = ()) -> DataFrame:

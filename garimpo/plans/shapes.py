@@ -105,7 +105,8 @@ def items(t: Tables) -> DataFrame:
         F.when(F.col("l_returnflag") != "A", F.col("l_returnflag")).alias("itemCategoriaNome"),
         F.col("l_linestatus").alias("situacaoCompraItemNome"),
     )
-    return lines.join(_keys_of_orders(t), "sequencialCompra", "left")
+    # Held whole by every task, the keys would grow with the orders.
+    return lines.join(_keys_of_orders(t).hint("merge"), "sequencialCompra", "left")
 
 
 def attachments(t: Tables) -> DataFrame:
