@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from garimpo.operators.nested import ROWS_BYTES, parts_for
 from garimpo.operators.running import totals_before
 
 
@@ -116,24 +117,34 @@ def active_at(
     """Whether the company is under sanction on the record's day, ends included, open ends for ever.
 
     A sanction adds one on its first day and takes it back on the day after its last; the running
-    total at a record is the number of sanctions in force. No record meets a sanction pairwise.
-    Sanctions without a first day, or with an end before it, are never in force.
+    total on a record's day is the number of sanctions in force. No record meets a sanction pairwise.
+    Sanctions without a first day, or with an end before it, are never in force. Steps and days of records are
+    reduced to one row per company and day first, so a company is as many rows as it has days, whatever it owns.
     """
     sanctions = sanctions.where(
-        F.col(start).isNotNull() & (F.col(end).isNull() | (F.to_date(end) >= F.to_date(start))))
-    records = df.withColumns({"__day": F.to_date(at), "__kind": F.lit(1), "__delta": F.lit(0)})
-    begins = sanctions.select(
-        F.col(company), F.to_date(start).alias("__day"), F.lit(0).alias("__kind"), F.lit(1).alias("__delta"))
-    ends = sanctions.where(F.col(end).isNotNull()).select(
-        F.col(company), F.date_add(F.to_date(end), 1).alias("__day"), F.lit(0).alias("__kind"), F.lit(-1).alias("__delta"))
-    steps = begins.unionByName(ends).where(F.col(company).isNotNull())
-    steps = steps.groupBy(company, "__day", "__kind").agg(F.sum("__delta").cast("int").alias("__delta"))
-    both = records.unionByName(steps, allowMissingColumns=True)
-    counted = totals_before(
-        both, [company], ["__day", "__kind"], {"__open": ("sum", F.col("__delta"))}, day_bucket(F.col("__day"))
-    ).where("__kind = 1")
-    in_force = F.col(company).isNotNull() & (F.coalesce("__open", F.lit(0)) > 0)
-    return counted.select(*df.columns, in_force.alias(name))
+        F.col(company).isNotNull() & F.col(start).isNotNull()
+        & (F.col(end).isNull() | (F.to_date(end) >= F.to_date(start))))
+
+    def step(day: Column, delta: int) -> Column:
+        return F.struct(day.alias("__day"), F.lit(delta).cast("long").alias("__delta"))
+
+    # Both steps of a sanction come from one reading of it.
+    steps = sanctions.select(F.col(company).alias("__company"), F.explode(F.array(
+        step(F.to_date(start), 1), step(F.date_add(F.to_date(end), 1), -1))).alias("__step"))
+    steps = steps.select("__company", "__step.*").where(F.col("__day").isNotNull())
+    steps = steps.groupBy("__company", "__day").agg(F.sum("__delta").alias("__delta"))
+    asked = df.where(F.col(company).isNotNull()).select(
+        F.col(company).alias("__company"), F.to_date(at).alias("__day"), F.lit(None).cast("long").alias("__delta")).distinct()
+    days = steps.unionByName(asked).groupBy("__company", "__day").agg(
+        F.sum("__delta").alias("__delta"), F.max(F.col("__delta").isNull()).alias("__asked"))
+    upto = Window.partitionBy("__company").orderBy("__day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = days.withColumn("__open", F.sum("__delta").over(upto)).where(F.col("__asked") & (F.col("__open") > 0))
+    known = known.select("__company", F.col("__day").alias("__on"))
+    met = (F.col(company) == F.col("__company")) & (F.to_date(at) == F.col("__on"))
+    # Company and day shrink much in a shuffle: sent to every task, what looks small would fill its memory.
+    dealt = df.repartition(parts_for(df, ROWS_BYTES), F.col(company), F.to_date(at))
+    joined = dealt.join(known.hint("merge"), met, "left")
+    return joined.select(*(F.col(c) for c in df.columns), F.col("__company").isNotNull().alias(name))
 
 
 def overlaps_earlier(

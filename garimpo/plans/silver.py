@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from garimpo.operators.nested import ROWS_BYTES, parts_for
 from garimpo.operators import gold, history, silver
 from garimpo.operators.running import quantiles, range_bucket
 from garimpo.plans.registry import Tables, query
@@ -167,7 +168,8 @@ def inverted_sanctions(t: Tables):
     """Sanctions of which some end before they begin; those take nothing from the valid ones."""
     lines = t.lineitem.select("l_orderkey", F.to_date("l_shipdate").alias("a"), "l_linenumber")
     lines = lines.withColumn("b", F.date_add("a", F.col("l_linenumber") * 20 - 60))
-    owned = lines.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "a", "b")
+    lines = lines.repartition(parts_for(lines, ROWS_BYTES), "l_orderkey")
+    owned = lines.join(t.orders.select("o_orderkey", "o_custkey").hint("merge"), F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "a", "b")
     return history.active_at(contracts(t), "o_custkey", "d", owned, "a", "b", "sancionada").select("o_orderkey", "sancionada")
 
 
