@@ -132,9 +132,8 @@ def active_at(
     steps = sanctions.select(F.col(company).alias("__company"), F.explode(F.array(
         step(F.to_date(start), 1), step(F.date_add(F.to_date(end), 1), -1))).alias("__step"))
     steps = steps.select("__company", "__step.*").where(F.col("__day").isNotNull())
-    steps = steps.groupBy("__company", "__day").agg(F.sum("__delta").alias("__delta"))
     asked = df.where(F.col(company).isNotNull()).select(
-        F.col(company).alias("__company"), F.to_date(at).alias("__day"), F.lit(None).cast("long").alias("__delta")).distinct()
+        F.col(company).alias("__company"), F.to_date(at).alias("__day"), F.lit(None).cast("long").alias("__delta"))
     days = steps.unionByName(asked).groupBy("__company", "__day").agg(
         F.sum("__delta").alias("__delta"), F.max(F.col("__delta").isNull()).alias("__asked"))
     upto = Window.partitionBy("__company").orderBy("__day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
