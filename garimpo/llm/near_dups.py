@@ -184,13 +184,15 @@ def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataF
         _by_rarity(listed, ["node"]).join(sets.select("node", "n", "bits"), "node")
         .withColumn("alone", alone).withColumn("room", room.cast("int")).filter("room > 0")
         .select("node", "n", "bits", "alone", F.posexplode(F.slice("values", F.lit(1), F.col("room"))).alias("place", "v"))
-        .select("node", "n", "bits", (F.col("alone") + F.col("place")).alias("place"), F.col("v.value").alias("value")))
+        .select("node", "n", "bits", "alone", (F.col("alone") + F.col("place")).alias("place"), F.col("v.value").alias("value")))
     prefixes = written(marked(prefixes), "near-prefixes")
-    parts = prefixes.groupBy("value", "component").agg(F.count("*").alias("m"), F.min("node").alias("head"))
-    largest = F.max(F.struct("m", "component", "head"))
+    # The head of a family is the member with the fewest values of its own: what it links is linked to most.
+    parts = prefixes.groupBy("value", "component").agg(
+        F.count("*").alias("m"), F.max(F.struct((-F.col("alone")).alias("plain"), "node")).alias("head"))
+    largest = F.max(F.struct("m", "head.plain", "component", "head.node"))
     parts = parts.groupBy("value").agg(largest.alias("main"), F.sum("m").alias("members"), F.count("*").alias("parts"))
     parts = parts.filter("parts > 1").select(
-        "value", F.col("main.component").alias("main"), F.col("main.head").alias("head"),
+        "value", F.col("main.component").alias("main"), F.col("main.node").alias("head"),
         ((F.col("members") - F.col("main.m")) * F.col("members") <= PAIRED).alias("short"))
     rest = prefixes.join(parts, "value")
     rows = rest.filter("short").select(

@@ -80,6 +80,29 @@ def test_families_of_edited_copies_give_few_candidates(spark, monkeypatch):
     assert 0 < made[0] < 0.1 * len(rows) ** 2 / 2
 
 
+def test_the_head_of_a_family_is_a_member_with_few_edits(spark, monkeypatch):
+    rng, rows = random.Random(23), []
+    for _ in range(6):
+        base = brute.sentence(rng, 400).split(" ")
+        for i in range(80):
+            words = list(base)
+            # Two members are linked if they have six edits together at most.
+            for at in rng.sample(range(400), (2, 3, 3, 3, 3, 3, 4, 4, 5, 5)[i % 10]):
+                words[at] = "e%dx%d" % (len(rows), at)
+            rows.append((len(rows), " ".join(words)))
+    made, apart = [], near_dups._apart
+
+    def counted(members, sets, link):
+        made.append(apart(members, sets, link).count())
+        return apart(members, sets, link)
+
+    monkeypatch.setattr(near_dups, "_apart", counted)
+    monkeypatch.setattr(near_dups, "PAIRED", 8)
+    got = near_dups.near_duplicates(brute.documents(spark, rows))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id", "kept") == brute.near(rows)
+    assert 0 < made[0] < 10 * len(rows)
+
+
 def test_rows_without_ids_do_not_multiply(spark):
     rng, rows = random.Random(18), []
     for i in range(1000):
