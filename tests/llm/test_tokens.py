@@ -42,6 +42,16 @@ def test_pieces_encode_like_whole_texts(values):
         assert ids[begin[i]:begin[i + 1]].tolist() == want, value
 
 
+def test_words_before_marks_are_learnt_once():
+    encoder = token_files.PieceEncoder(BPE)
+    marks = [m + n for m in "!#$%&*,.:;?" for n in ("", "?", "***")]
+    values = [" ".join(w + m for w in ("plain", "it's", "x<|endoftext|>y", "été") for m in marks), "a.b:c d!<|endoftext|>"]
+    ids, begin = encoder.encode(*utf8(pa.array(values)))
+    for i, value in enumerate(values):
+        assert ids[begin[i]:begin[i + 1]].tolist() == encoder.tokenizer.encode(value, add_special_tokens=False).ids
+    assert sum(p.startswith(" plain") for p in encoder.known.to_pylist()) == 1
+
+
 @settings(max_examples=300, deadline=None)
 @given(texts)
 def test_unigram_counts_match_the_library(values):
