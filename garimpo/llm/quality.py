@@ -23,6 +23,8 @@ HIDDEN = 32
 EPOCHS = 60
 SEED = 20240611
 THRESHOLD = 0.3
+#: Text bytes whose words have their vectors in memory together; each of them takes about a hundred times its size.
+CHUNK = 1 << 16
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[0x21:0x30] = _SYMBOLS[0x3A:0x41] = _SYMBOLS[0x5B:0x61] = _SYMBOLS[0x7B:0x7F] = True
@@ -99,7 +101,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         table = np.zeros((rows, DIM + 1), np.float64)
         for batch in batches:
             raw, offsets = utf8(batch.column(0))
-            for a, b in slices(offsets, W.CHUNK):
+            for a, b in slices(offsets, CHUNK):
                 bucket, shape, first = word_codes(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 if not len(bucket):
                     continue
@@ -125,7 +127,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 def pooled(raw: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """One row per text: weighted mean of its words' vectors and mean of its shapes' vectors; zeros if empty."""
     out = np.zeros((len(offsets) - 1, 2 * DIM), np.float32)
-    for a, b in slices(offsets, W.CHUNK):
+    for a, b in slices(offsets, CHUNK):
         bucket, shape, first = word_codes(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
         full = np.flatnonzero(first[:-1] < first[1:])
         if not len(full):

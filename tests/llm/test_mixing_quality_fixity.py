@@ -1,13 +1,16 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from garimpo.llm import fixity, mixing, quality
+from garimpo.llm.common import utf8
 from garimpo.session import fresh_path
 
 from . import brute
@@ -158,6 +161,20 @@ def test_quality_without_labels_or_rows(spark):
     assert quality.quality_scores(brute.documents(spark, []), none).count() == 0
 
 
+def test_pooling_holds_the_vectors_of_few_words_at_once():
+    rng = random.Random(29)
+    values = [brute.sentence(rng, 300) for _ in range(500)]
+    raw, offsets = utf8(pa.array(values))
+    vectors = np.random.Generator(np.random.PCG64(1)).random((quality.BUCKETS + quality.SHAPES, quality.DIM + 1), np.float32)
+    tracemalloc.start()
+    x = quality.pooled(raw, offsets, vectors)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    apart = [quality.pooled(*utf8(pa.array([v])), vectors)[0] for v in values[:20]]
+    assert np.array_equal(x[:20], np.array(apart))
+    assert held < 30 << 20
+
+
 def test_temperature_is_calibrated():
     rng = np.random.Generator(np.random.PCG64(1))
     x = rng.normal(size=(8000, 2 * quality.DIM))
