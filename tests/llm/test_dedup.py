@@ -413,3 +413,45 @@ def test_every_pair_of_passages_at_the_bound_keeps_a_run_in_common(spark):
 def test_a_text_of_one_word_repeats_itself_one_word_on(spark):
     (row,) = _passages(spark, [(1, "word " * 200)]).collect()
     assert (row.doc_id, row.first_doc_id, row.start, row.end, row.first_start, row.first_end) == (1, 1, 1, 200, 0, 199)
+
+
+def test_words_are_left_out_only_of_stretches_that_meet_unlike_ones(spark, monkeypatch):
+    rng = random.Random(31)
+    text = brute.sentence(rng, 60)
+    texts = brute.documents(spark, [(i, text) for i in range(3)]).select("doc_id", "text")
+    members = spark.createDataFrame([(1, i, 12) for i in range(3)], "key long, doc_id long, centre int")
+    asked, by_place = [], passages._by_place
+
+    def counted(marks, *rest):
+        asked.append(marks.count())
+        return by_place(marks, *rest)
+
+    monkeypatch.setattr(passages, "_by_place", counted)
+    found = passages._further(members, members, texts, 5, 50)
+    assert rows_of(found, "first_doc_id", "doc_id", "diagonal") == [(0, 1, 0), (0, 2, 0)]
+    assert asked == [3, 0]
+
+
+def _shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return manager.getAllFiles().mkString("\n").count("/shuffle_")
+
+
+def test_written_tables_leave_no_shuffle_files_and_can_be_discarded(spark):
+    from garimpo.llm.common import CLEANUP, discard, passing, written
+    from garimpo.session import path_exists
+
+    def folder(table):
+        return table.inputFiles()[0].rpartition("/")[0]
+
+    before, setting = _shuffle_files(spark), spark.conf.get(CLEANUP, None)
+    table = written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "test")
+    assert _shuffle_files(spark) <= before and table.count() == 7
+    assert spark.conf.get(CLEANUP, None) == setting
+    place = folder(table)
+    discard(table)
+    assert not path_exists(spark, place)
+    with passing(spark) as keep:
+        gone, stays = written(spark.range(3), "test"), keep(written(spark.range(4), "test"))
+        places = folder(gone), folder(stays)
+    assert [path_exists(spark, x) for x in places] == [False, True] and stays.count() == 4
