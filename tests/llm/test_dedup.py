@@ -432,6 +432,15 @@ def test_words_are_left_out_only_of_stretches_that_meet_unlike_ones(spark, monke
     assert asked == [3, 0]
 
 
+def test_lines_are_shuffled_as_texts(spark):
+    texts = spark.createDataFrame([(0, "a line of some words"), (1, "a line of some words!"), (2, "others")], "line_id long, line string")
+    pairs = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long")
+    linked = fuzzy_lines._linked(pairs, texts, 80)
+    assert rows_of(linked, "a", "b") == [(0, 1)]
+    plan = linked._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Project" in x and "regexp_extract_all" in x]
+
+
 def _shuffle_files(spark):
     manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     return manager.getAllFiles().mkString("\n").count("/shuffle_")
