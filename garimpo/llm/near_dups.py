@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from garimpo.llm import words as W
-from garimpo.llm.common import ship, slices, texts_of, unused, utf8, written
+from garimpo.llm.common import discard, passing, pieces, ship, slices, texts_of, unused, utf8, written
 from garimpo.llm.components import connected
 
 #: Words of a shingle.
@@ -24,6 +24,9 @@ RETAINED = 64
 BINS = 64
 #: Pairs across components that a list may give; members of longer ones are told apart by their differences.
 PAIRED = 256
+#: Texts that a Python worker gets at once, and text bytes whose shingle sets it hands back at once.
+BATCH_ROWS = 1000
+PIECE = 1 << 20
 
 
 def least_agreeing(link: int, retained: int = RETAINED) -> int:
@@ -81,7 +84,7 @@ def sketches(docs: DataFrame, words: int = WORDS, retained: int = RETAINED) -> D
     ship(docs.sparkSession)
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches, 1, PIECE):
             raw, offsets = utf8(batch.column(1))
             sizes, digests, kept = [], [], []
             view = memoryview(raw)
@@ -129,7 +132,7 @@ def _whole_sets(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     joined = keyed.join(wanted, wanted.id.eqNullSafe(keyed.doc_id) & (wanted.md5 == keyed.key)).select("node", "text")
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches, 1, PIECE):
             sets, bits = [], []
             for s in shingle_sets(*utf8(batch.column(1)), words):
                 sets.append(s.astype(np.int64))
@@ -176,7 +179,7 @@ def _crossing(lists: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataF
     open_ = lists.join(several, "value", "left_semi").select("node").distinct()
     unread = nodes.join(open_, "node", "left_semi").join(sets, "node", "left_anti")
     sets = written(
-        sets.join(open_, "node", "left_semi").unionByName(_whole_sets(unread, texts, words)), "near-sets")
+        sets.join(open_, "node", "left_semi").unionByName(_whole_sets(unread, texts, words)), "near-sets", BATCH_ROWS)
     listed = sets.select("node", F.explode("values").alias("value"))
     alone = F.col("n") - F.size("values")
     room = F.col("n") - F.ceil(F.col("n") * F.lit(link) / F.lit(100)) + 1 - alone
@@ -291,7 +294,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, l
     agreeing = least_agreeing(link, retained) if agreeing is None else agreeing
     unlike = most_unlike(link) if unlike is None else unlike
     texts = texts_of(docs, id_col, text_col)
-    base = written(sketches(texts, words, retained), "near-sketches")
+    base = written(sketches(texts, words, retained), "near-sketches", BATCH_ROWS)
     firsts = base.filter("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "text_md5")).alias("row"), F.any_value("n_shingles").alias("n"), F.any_value("sketch").alias("sketch"))
     nodes = written(firsts.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
@@ -310,13 +313,20 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, l
     stars = lists.join(hubs, "value").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     tested = written(_agree(stars, nodes, retained, agreeing, link), "near-pairs")
     asked = tested.select(F.col("a").alias("node")).unionByName(tested.select(F.col("b").alias("node"))).distinct()
-    sets = written(_whole_sets(nodes.join(asked, "node", "left_semi"), texts, words), "near-sets")
+    sets = written(_whole_sets(nodes.join(asked, "node", "left_semi"), texts, words), "near-sets", BATCH_ROWS)
     links = written(_verified(tested, sets, link), "near-links")
 
     labels = connected(links)
-    crossing, sets = _crossing(lists, labels, nodes, sets, texts, words, link, unlike)
-    crossing = written(_agree(crossing.join(tested, ["a", "b"], "left_anti"), nodes, retained, agreeing, link), "near-pairs")
-    more = written(_verified(crossing, sets, link), "near-links") if not crossing.isEmpty() else None
+    discard(links)
+    with passing(docs.sparkSession) as keep:
+        crossing, whole = _crossing(lists, labels, nodes, sets, texts, words, link, unlike)
+        discard(sets)
+        keep(whole)
+        crossing = crossing.join(tested, ["a", "b"], "left_anti")
+        crossing = keep(written(_agree(crossing, nodes, retained, agreeing, link), "near-pairs"))
+    discard(lists, tested)
+    more = written(_verified(crossing, whole, link), "near-links") if not crossing.isEmpty() else None
+    discard(whole, crossing)
     if more is not None and not more.isEmpty():
         # The components so far are stars already, so only the new links take rounds.
         labels = connected(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))

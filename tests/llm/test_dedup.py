@@ -464,3 +464,16 @@ def test_written_tables_leave_no_shuffle_files_and_can_be_discarded(spark):
         gone, stays = written(spark.range(3), "test"), keep(written(spark.range(4), "test"))
         places = folder(gone), folder(stays)
     assert [path_exists(spark, x) for x in places] == [False, True] and stays.count() == 4
+
+
+def test_batches_are_cut_to_pieces_of_bounded_size():
+    import pyarrow as pa
+
+    from garimpo.llm.common import pieces
+
+    texts = ["x" * n for n in (3, 0, 9, 2, 2, 2)] + [None]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(7)), "text": texts})
+    cut = list(pieces([batch, batch.slice(0, 0)], 1, 5))
+    assert [x for b in cut for x in b.column(0).to_pylist()] == list(range(7))
+    assert [x for b in cut for x in b.column(1).to_pylist()] == texts
+    assert max(sum(len(x or "") for x in b.column(1).to_pylist()) for b in cut if b.num_rows > 1) <= 5
