@@ -3,7 +3,10 @@
 import math
 
 import numpy as np
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
+from garimpo.functions.vectors import cosine_similarity
 from garimpo.operators import similar
 
 
@@ -60,3 +63,25 @@ def test_few_records_and_no_probes(spark):
     assert similar.similar_batch(base, "id", "v", base.where("id < 0")).count() == 0
     found = similar.similar_batch(base, "id", "v", base.where("id = 2")).collect()
     assert [round(r.similarity, 9) for r in found] == [round(math.sqrt(0.5), 9)] * 2
+
+
+def test_tiles_hand_on_few_pairs_and_score_like_the_expression(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((300, 6)).tolist()
+    # Copies tie by id; zero, short, huge and non-finite vectors and those with a null in them.
+    vectors += [vectors[0]] * 40 + [[0.0] * 6, [1.0, 2.0], [2.0, 1.0], [1e200] * 6, [1e-170] * 6, [float("nan")] * 6,
+                                    [float("inf")] + [1.0] * 5, [None] + [1.0] * 5, []]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)] + [(None, vectors[1]), (7, vectors[8])], "id long, v array<double>")
+    probes = df.where("id % 5 = 0 or id > 335")
+    one, two = df.alias("a"), probes.alias("b")
+    every = two.join(one, F.col("a.id") != F.col("b.id")).select(
+        F.col("b.id").alias("probe"), F.col("a.id").alias("id"), cosine_similarity(F.col("a.v"), F.col("b.v")).alias("similarity"))
+    every = every.where("similarity is not null")
+    rank = F.row_number().over(Window.partitionBy("probe").orderBy(F.desc("similarity"), "id"))
+    want = every.withColumn("rank", rank).where("rank <= 4").orderBy("probe", "rank").collect()
+    monkeypatch.setattr(similar, "RECORD_BLOCK", 100)
+    for block in (9, 1000):
+        got = similar.similar_batch(df, "id", "v", probes, k=4, block=block).orderBy("probe", "rank").collect()
+        assert [str(r) for r in got] == [str(r) for r in want]
+    pairs = similar.candidates(df, "id", "v", probes, k=4).count()
+    assert pairs <= 4 * 4 * probes.count() < every.count() / 4
