@@ -477,3 +477,12 @@ def test_batches_are_cut_to_pieces_of_bounded_size():
     assert [x for b in cut for x in b.column(0).to_pylist()] == list(range(7))
     assert [x for b in cut for x in b.column(1).to_pylist()] == texts
     assert max(sum(len(x or "") for x in b.column(1).to_pylist()) for b in cut if b.num_rows > 1) <= 5
+
+
+def test_band_lists_are_shuffled_once(spark):
+    lists = spark.createDataFrame([(1, 30), (1, 10), (1, 20), (2, 10), (3, 20), (3, 30)], "key long, line_id long").repartition(3)
+    several = fuzzy_lines._several(lists)
+    plan = several._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert {tuple(r) for r in several.select("key", "line_id", "a").collect()} == {
+        (1, 30, 10), (1, 10, 10), (1, 20, 10), (3, 20, 20), (3, 30, 20)}
