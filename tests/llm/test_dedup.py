@@ -486,3 +486,13 @@ def test_band_lists_are_shuffled_once(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     assert {tuple(r) for r in several.select("key", "line_id", "a").collect()} == {
         (1, 30, 10), (1, 10, 10), (1, 20, 10), (3, 20, 20), (3, 30, 20)}
+
+
+def test_passage_lists_are_shuffled_once(spark):
+    rows = [(5, 1, 0), (5, None, 3), (5, None, 2), (6, 1, 4), (7, 2, 0), (7, 2, 9)]
+    members = spark.createDataFrame(rows, "key long, doc_id long, centre int").repartition(3)
+    listed = passages._listed(members)
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    got = {(r.key, r.doc_id, r.centre, r.head.doc_id, r.head.centre) for r in listed.collect()}
+    assert got == {(5, 1, 0, None, 2), (5, None, 3, None, 2), (5, None, 2, None, 2), (7, 2, 0, 2, 0), (7, 2, 9, 2, 0)}
