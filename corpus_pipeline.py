@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from garimpo.llm import decontaminate, mixing, near_dups, quality, token_files
-from garimpo.llm.common import written
+from garimpo.llm.common import BATCH_ROWS, settings, written
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,13 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Whole documents that a Python worker gets at once; each task holds them several times, in the JVM and in Python.
+ROWS = 1000
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with settings(spark, {BATCH_ROWS: str(ROWS)}):
+        for name, stage in STAGES[:-1]:
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        return STAGES[-1][1](spark, docs, sf_dir)

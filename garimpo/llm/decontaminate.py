@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from garimpo.llm import words as W
-from garimpo.llm.common import ship, slices, utf8, written
+from garimpo.llm.common import lean, ship, slices, utf8, written
 
 #: Consecutive item words that make a window.
 WINDOW = 13
@@ -219,7 +219,7 @@ def _passed(docs: DataFrame, blocks: tuple, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(made[n], kinds[n]) if n in made else batch.column(at[n]) for n in names], names=names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def _scanned(docs: DataFrame, items: DataFrame, text_col: str, item_col: str, item_text_col: str,
@@ -302,7 +302,7 @@ def cut_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_co
             columns[text_col] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
-    return found.mapInArrow(run, found.schema).select(docs.columns)
+    return found.mapInArrow(lean(run), found.schema).select(docs.columns)
 
 
 def _lowered(column: str) -> str:

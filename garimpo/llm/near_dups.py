@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from garimpo.llm import words as W
-from garimpo.llm.common import discard, passing, pieces, ship, slices, texts_of, unused, utf8, written
+from garimpo.llm.common import discard, lean, passing, pieces, ship, slices, texts_of, unused, utf8, written
 from garimpo.llm.components import connected
 
 #: Words of a shingle.
@@ -100,7 +100,7 @@ def sketches(docs: DataFrame, words: int = WORDS, retained: int = RETAINED) -> D
                 "text_md5": pa.array(texts, pa.binary()), "digest": pa.array(digests, pa.binary()),
                 "sketch": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))})
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, text_md5 binary, digest binary, sketch array<long>")
+    return docs.mapInArrow(lean(run), "doc_id long, n_shingles long, text_md5 binary, digest binary, sketch array<long>")
 
 
 def _agree(pairs: DataFrame, nodes: DataFrame, retained: int, agreeing: int, link: int) -> DataFrame:
@@ -145,7 +145,7 @@ def _whole_sets(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
                 "values": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))})
 
     # Rows that repeat an id and a text bring the same set several times.
-    return joined.mapInArrow(run, "node long, n long, bits long, values array<long>").dropDuplicates(["node"])
+    return joined.mapInArrow(lean(run), "node long, n long, bits long, values array<long>").dropDuplicates(["node"])
 
 
 def _by_rarity(listed: DataFrame, key: list[str]) -> DataFrame:

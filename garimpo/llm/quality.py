@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from garimpo.llm import words as W
-from garimpo.llm.common import ship, slices, utf8, written
+from garimpo.llm.common import lean, ship, slices, utf8, written
 
 #: Words are hashed to so many buckets, shapes to SHAPES; both have vectors of DIM numbers.
 BUCKETS = 1 << 14
@@ -114,7 +114,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     schema = "row int, " + ", ".join(f"c{j} long" for j in range(DIM + 1))
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    sums = texts.mapInArrow(run, schema).groupBy("row").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(DIM + 1)])
+    sums = texts.mapInArrow(lean(run), schema).groupBy("row").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(DIM + 1)])
     found = sums.toPandas().to_numpy(np.float64)
     table = np.zeros((rows, DIM + 1))
     if len(found):
@@ -201,7 +201,7 @@ def _features(docs: DataFrame, id_col: str, text_col: str, vectors: np.ndarray)
                 [batch.column(0), pa.array([row.tobytes() for row in x], pa.binary())], names=["doc_id", "features"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, features binary")
+    return rows.mapInArrow(lean(run), "doc_id long, features binary")
 
 
 def _sampled_marks(labels: DataFrame, label_col: str, fit_rows: int, seed: int) -> DataFrame:
@@ -244,7 +244,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(network.scores(x.astype(np.float64)), pa.float64())], names=["doc_id", "score"])
 
-    return features.mapInArrow(run, "doc_id long, score double").select(
+    return features.mapInArrow(lean(run), "doc_id long, score double").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int").alias("predicted"))
 
@@ -267,4 +267,4 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
             scores = network.scores(pooled(*utf8(batch.column(at)), vectors).astype(np.float64))
             yield batch.filter(pa.array(scores >= threshold))
 
-    return docs.mapInArrow(run, schema).select(names)
+    return docs.mapInArrow(lean(run), schema).select(names)

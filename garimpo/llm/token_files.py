@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import ship, slices, texts_of, utf8
+from garimpo.llm.common import lean, ship, slices, texts_of, utf8
 from garimpo.session import fresh_path
 
 #: Id that ends every document.
@@ -362,7 +362,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
             yield shard()
 
     ordered = texts_of(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, _SHARD).write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(lean(run), _SHARD).write.option("compression", "none").parquet(path)
     return docs.sparkSession.read.schema(_SHARD).parquet(path)
 
 
@@ -387,7 +387,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
                     "n_tokens": pa.array(shard.lengths, pa.int64()), "ids_crc32": pa.array(sums, pa.int64())})
 
     rows = shards.select("part", "seq", "file").mapInArrow(
-        run, "part int, seq int, doc_id long, inside long, n_tokens long, ids_crc32 long")
+        lean(run), "part int, seq int, doc_id long, inside long, n_tokens long, ids_crc32 long")
     # Tokens before each part (one row per range partition), then before each shard of the part.
     earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).select(

@@ -1,4 +1,5 @@
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -6,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from garimpo.llm import queries, quality
+from garimpo.llm import common, queries, quality
+from garimpo.llm.common import BATCH_ROWS
 from garimpo.session import fresh_path
 
 from . import brute
@@ -87,6 +89,20 @@ def test_run_applies_all_stages(spark, folder):
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and got.count() > 100
 
 
+def test_workers_get_few_documents_at_once_and_give_memory_back(spark, folder, monkeypatch):
+    seen, stages = [], []
+    before = spark.conf.get(BATCH_ROWS, None)
+    for name, stage in corpus_pipeline.STAGES:
+        stages.append((name, lambda s, d, f, stage=stage: seen.append(s.conf.get(BATCH_ROWS)) or stage(s, d, f)))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    corpus_pipeline.run(spark, folder)
+    assert seen == ["1000"] * 5 and spark.conf.get(BATCH_ROWS, None) == before
+
+    freed = []
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda _: SimpleNamespace(malloc_trim=freed.append))
+    assert list(common.lean(iter)([1, 2])) == [1, 2] and freed == [0]
+
+
 def test_registered_queries_name_every_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
     assert numbers == list(range(1, 14))
