@@ -496,3 +496,104 @@ def test_passage_lists_are_shuffled_once(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     got = {(r.key, r.doc_id, r.centre, r.head.doc_id, r.head.centre) for r in listed.collect()}
     assert got == {(5, 1, 0, None, 2), (5, None, 3, None, 2), (5, None, 2, None, 2), (7, 2, 0, 2, 0), (7, 2, 9, 2, 0)}
+
+
+def _held(rows, doc_id, start, end):
+    return {k for r in rows if r.doc_id == doc_id for k in range(r.start, r.end)} >= set(range(start, end))
+
+
+def test_the_only_uncovered_run_of_a_list_meets_those_that_are_covered(spark):
+    """The first text shares what is before the core with the second, the third what is behind it."""
+    rng = random.Random(41)
+    rows = []
+    for i in range(0, 48, 3):
+        ahead, core, behind = (brute.sentence(rng, n) for n in (7, 48, 7))
+        rows += [(i, f"{ahead} {core} {brute.sentence(rng, 40)}"), (i + 1, f"{ahead} {core} {behind}"),
+                 (i + 2, f"{brute.sentence(rng, 40)} {core} {behind}")]
+    found = _passages(spark, rows).collect()
+    assert [i for i in range(0, 48, 3) if not (_held(found, i + 1, 0, 55) and _held(found, i + 2, 40, 95))] == []
+
+
+def _fillings(rng, groups):
+    """Pairs of texts that share 22 words behind a core that all texts share; two words between differ."""
+    core, rows = brute.sentence(rng, 36), []
+    for g in range(groups):
+        own = brute.sentence(rng, 22)
+        for copy in range(2):
+            rows.append((2 * g + copy, f"{brute.sentence(rng, 30)} {core} {brute.sentence(rng, 2)} {own} {brute.sentence(rng, 30)}"))
+    return rows
+
+
+def test_fillings_of_a_template_that_differ_in_two_words_meet(spark):
+    rng = random.Random(42)
+    rows = [(100 * k + i, t) for k in range(8) for i, t in _fillings(rng, 12)]
+    found = _passages(spark, rows).collect()
+    assert [i for i, _ in rows if i % 2 and not _held(found, i, 30, 90)] == []
+    assert {r.doc_id % 2 for r in found} == {1}
+
+
+def test_lists_of_any_length_give_the_same_passages(spark, monkeypatch):
+    rng = random.Random(43)
+    rows = _fillings(rng, 20) + [(100 + i, t) for i, t in _template_groups(rng, 12, True)]
+    rows += [(None, rows[-1][1]), (None, rows[5][1])]
+    want = {(r.doc_id, r.start, r.end) for r in _passages(spark, rows).collect()}
+    # Rows without an id come first.
+    assert {i for i, *_ in want} == {4, rows[-4][0]} | {i for i, _ in rows if i is not None and i % 2}
+    monkeypatch.setattr(passages, "TILE", (2, 3))
+    assert {(r.doc_id, r.start, r.end) for r in _passages(spark, rows).collect()} == want
+    monkeypatch.setattr(passages, "LONG", 1)
+    assert {(r.doc_id, r.start, r.end) for r in _passages(spark, rows).collect()} == want
+
+
+def test_passages_overlap_where_a_stretch_is_alike_with_both_its_neighbours():
+    import numpy as np
+
+    rng = np.random.Generator(np.random.PCG64(44))
+    one = rng.integers(1, 1 << 63, 100).astype(np.uint64)
+    two = one.copy()
+    two[[32, 53]] = 7, 8
+    assert [o[:2] for o in passages.alike(one[:86], two[:86], [0], 5, 50, 0.8)] == [(0, 53), (33, 86)]
+
+
+def test_every_passage_has_a_run_whose_surroundings_meet():
+    """No passage is left out, whatever was changed in it and however often it repeats itself."""
+    import numpy as np
+
+    rng = np.random.Generator(np.random.PCG64(45))
+    reach, run_words, table = 150, passages._run_words(5, 50, 0.8), np.zeros(1 << 15, bool)
+    around = passages._surroundings(5, run_words, reach)
+
+    def near(text, at):
+        (row,) = around(text, np.array([2 * at]), np.array([1]))
+        return np.frombuffer(row[3][0].as_py(), np.uint16)
+
+    seen = 0
+    for _ in range(300):
+        one = rng.integers(1, 1 << 63, 300).astype(np.uint64)
+        if rng.random() < 0.3:
+            one = np.tile(one[:rng.integers(20, 60)], 15)[:300]
+        two = one.tolist()
+        for _ in range(rng.integers(4, 14)):
+            at = int(rng.integers(0, len(two)))
+            two[at:at + int(rng.integers(0, 4))] = rng.integers(1, 1 << 63, rng.integers(0, 4)).tolist()
+        two = np.array(two, np.uint64)
+        runs = {}
+        for a, v in enumerate(passages.W.grams(one, run_words).tolist()):
+            runs.setdefault(v, []).append(a)
+        pairs = [(a, b) for b, v in enumerate(passages.W.grams(two, run_words).tolist()) for a in runs.get(v, [])]
+        met = {}
+        for d in sorted({a - b for a, b in pairs})[:6]:
+            for s, e, t, f, _ in passages.alike(one, two, [d], 5, 50, 0.8):
+                within = [(a, b) for a, b in pairs if s <= b and b + run_words <= e and t <= a and a + run_words <= f]
+                for a, b in within:
+                    if (a, b) not in met:
+                        met[a, b] = len(passages._met(near(one, a)[None, :], near(two, b), reach, 46, 0.8, table)[0]) == 1
+                    if met[a, b]:
+                        break
+                assert any(met.get(p) for p in within)
+                seen += 1
+    assert seen > 1000
+    # A run of 45 words in common is not enough.
+    ahead, run, behind = rng.integers(1, 1 << 63, (2, 100)), rng.integers(1, 1 << 63, 45), rng.integers(1, 1 << 63, (2, 100))
+    one, two = (np.concatenate((ahead[i], run, behind[i])).astype(np.uint64) for i in range(2))
+    assert not len(passages._met(near(one, 110)[None, :], near(two, 110), reach, 46, 0.8, table)[0])
