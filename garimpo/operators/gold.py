@@ -105,6 +105,13 @@ def interaction(df: DataFrame, parts: Sequence[str], name: str = "interaction")
     return df.groupBy(F.concat_ws("_", *parts).alias(name)).agg(F.count("*").alias("n"))
 
 
+def ratio(part: Column, whole: Column) -> Column:
+    """part / whole in doubles. A whole of 0 gives infinity, or NaN for 0 / 0, as the SQL checks do; nulls stay null."""
+    part, whole = part.cast("double"), whole.cast("double")
+    by_zero = F.when(F.isnan(part) | (part == 0), F.lit(float("nan"))).otherwise(F.signum(part) * F.lit(float("inf")))
+    return F.when(whole == 0, F.when(part.isNotNull(), by_zero)).otherwise(F.try_divide(part, whole))
+
+
 def combined_score(rules: Column, llm: Column) -> Column:
     """0.7 rules + 0.3 model opinion."""
     return rules * 0.7 + llm * 0.3

@@ -198,3 +198,20 @@ def test_code_lists_are_the_published_ones(name):
     rows = sorted(domains._rows(name))
     text = "\n".join(f"{code}|{label}|{description or ''}" for code, label, description in rows)
     assert (len(rows), hashlib.sha256(text.encode()).hexdigest()[:16]) == CODE_LISTS[name]
+
+
+def test_combined_scores_of_empty_documents_match_sql(spark, folder):
+    from oracle import compare
+    import duckdb
+
+    from garimpo.plans import catalog
+    from garimpo.plans.registry import Tables
+
+    docs = [(1, "en", 20), (2, "en", 0), (3, "", 0), (4, None, 0), (5, "", 7), (6, "en", None), (7, "en", 0), (8, "", 0)]
+    labels = [(1, 1, 0), (2, 1, 0), (3, None, 1), (4, 1, 1), (5, 0, 1), (7, None, None)]
+    spark.createDataFrame(docs, "doc_id long, lang string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    con, query = duckdb.connect(), catalog.REGISTRY["combined_scores"]
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder.removeprefix('file:')}/{name}.parquet/*.parquet')")
+    assert compare(query.plan(Tables(spark, folder)), con, query.sql) is None
