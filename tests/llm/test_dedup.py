@@ -597,3 +597,29 @@ def test_every_passage_has_a_run_whose_surroundings_meet():
     ahead, run, behind = rng.integers(1, 1 << 63, (2, 100)), rng.integers(1, 1 << 63, 45), rng.integers(1, 1 << 63, (2, 100))
     one, two = (np.concatenate((ahead[i], run, behind[i])).astype(np.uint64) for i in range(2))
     assert not len(passages._met(near(one, 110)[None, :], near(two, 110), reach, 46, 0.8, table)[0])
+
+
+def test_bands_are_runs_of_the_sorted_signature(spark):
+    """Band keys agree where the smallest hashes of all three bins do; the size of the set goes along."""
+    rng = random.Random(51)
+    lines = ["ab", "some words of a line", "x" * 40] + [brute.sentence(rng, n) for n in (3, 9, 30, 90)]
+    lines += [lines[-1][:-30] + "other end", lines[-2] + "!"]
+    table = spark.createDataFrame(list(enumerate(lines)), "id int, line string")
+    rows = fuzzy_lines._with_bands(table).select("id", "n", "bands", fuzzy_lines.shingle_hashes(F.col("line")).alias("h")).collect()
+    wanted, got = {}, {}
+    for r in rows:
+        mins = {}
+        for h in r.h:
+            bin_ = (h >> 58) + 32
+            mins[bin_] = min(h, mins.get(bin_, h))
+        parts = {b // 3: tuple(mins.get(3 * (b // 3) + k) for k in range(3)) for b in mins if b < 63}
+        assert r.n == len(set(r.h)) and len(r.bands) == len(set(r.bands)) == len(parts)
+        wanted[r.id], got[r.id] = set(parts.items()), set(r.bands)
+    assert all(len(got[a] & got[b]) == len(wanted[a] & wanted[b]) for a in got for b in got)
+
+
+def test_lines_whose_sizes_rule_out_a_link_are_not_compared(spark):
+    texts = spark.createDataFrame([(0, "a line of words", 100), (1, "a line of words", 80), (2, "a line of words", 79)],
+                                  "line_id long, line string, n int")
+    pairs = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long")
+    assert rows_of(fuzzy_lines._linked(pairs, texts, 80), "a", "b") == [(0, 1)]
